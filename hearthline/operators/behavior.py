@@ -13,7 +13,9 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.timeline import (
     fiscal_columns, quarter_of_week, quarter_weight, timeline_day, timeline_quarter)
-from hearthline.operators.ranks import value_positions, with_percent_rank
+from hearthline.operators.ranks import percent_rank_lookup, value_positions
+from hearthline.operators.skew import salted_lookup
+from hearthline.session import cut_lineage
 from hearthline.sources.tables import kpi_aggregate, sift
 
 RANK_POINTS = {"H": 3, "M": 2, "L": 1}
@@ -115,10 +117,13 @@ def rank_pillars(pillars: DataFrame, spend: tuple[float, float] = (0.5, 0.9),
                  share: tuple[float, float] = (0.5, 0.9)) -> DataFrame:
     """Percentile and H/M/L rank of spend and of penetration within each quarter.
 
-    A penetration of 1 is percentile 1 whatever the others do.
+    A penetration of 1 is percentile 1 whatever the others do. The pillars are
+    written once, because both rankings and the join read them.
     """
-    ranked = with_percent_rank(pillars, ["quarter"], "sales", "spend_percentile", "hh_id")
-    ranked = with_percent_rank(ranked, ["quarter"], "unit_penetration", "_share_rank", "hh_id")
+    ranked = pillars = cut_lineage(pillars)
+    for value, name in (("sales", "spend_percentile"), ("unit_penetration", "_share_rank")):
+        lookup = percent_rank_lookup(pillars, ["quarter"], value, name)
+        ranked = salted_lookup(ranked, lookup, ["quarter", value], spread="hh_id", weight="n")
     whole = F.when(F.col("unit_penetration") == 10_000, 1.0).otherwise(F.col("_share_rank"))
     return (ranked.withColumn("penetration_percentile", whole).drop("_share_rank")
             .withColumns({"spend_rank": _rank(F.col("spend_percentile"), spend),
@@ -144,8 +149,10 @@ def rank_labels(pillars: DataFrame, spend: tuple[float, float] = (0.5, 0.9),
     """The ranks of :func:`rank_pillars` without the percentiles.
 
     A label only needs the four cut values of its quarter. They are found on the
-    value counts, so no household row is sorted or joined by value.
+    value counts, so no household row is sorted or joined by value. The pillars
+    are written once, because both rankings and the join read them.
     """
+    pillars = cut_lineage(pillars)
     cuts = _quarter_cuts(pillars, "sales", spend, ("_spend_m", "_spend_h")).join(
         _quarter_cuts(pillars, "unit_penetration", share, ("_share_m", "_share_h")), "quarter")
 

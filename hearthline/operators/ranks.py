@@ -13,8 +13,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from hearthline.operators.skew import salted_lookup
-
 RANGE = 65_536
 
 
@@ -40,17 +38,13 @@ def value_positions(df: DataFrame, groups: list[str], value: str) -> DataFrame:
     )
 
 
-def with_percent_rank(df: DataFrame, groups: list[str], value: str, name: str,
-                      spread: str) -> DataFrame:
-    """Add SQL ``percent_rank`` of ``value`` within ``groups`` to every row.
+def percent_rank_lookup(df: DataFrame, groups: list[str], value: str, name: str) -> DataFrame:
+    """SQL ``percent_rank`` of every distinct value, with its number of rows ``n``.
 
-    ``spread`` is a high-cardinality column: rows sharing one very common value
-    are spread over several join tasks by its hash.
+    Join it back with :func:`hearthline.operators.skew.salted_lookup`.
     """
-    positions = value_positions(df, groups, value)
     rank = F.when(F.col("n_total") > 1, F.col("n_before") / (F.col("n_total") - 1)).otherwise(0.0)
-    lookup = positions.select(*groups, value, "n", rank.alias(name))
-    return salted_lookup(df, lookup, [*groups, value], spread=spread, weight="n")
+    return value_positions(df, groups, value).select(*groups, value, "n", rank.alias(name))
 
 
 def quantile_cuts(df: DataFrame, groups: list[str], value: str,

@@ -11,7 +11,7 @@ from hearthline.operators.geo import preferred_store
 from hearthline.operators.propensity import drop_returns
 from hearthline.plans.bindings import BOUNDS, PRODUCTS, with_tx
 from hearthline.plans.registry import query
-from hearthline.session import scratch_path
+from hearthline.session import cut_lineage, scratch_path
 from hearthline.sources.sinks import replace_partitions
 from hearthline.sources.tables import (
     date_bounds, kpi_aggregate, products, read_partitions, read_table, transactions)
@@ -100,7 +100,11 @@ scored AS (
 
 
 class Inputs:
-    """Weekly KPIs, vintages and window of the bound product list."""
+    """Weekly KPIs, vintages and window of the bound product list.
+
+    ``stored`` gives the KPI and vintage datasets as the weekly job keeps them:
+    written once and read by every later step.
+    """
 
     def __init__(self, spark, folder):
         _, last = date_bounds(spark, folder)
@@ -112,9 +116,12 @@ class Inputs:
         self.weekly = B.weekly_kpis(self.plain, self.listed)
         self.everything = B.weekly_kpis(self.plain)
 
-    @property
-    def vintage(self):
-        return B.household_vintage(B.daily_kpis(self.tx, self.listed))
+        self.vintage = B.household_vintage(B.daily_kpis(self.tx, self.listed))
+
+    def stored(self):
+        self.weekly, self.everything, self.vintage = (
+            cut_lineage(df) for df in (self.weekly, self.everything, self.vintage))
+        return self
 
     @property
     def active(self):
@@ -158,12 +165,14 @@ def d12(spark, folder):
     """History in one go, then the last three weeks one by one, the last one twice."""
     data = Inputs(spark, folder)
     vintage_path, sales_path = scratch_path(spark, "vintage"), scratch_path(spark, "sales")
-    daily = B.daily_kpis(data.tx, data.listed).withColumn("week", C.fiscal_columns("trn_date")["fiscal_week"])
+    daily = cut_lineage(B.daily_kpis(data.tx, data.listed).withColumn(
+        "week", C.fiscal_columns("trn_date")["fiscal_week"]))
     before = C.weeks_ago(data.end, 2)
     replace_partitions(B.household_vintage(daily.where(F.col("week") < before)), vintage_path, ["vintage_week"])
+    recent = cut_lineage(data.weekly.where(F.col("fiscal_week") >= before))
     for week in (before, C.weeks_ago(data.end, 1), data.end, data.end):
         update_vintage(spark, daily.where(F.col("week") == week),
-                       data.weekly.where(F.col("fiscal_week") == week), week, vintage_path, sales_path)
+                       recent.where(F.col("fiscal_week") == week), week, vintage_path, sales_path)
     vintages = read_partitions(spark, vintage_path, "vintage_week").groupBy(
         F.col("vintage_week").cast("string").alias("week")).agg(
         F.count(F.lit(1)).alias("households"), F.sum("vintage_div").alias("checksum"))
@@ -209,19 +218,19 @@ def d17(spark, folder):
 
 @query("d18_rank_pillars", with_tx(PILLARS, body="SELECT * FROM ranked"))
 def d18(spark, folder):
-    return B.rank_pillars(Inputs(spark, folder).pillars)
+    return B.rank_pillars(Inputs(spark, folder).stored().pillars)
 
 
 @query("d19_quarter_points", with_tx(POINTS, body="SELECT * FROM points"))
 def d19(spark, folder):
-    ranked = B.rank_labels(Inputs(spark, folder).pillars).join(markets(spark, folder), "hh_id", "left")
+    ranked = B.rank_labels(Inputs(spark, folder).stored().pillars).join(markets(spark, folder), "hh_id", "left")
     return B.quarter_points(ranked.fillna("existing", ["market"]), "market").select(
         "hh_id", "quarter", "market", "spend_rank", "penetration_rank", "quarter_points")
 
 
 @query("d20_weighted_segments", with_tx(SCORES, body="SELECT * FROM scored"))
 def d20(spark, folder):
-    ranked = B.rank_labels(Inputs(spark, folder).pillars).join(markets(spark, folder), "hh_id", "left")
+    ranked = B.rank_labels(Inputs(spark, folder).stored().pillars).join(markets(spark, folder), "hh_id", "left")
     return B.weighted_segments(B.quarter_points(ranked.fillna("existing", ["market"]), "market"))
 
 
@@ -256,7 +265,7 @@ SELECT * FROM lapsed UNION ALL SELECT * FROM fresh
 UNION ALL SELECT hh_id, segment FROM active WHERE segment = 'inconsistent'
 UNION ALL SELECT hh_id, segment FROM scored"""))
 def d22(spark, folder):
-    data = Inputs(spark, folder)
+    data = Inputs(spark, folder).stored()
     return B.household_segments(data.weekly, data.vintage, data.everything, data.start, data.end,
                                 PER_QUARTER, VISITS, markets=markets(spark, folder))
 
