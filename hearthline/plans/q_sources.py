@@ -11,7 +11,7 @@ from hearthline.operators.propensity import drop_returns, segment_counts
 from hearthline.plans.bindings import (
     BOUNDS, LABELS, LISTS, PRODUCTS, segment_labels, segment_lists, with_tx, year_start)
 from hearthline.plans.registry import query
-from hearthline.session import scratch_path
+from hearthline.session import cut_lineage, scratch_path
 from hearthline.sources import egress as E
 from hearthline.sources import sinks as K
 from hearthline.sources import tables as S
@@ -189,8 +189,8 @@ SELECT modality, stratum_week, end_week, COUNT(*) AS households, CAST(SUM(spend_
   UNION ALL SELECT segment, '20010802', '20010801', spend_cents FROM audience WHERE segment = 'seg_a') GROUP BY ALL"""))
 def s13(spark, folder):
     """Two run weeks per segment; one is written again with fewer rows, one appended to."""
-    path, labels = scratch_path(spark, "runs"), segment_labels(spark, folder).select(
-        "segment", F.col("hh_id").alias("household"), "propensity", "spend_cents")
+    path, labels = scratch_path(spark, "runs"), cut_lineage(segment_labels(spark, folder).select(
+        "segment", F.col("hh_id").alias("household"), "propensity", "spend_cents"))
     columns = ["household", "modality", "end_week", "stratum_week", "propensity", "spend_cents"]
     for name in ("seg_a", "seg_b", "seg_c"):
         rows = labels.where(F.col("segment") == name)
