@@ -13,6 +13,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from hearthline.operators.skew import salted_lookup
+
 RANGE = 65_536
 
 
@@ -62,3 +64,11 @@ def quantile_cuts(df: DataFrame, groups: list[str], value: str,
         return F.min(F.when(reached * 10_000 >= F.col("n_total") * parts, F.col(value)))
 
     return positions.groupBy(*groups).agg(*[cut(p).alias(k) for k, p in probabilities.items()])
+
+
+def with_descending_rank(df: DataFrame, groups: list[str], value: str, name: str,
+                         spread: str) -> DataFrame:
+    """Add SQL ``rank`` of ``value``, highest first, without one task sorting a group."""
+    rank = F.col("n_total") - F.col("n_before") - F.col("n") + 1
+    lookup = value_positions(df, groups, value).select(*groups, value, "n", rank.alias(name))
+    return salted_lookup(df, lookup, [*groups, value], spread=spread, weight="n")

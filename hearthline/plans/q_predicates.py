@@ -231,13 +231,13 @@ def f07(spark, folder):
 
 @query("f08_product_sentence", """
 WITH d AS (
-  SELECT p_partkey, p_name, list_filter([CASE WHEN p_type = 'ECONOMY' THEN 'VEGAN' END, CASE WHEN p_size < 10 THEN 'KETO' END], x -> x IS NOT NULL) AS own,
-    list_filter([CASE WHEN p_retailprice > 1000 THEN 'low-salt' END, CASE WHEN p_size < 20 THEN 'vegan' END], x -> x IS NOT NULL) AS feed FROM part),
+  SELECT p_partkey, p_name, list_filter([CASE WHEN p_type = 'ECONOMY' THEN 'VEGAN' END, CASE WHEN p_size < 10 THEN 'KETO' END], lambda x: x IS NOT NULL) AS own,
+    list_filter([CASE WHEN p_retailprice > 1000 THEN 'low-salt' END, CASE WHEN p_size < 20 THEN 'vegan' END], lambda x: x IS NOT NULL) AS feed FROM part),
 s AS (
   SELECT p_partkey, p_name, CASE WHEN len(own) > 0 THEN lower(array_to_string(own, ' diet,') || ' diet') ELSE '' END AS o,
     replace(replace(array_to_string(feed, ' diet,'), '-', ' '), ' diet diet', ' diet') AS f FROM d),
 b AS (SELECT p_partkey, p_name, string_split(CASE WHEN f = '' THEN o ELSE f || ',' || o END, ',') AS parts FROM s),
-u AS (SELECT p_partkey, p_name, array_to_string(list_filter(parts, (x, i) -> list_position(parts, x) = i), ', ') AS diets FROM b)
+u AS (SELECT p_partkey, p_name, array_to_string(list_filter(parts, lambda x, i: list_position(parts, x) = i), ', ') AS diets FROM b)
 SELECT p_partkey, replace(CASE WHEN diets = '' THEN p_name || '.' ELSE 'The ' || p_name || ' is a product classified for a ' || diets || '.' END, ',,', ',') AS sentence FROM u""")
 def f08(spark, folder):
     listed = lambda *c: F.filter(F.array(*c), lambda x: x.isNotNull())
