@@ -8,7 +8,7 @@ from hearthline.operators import text as X
 from hearthline.operators.reports import describe
 from hearthline.plans.bindings import with_tx
 from hearthline.plans.registry import query
-from hearthline.sources.tables import products, read_table, transactions
+from hearthline.sources.tables import read_table, transactions
 
 WORDS = "w AS (SELECT lang, unnest(string_split(lower(text), ' ')) AS word FROM documents)"
 
@@ -139,12 +139,32 @@ def x09(spark, folder):
     return X.condense_keywords(tokens(spark, folder), "keyword", 90).fillna("", ["label"])
 
 
-@query("x10_expand_keywords")
+SAID = """words AS (
+  SELECT DISTINCT regexp_replace(lower(w), '[^a-z]', '', 'g') AS word FROM (SELECT unnest(string_split(text, ' ')) AS w FROM conversations)
+  WHERE length(regexp_replace(lower(w), '[^a-z]', '', 'g')) > 3)"""
+
+
+def spoken(spark, folder):
+    """Distinct words of the conversations."""
+    said = read_table(spark, folder, "conversations").select(F.explode(F.split("text", " ")).alias("w"))
+    return said.select(F.regexp_replace(F.lower("w"), "[^a-z]", "").alias("word")).where(
+        F.length("word") > 3).distinct()
+
+
+ABOVE = "(greatest(length({0}), length({1})) - levenshtein({0}, {1})) * 100 > 85 * greatest(length({0}), length({1}))"
+
+
+@query("x10_expand_keywords", f"""WITH RECURSIVE {TOKENS}, {SAID},
+pairs AS (SELECT a.keyword AS u, b.keyword AS v FROM toks a JOIN toks b ON a.keyword <> b.keyword
+          WHERE abs(length(a.keyword) - length(b.keyword)) * 100 <= 15 * greatest(length(a.keyword), length(b.keyword))
+            AND {ABOVE.format('a.keyword', 'b.keyword')}),
+reach(word, keyword) AS (
+  SELECT word, keyword FROM words JOIN toks ON abs(length(keyword) - length(word)) * 100 <= 15 * greatest(length(keyword), length(word))
+    AND {ABOVE.format('keyword', 'word')}
+  UNION SELECT r.word, p.v FROM reach r JOIN pairs p ON r.keyword = p.u)
+SELECT word, keyword FROM reach""")
 def x10(spark, folder):
-    seeds = products(spark, folder).select(F.lower("department").alias("category")).distinct()
-    names = read_table(spark, folder, "part").select(F.explode(F.split("p_name", " ")).alias("keyword"))
-    items = names.distinct().unionByName(tokens(spark, folder)).distinct()
-    return X.expand_keywords(seeds, "category", items, "keyword", 60)
+    return X.expand_keywords(spoken(spark, folder), "word", tokens(spark, folder), "keyword", 85)
 
 
 @query("x11_curate_keywords", """
@@ -160,16 +180,11 @@ def x11(spark, folder):
 
 
 @query("x12_fuzzy_dictionary_join", f"""
-WITH {TOKENS}, words AS (
-  SELECT DISTINCT regexp_replace(lower(w), '[^a-z]', '', 'g') AS word FROM (SELECT unnest(string_split(text, ' ')) AS w FROM conversations)
-  WHERE length(regexp_replace(lower(w), '[^a-z]', '', 'g')) > 3)
+WITH {TOKENS}, {SAID}
 SELECT keyword, word, {SIM.format('keyword', 'word')} AS similarity FROM toks JOIN words
 ON abs(length(keyword) - length(word)) * 100 <= 20 * greatest(length(keyword), length(word)) AND {NEAR.format('keyword', 'word', 80)}""")
 def x12(spark, folder):
-    said = read_table(spark, folder, "conversations").select(F.explode(F.split("text", " ")).alias("w"))
-    words = said.select(F.regexp_replace(F.lower("w"), "[^a-z]", "").alias("word")).where(
-        F.length("word") > 3).distinct()
-    return X.fuzzy_dictionary_join(tokens(spark, folder), "keyword", words, "word", 80)
+    return X.fuzzy_dictionary_join(tokens(spark, folder), "keyword", spoken(spark, folder), "word", 80)
 
 
 TAGS = ["bolt", "ring", "widget"]

@@ -1 +1,132 @@
-"""Queries."""
+"""Vector queries: search, neighbours, conflicts, coverage."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from hearthline.operators import clusters as K
+from hearthline.operators import vectors as V
+from hearthline.plans.bindings import PRODUCTS, with_tx
+from hearthline.plans.q_predicates import restricted
+from hearthline.plans.registry import query
+from hearthline.sources.tables import products, read_table, transactions
+
+# The first vector of each label stands for a query sentence.
+FIRST = "q AS (SELECT label AS query, MIN(vec_id) AS reference, arg_min(embedding, vec_id) AS qv FROM embeddings GROUP BY 1)"
+DOT = "ROUND(list_inner_product(CAST({0} AS DOUBLE[]), CAST({1} AS DOUBLE[])), 6)"
+SCORES = f"""{FIRST},
+scores AS (SELECT query, vec_id, {DOT.format('embedding', 'qv')} AS score FROM embeddings, q)"""
+
+
+def vectors(spark, folder):
+    return read_table(spark, folder, "embeddings", ["vec_id", "embedding", "label"])
+
+
+def queries(spark, folder):
+    return V.first_per_group(vectors(spark, folder), "label", "vec_id", "embedding")
+
+
+@query("v01_dot_product", f"""WITH {FIRST}
+SELECT vec_id, {DOT.format('embedding', 'qv')} AS similarity FROM embeddings JOIN q ON label = query""")
+def v01(spark, folder):
+    reference = queries(spark, folder).select("label", F.col("embedding").alias("qv"))
+    return vectors(spark, folder).join(reference, "label").select(
+        "vec_id", F.round(V.dot("embedding", "qv"), 6).alias("similarity"))
+
+
+@query("v02_embedding_search", f"""WITH {SCORES}
+SELECT query, vec_id, score, rank() OVER (PARTITION BY query ORDER BY score DESC) AS score_rank FROM scores WHERE score >= 0.3""")
+def v02(spark, folder):
+    return V.embedding_search(vectors(spark, folder), "vec_id", "embedding", queries(spark, folder), "label", "embedding")
+
+
+@query("j11_products_by_queries", f"""WITH {SCORES}
+SELECT query, COUNT(*) AS products, COUNT(CASE WHEN score >= 0.3 THEN 1 END) AS matches, MAX(score) AS best, MIN(score) AS worst
+FROM scores GROUP BY 1""")
+def j11(spark, folder):
+    scored = V.score(vectors(spark, folder), "vec_id", "embedding", queries(spark, folder), "label", "embedding")
+    return scored.groupBy("query").agg(
+        F.count(F.lit(1)).alias("products"), F.count(F.when(F.col("score") >= 0.3, 1)).alias("matches"),
+        F.max("score").alias("best"), F.min("score").alias("worst"))
+
+
+@query("v03_embed_text")
+def v03(spark, folder):
+    embedded = V.embed_text(read_table(spark, folder, "documents"), "doc_id", "text")
+    return embedded.select("doc_id", F.size("vector").alias("dimensions"),
+                           F.round(V.dot("vector", "vector"), 4).alias("length"))
+
+
+@query("v04_nearest", f"""WITH {SCORES}
+SELECT query, vec_id, score, position FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS position FROM scores) WHERE position <= 10""")
+def v04(spark, folder):
+    return V.nearest(vectors(spark, folder), "vec_id", "embedding", queries(spark, folder), "label", "embedding", 10)
+
+
+@query("v05_cross_top_k", f"""WITH {SCORES},
+forward AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS position FROM scores) WHERE position <= 4),
+back AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY score DESC, query) AS position FROM scores
+         WHERE vec_id IN (SELECT vec_id FROM forward))
+SELECT 'item' AS direction, query AS item, vec_id, score, position FROM forward
+UNION ALL SELECT 'household', query, vec_id, score, position FROM back WHERE position <= 4""")
+def v05(spark, folder):
+    items = queries(spark, folder).select(F.col("label").alias("item"), "embedding")
+    return V.cross_top_k(vectors(spark, folder), "vec_id", items, "item", "embedding", 4)
+
+
+@query("v06_vector_conflicts", f"""WITH {FIRST}
+SELECT label, vec_id, reference, {DOT.format('embedding', 'qv')} AS similarity FROM embeddings JOIN q ON label = query
+WHERE embedding <> qv AND {DOT.format('embedding', 'qv')} < 0.1""")
+def v06(spark, folder):
+    return V.vector_conflicts(vectors(spark, folder), "label", "vec_id", "embedding", 0.1)
+
+
+@query("v07_coverage", with_tx(body=""",
+s AS (SELECT upc, SUM(net_cents) AS c FROM tx GROUP BY 1),
+j AS (SELECT s.upc AS sold, v.vec_id AS known, COALESCE(c, 0) AS c FROM s FULL JOIN embeddings v ON vec_id = upc),
+parts AS (
+  SELECT 'sold' AS part, c FROM j WHERE sold IS NOT NULL
+  UNION ALL SELECT 'sold_with_vector', c FROM j WHERE sold IS NOT NULL AND known IS NOT NULL
+  UNION ALL SELECT 'sold_without_vector', c FROM j WHERE known IS NULL
+  UNION ALL SELECT 'vector_only', c FROM j WHERE sold IS NULL)
+SELECT part, COUNT(*) AS products, CAST(SUM(CASE WHEN c > 0 THEN 1 ELSE 0 END) AS BIGINT) AS num_over_0,
+  CAST(SUM(CASE WHEN c > 10000000 THEN 1 ELSE 0 END) AS BIGINT) AS num_over_10000000 FROM parts GROUP BY 1"""))
+def v07(spark, folder):
+    spend = transactions(spark, folder).groupBy("upc").agg(F.sum("net_cents").alias("spend_cents"))
+    keys = vectors(spark, folder).select(F.col("vec_id").alias("upc"))
+    return V.coverage(spend, keys, "upc", [0, 10_000_000])
+
+
+@query("v08_reduce_pca")
+def v08(spark, folder):
+    reduced = K.reduce_pca(vectors(spark, folder), "embedding", 10)
+    return reduced.select("vec_id", F.size("embedding").alias("dimensions"),
+                          F.round(V.dot("embedding", "embedding"), 4).alias("energy"))
+
+
+@query("v09_trustworthiness", """
+WITH p AS (
+  SELECT a.vec_id AS i, b.vec_id AS j,
+    list_distance(CAST(a.embedding AS DOUBLE[]), CAST(b.embedding AS DOUBLE[])) AS d0,
+    list_distance(CAST(a.embedding[1:10] AS DOUBLE[]), CAST(b.embedding[1:10] AS DOUBLE[])) AS d1
+  FROM embeddings a JOIN embeddings b ON a.vec_id <> b.vec_id),
+r AS (SELECT row_number() OVER (PARTITION BY i ORDER BY d0, j) AS r0, row_number() OVER (PARTITION BY i ORDER BY d1, j) AS r1 FROM p),
+n AS (SELECT COUNT(*) AS n FROM embeddings)
+SELECT CAST(n AS INTEGER) AS points, ROUND(1 - SUM(greatest(r0 - 5, 0)) * 2.0::DOUBLE / (n * 5 * (2 * n - 16)), 6) AS trustworthiness
+FROM r, n WHERE r1 <= 5 GROUP BY n""")
+def v09(spark, folder):
+    shorter = vectors(spark, folder).withColumn("embedding", F.slice("embedding", 1, 10))
+    return K.trustworthiness(vectors(spark, folder), shorter, "vec_id", "embedding")
+
+
+@query("v23_vector_universe", "WITH " + PRODUCTS + """
+SELECT upc, CAST(len(embedding) AS INTEGER) AS dimensions, label FROM embeddings JOIN products ON vec_id = upc
+WHERE department = 'PROMO' AND (commodity, department) NOT IN (
+  SELECT (commodity, department) FROM products GROUP BY commodity, department HAVING COUNT(*) < 10)""")
+def v23(spark, folder):
+    stored = vectors(spark, folder).withColumnRenamed("vec_id", "upc")
+    universe = V.vector_universe(stored, "upc", "embedding", products(spark, folder), "PROMO",
+                                 restricted(spark, folder), ["commodity", "department"], version="label")
+    return universe.join(stored.select("upc", "label"), "upc").select(
+        "upc", F.size("embedding").alias("dimensions"), "label")
