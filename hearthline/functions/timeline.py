@@ -52,10 +52,11 @@ def fiscal_index(date) -> Column:
 
 
 def fiscal_week_code(index: Column) -> Column:
+    """Week code as one number, digits in place, written as text: no formatting per row."""
     in_year = F.pmod(index, F.lit(52))
-    return F.format_string(
-        "%04d%02d%02d", F.floor(index / 52).cast("int") + ANCHOR_YEAR,
-        F.floor(in_year / 4).cast("int") + 1, F.pmod(in_year, F.lit(4)) + 1)
+    year = F.floor(index / 52).cast("int") + ANCHOR_YEAR
+    period, week = F.floor(in_year / 4).cast("int") + 1, F.pmod(in_year, F.lit(4)) + 1
+    return (year * 10_000 + period * 100 + week).cast("string")
 
 
 def fiscal_index_of(code: Column) -> Column:
@@ -66,13 +67,17 @@ def fiscal_index_of(code: Column) -> Column:
 
 def fiscal_columns(date) -> dict[str, Column]:
     """Week, month (period), quarter and year of a date, by output name."""
-    index = fiscal_index(date)
+    return fiscal_columns_of_index(fiscal_index(date))
+
+
+def fiscal_columns_of_index(index: Column) -> dict[str, Column]:
+    """The same from the week number."""
     year = F.floor(index / 52).cast("int") + ANCHOR_YEAR
     quarter = F.floor(F.pmod(index, F.lit(52)) / 13).cast("int") + 1
     code = fiscal_week_code(index)
     return {
         "fiscal_week": code, "fiscal_month": F.substring(code, 1, 6),
-        "fiscal_quarter": F.format_string("%04d%02d", year, quarter),
+        "fiscal_quarter": (year * 100 + quarter).cast("string"),
         "fiscal_year": year.cast("string"),
     }
 

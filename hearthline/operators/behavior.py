@@ -12,9 +12,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.functions.timeline import (
-    fiscal_columns, quarter_of_week, quarter_weight, timeline_day, timeline_quarter)
+    fiscal_columns, fiscal_columns_of_index, fiscal_index, quarter_of_week, quarter_weight,
+    timeline_day, timeline_quarter)
 from hearthline.operators.ranks import percent_rank_lookup, value_positions
-from hearthline.operators.skew import salted_lookup
+from hearthline.operators.skew import lookup_join, salted_lookup
 from hearthline.session import cut_lineage
 from hearthline.sources.tables import kpi_aggregate, sift
 
@@ -33,16 +34,49 @@ def weekly_kpis(tx: DataFrame, product_list: DataFrame | None = None,
 
     The fiscal columns are computed from the date unless a calendar is given.
     """
+    known = tx.where(F.col("hh_id").isNotNull())
+    keys = ["hh_id", "fiscal_week", "fiscal_month", "fiscal_quarter", "fiscal_year"]
     if calendar is None:
-        tx = tx.withColumns(fiscal_columns("trn_date"))
+        numbered = known.withColumn("_week", fiscal_index("trn_date"))
+        kpis = kpi_aggregate(numbered, ["hh_id", "_week"], product_list).withColumns(
+            fiscal_columns_of_index(F.col("_week")))
     else:
-        tx = tx.join(calendar, "trn_date")
-    keys = ["hh_id", "fiscal_week", "fiscal_month", "fiscal_quarter", "fiscal_year"]
-    kpis = kpi_aggregate(tx.where(F.col("hh_id").isNotNull()), keys, product_list)
+        kpis = kpi_aggregate(known.join(calendar, "trn_date"), keys, product_list)
     return kpis.select(*keys, F.col("sales_cents").alias("weekly_sales"),
                        F.col("units").alias("weekly_units"), F.col("visits").alias("weekly_visits"))
 
 
+def household_weeks(tx: DataFrame, product_list: DataFrame) -> DataFrame:
+    """List KPIs, total units and first purchase per household and week, in one pass.
+
+    Gives the same as :func:`weekly_kpis` with and without the list and
+    :func:`daily_kpis`, for runs that need all of them and should read the items
+    once. Weeks without a listed purchase have ``weekly_visits`` 0.
+    """
+    marks = product_list.select("upc", F.lit(True).alias("_listed")).distinct()
+    known = tx.where(F.col("hh_id").isNotNull()).withColumn("_week", fiscal_index("trn_date"))
+    listed = F.col("_listed").isNotNull()
+    per_basket = (lookup_join(known, marks, ["upc"], "basket_id", "left")
+                  .groupBy("hh_id", "_week", "basket_id")
+                  .agg(F.sum("units").alias("all_units"),
+                       F.sum(F.when(listed, F.col("units"))).alias("units"),
+                       F.sum(F.when(listed, F.col("net_cents"))).alias("sales"),
+                       F.min(F.when(listed, F.struct("trn_date", "div_no"))).alias("first")))
+    weeks = per_basket.groupBy("hh_id", "_week").agg(
+        F.coalesce(F.sum("sales"), F.lit(0)).alias("weekly_sales"),
+        F.coalesce(F.sum("units"), F.lit(0)).alias("weekly_units"),
+        F.count("units").alias("weekly_visits"), F.sum("all_units").alias("all_units"),
+        F.min("first").alias("first_purchase"))
+    return weeks.withColumns(fiscal_columns_of_index(F.col("_week"))).drop("_week")
+
+
+def vintage_of_weeks(weeks: DataFrame) -> DataFrame:
+    """:func:`household_vintage` from the rows of :func:`household_weeks`."""
+    first = weeks.where(F.col("weekly_visits") > 0).groupBy("hh_id").agg(
+        F.min("first_purchase").alias("_f"))
+    return _vintage(first)
+
+
 def household_vintage(daily: DataFrame) -> DataFrame:
     """First week with a visit, its calendar columns, and the division of that visit.
 
@@ -50,6 +84,10 @@ def household_vintage(daily: DataFrame) -> DataFrame:
     """
     first = daily.where(F.col("visits") > 0).groupBy("hh_id").agg(
         F.min(F.struct("trn_date", "div_no")).alias("_f"))
+    return _vintage(first)
+
+
+def _vintage(first: DataFrame) -> DataFrame:
     names = {"fiscal_week": "vintage_week", "fiscal_year": "vintage_year",
              "fiscal_month": "vintage_period", "fiscal_quarter": "vintage_quarter"}
     fiscal = fiscal_columns("_f.trn_date")
@@ -232,7 +270,7 @@ def lite_segments(tx: DataFrame, product_list: DataFrame, end: dt.date, days: in
         "quarter", timeline_quarter("trn_date", end, days))
     listed = product_list.select("upc", F.lit(True).alias("_listed")).distinct()
     is_listed = F.coalesce(F.col("_listed"), F.lit(False))
-    per_basket = (window.join(listed, "upc", "left")
+    per_basket = (lookup_join(window, listed, ["upc"], "basket_id", "left")
                   .groupBy("hh_id", "quarter", "basket_id")
                   .agg(F.sum("units").alias("all_units"),
                        F.sum(F.when(is_listed, F.col("units"))).alias("units"),

@@ -7,24 +7,32 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.predicates import haversine_km
 from hearthline.operators.ranks import quantile_cuts
+from hearthline.operators.skew import lookup_join
+from hearthline.session import cut_lineage
 
 
-def preferred_store(tx: DataFrame) -> DataFrame:
+def store_visits(tx: DataFrame) -> DataFrame:
+    """Baskets by household and store, one row each, written once for the steps below."""
+    return cut_lineage(tx.select("hh_id", "basket_id", "store_id").distinct())
+
+
+def preferred_store(visits: DataFrame) -> DataFrame:
     """Store with the most baskets per household; equal counts go to the lowest number."""
-    visits = tx.groupBy("hh_id", "store_id").agg(F.count_distinct("basket_id").alias("baskets"))
+    counted = visits.groupBy("hh_id", "store_id").agg(F.count(F.lit(1)).alias("baskets"))
     best = F.max_by("store_id", F.struct("baskets", -F.col("store_id")))
-    return visits.groupBy("hh_id").agg(best.alias("pref_store_id"),
+    return counted.groupBy("hh_id").agg(best.alias("pref_store_id"),
                                        F.max("baskets").alias("pref_baskets"))
 
 
-def significant_trips(tx: DataFrame, preferred: DataFrame, stores: DataFrame,
+def significant_trips(visits: DataFrame, preferred: DataFrame, stores: DataFrame,
                       km: float = 250.0) -> DataFrame:
     """Trips to a store other than the preferred one, with distance and a far-away flag."""
-    home = preferred.select("hh_id", "pref_store_id").join(
-        stores.select(F.col("store_id").alias("pref_store_id"), F.col("lat").alias("pref_lat"),
-                      F.col("lon").alias("pref_lon")), "pref_store_id")
-    trips = tx.select("hh_id", "basket_id", "store_id").distinct()
-    placed = trips.join(stores.select("store_id", "lat", "lon"), "store_id").join(home, "hh_id")
+    origin = stores.select(F.col("store_id").alias("pref_store_id"), F.col("lat").alias("pref_lat"),
+                           F.col("lon").alias("pref_lon"))
+    home = lookup_join(preferred.select("hh_id", "pref_store_id"), origin, ["pref_store_id"], "hh_id",
+                       computed=False)
+    where = stores.select("store_id", "lat", "lon")
+    placed = lookup_join(visits, where, ["store_id"], "basket_id", computed=False).join(home, "hh_id")
     distance = haversine_km("pref_lat", "pref_lon", "lat", "lon")
     return (placed.where(F.col("store_id") != F.col("pref_store_id"))
             .withColumn("distance_km", distance)
@@ -42,6 +50,7 @@ def distinct_far_stores(trips: DataFrame, cap_quantile: float | None = 0.95) ->
                      .groupBy("hh_id").agg(F.sum("far").alias("far_stores")))
     if cap_quantile is None:
         return per_household
+    per_household = cut_lineage(per_household)
     cap = quantile_cuts(per_household, [], "far_stores", {"cap": cap_quantile}).first()["cap"]
     return per_household.where(F.col("far_stores") <= F.lit(cap))
 
@@ -63,6 +72,7 @@ def roadies(trips: DataFrame, tagged: DataFrame, volumes: DataFrame,
     on_trip = (trips.where(F.col("significant") == 1).select("hh_id", "basket_id")
                .join(tagged.select("basket_id").distinct(), "basket_id", "left_semi")
                .select("hh_id").distinct().join(who, "hh_id", "left_semi"))
+    volumes = cut_lineage(volumes)
     cut = quantile_cuts(volumes, [], "volume", {"cut": top}).first()["cut"]
     heavy = volumes.where(F.col("volume") >= F.lit(cut)).select("hh_id").distinct()
     return (on_trip.unionByName(heavy).groupBy("hh_id").agg(F.count(F.lit(1)).alias("_n"))
@@ -73,8 +83,8 @@ def attribute_audiences(preferred: DataFrame, stores: DataFrame, column: str,
                         mapping: dict[str, str]) -> DataFrame:
     """Households by an attribute of their preferred store; unknown attributes drop out."""
     pairs = [F.lit(x) for pair in mapping.items() for x in pair]
-    placed = preferred.select("hh_id", F.col("pref_store_id").alias("store_id")).join(
-        stores.select("store_id", column), "store_id", "left")
+    homes = preferred.select("hh_id", F.col("pref_store_id").alias("store_id"))
+    placed = lookup_join(homes, stores.select("store_id", column), ["store_id"], "hh_id", "left", computed=False)
     return (placed.withColumn("segment", F.create_map(*pairs)[F.col(column)])
             .where(F.col("segment").isNotNull())
             .select("segment", "hh_id", F.lit("H").alias("propensity")))

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.predicates import exclude_categories, like_any, regex_match
 from hearthline.functions.timeline import weeks_back
+from hearthline.operators.skew import lookup_join
 
 
 def definitions_frame(spark: SparkSession, definitions: dict[str, dict]) -> DataFrame:
@@ -48,7 +49,7 @@ def category_upc_lists(tx: DataFrame, products: DataFrame, definitions: DataFram
 
 def segment_reach(tx: DataFrame, upc_lists: DataFrame) -> DataFrame:
     """Distinct buying households per segment."""
-    return (tx.select("hh_id", "upc").join(upc_lists, "upc")
+    return (lookup_join(tx.select("hh_id", "upc"), upc_lists, ["upc"], "hh_id")
             .groupBy("segment").agg(F.count_distinct("hh_id").alias("households")))
 
 

@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.predicates import any_flag
+from hearthline.operators.skew import lookup_join
 from hearthline.operators.text import joined_by_group, sample_per_group, top_words
 
 
@@ -75,7 +76,8 @@ def segment_eligibility(audience: DataFrame, flags: DataFrame, registered: DataF
     eligible = flags.select("hh_id", any_flag(onsite).cast("int").alias("_on"),
                             any_flag(offsite).cast("int").alias("_off"),
                             any_flag(overall).cast("int").alias("_any"))
-    return (audience.join(production, ["segment", "propensity"]).join(eligible, "hh_id", "left")
+    labelled = lookup_join(audience, production, ["segment", "propensity"], "hh_id")
+    return (labelled.join(eligible, "hh_id", "left")
             .groupBy("segment", "period")
             .agg(F.count("hh_id").alias("total_households"),
                  F.max("frontend_name").alias("frontend_name"), F.max("type").alias("type"),
@@ -89,7 +91,8 @@ def hierarchy_report(tx: DataFrame, products: DataFrame, flags: DataFrame, level
                      samples: int = 30) -> DataFrame:
     """Reach, eligible reach, top words and a product sample for each hierarchy node."""
     eligible = flags.select("hh_id", any_flag(onsite).alias("_on"), any_flag(offsite).alias("_off"))
-    buyers = (tx.select("hh_id", "upc").join(products.select("upc", *levels), "upc")
+    buyers = (lookup_join(tx.select("hh_id", "upc"), products.select("upc", *levels), ["upc"], "hh_id",
+                          computed=False)
               .select("hh_id", *levels).distinct().join(eligible, "hh_id", "left"))
     reach = buyers.groupBy(*levels).agg(
         F.count("hh_id").alias("households"),
@@ -126,8 +129,8 @@ def reconcile(audience_sizes: DataFrame, upc_lists: DataFrame, tx: DataFrame) ->
     ``summed_households`` adds the buyers of each product, so a household counts
     once per product; ``distinct_households`` counts it once.
     """
-    per_pair = (tx.select("upc", "hh_id").groupBy("upc", "hh_id").agg(F.count(F.lit(1)).alias("_rows"))
-                .join(upc_lists, "upc")
+    bought = tx.groupBy("upc", "hh_id").agg(F.count(F.lit(1)).alias("_rows"))
+    per_pair = (lookup_join(bought, upc_lists, ["upc"], "hh_id")
                 .groupBy("segment", "hh_id").agg(F.sum("_rows").alias("_rows"),
                                                  F.count(F.lit(1)).alias("_products")))
     found = per_pair.groupBy("segment").agg(
@@ -146,5 +149,5 @@ def cycle_household_counts(tx: DataFrame, versions: DataFrame, category: str) ->
     valid = (F.col("trn_date") >= F.col("valid_from")) & (
         F.col("valid_to").isNull() | (F.col("trn_date") < F.col("valid_to")))
     daily = tx.select("upc", "hh_id", "trn_date").distinct()
-    return (daily.join(versions, "upc").where(valid).groupBy(category)
+    return (lookup_join(daily, versions, ["upc"], "hh_id", computed=False).where(valid).groupBy(category)
             .agg(F.count_distinct("hh_id").alias("households")))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.operators.ranks import quantile_cuts
+from hearthline.operators.skew import lookup_join
 
 
 def hml(value: Column, low: Column, high: Column) -> Column:
@@ -33,7 +34,8 @@ def label_by_quantiles(totals: DataFrame, groups: list[str], value: str,
 def percentile_propensity(tx: DataFrame, upc_lists: DataFrame, low: float = 0.33,
                           high: float = 0.66) -> DataFrame:
     """Spend per segment and household with its H/M/L label, all segments at once."""
-    spend = (drop_returns(tx).select("hh_id", "upc", "net_cents").join(upc_lists, "upc")
+    items = drop_returns(tx).select("hh_id", "upc", "net_cents")
+    spend = (lookup_join(items, upc_lists, ["upc"], "hh_id")
              .groupBy("segment", "hh_id").agg(F.sum("net_cents").alias("spend_cents")))
     return label_by_quantiles(spend, ["segment"], "spend_cents", low, high)
 
@@ -57,7 +59,8 @@ def buyers_audience(tx: DataFrame, upc_lists: DataFrame, start: dt.date | None =
     """Every household that bought from a segment's list is H."""
     if start is not None:
         tx = tx.where(F.col("trn_date") >= F.lit(start))
-    return (tx.select("hh_id", "upc").join(upc_lists, "upc").select("segment", "hh_id").distinct()
+    return (lookup_join(tx.select("hh_id", "upc"), upc_lists, ["upc"], "hh_id")
+            .select("segment", "hh_id").distinct()
             .withColumn("propensity", F.lit("H")))
 
 

@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.functions.timeline import week_timeline
+from hearthline.sources.tables import with_products
 
 # Standard normal quantiles by coverage in percent.
 NORMAL_QUANTILES = {90: 1.282, 91: 1.341, 92: 1.405, 93: 1.476, 94: 1.555,
@@ -21,7 +22,7 @@ NORMAL_QUANTILES = {90: 1.282, 91: 1.341, 92: 1.405, 93: 1.476, 94: 1.555,
 
 def daily_spend(tx: DataFrame, products: DataFrame, category: str, start: dt.date) -> DataFrame:
     """Spend per category and date with the week columns."""
-    spend = (tx.join(products.select("upc", category), "upc").where(F.col(category).isNotNull())
+    spend = (with_products(tx, products, [category]).where(F.col(category).isNotNull())
              .groupBy(category, "trn_date").agg(F.sum("net_cents").alias("spend_cents")))
     return week_timeline(spend, "trn_date", start)
 

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.operators.components import connected_components
+from hearthline.operators.ranks import value_positions
+from hearthline.operators.skew import lookup_join
 
 # Characters stripped from the ends of a word.
 STRIP_CHARACTERS = "()[]{}™®"
@@ -19,6 +21,10 @@ SPACE_PATTERN = r"[/\\\-_|+]"
 DELETE_PATTERN = r"[<>?!;:}{=&%$#@~^*()\[\]]"
 
 
+# Up to this many rows per group, Spark limits groups before the shuffle.
+PRE_SHUFFLE_LIMIT = 1_000
+
+
 def _col(value) -> Column:
     return F.col(value) if isinstance(value, str) else value
 
@@ -77,9 +83,20 @@ def global_top_words(df: DataFrame, text: str, n: int) -> DataFrame:
 
 
 def sample_per_group(df: DataFrame, groups: list[str], key: str, n: int) -> DataFrame:
-    """``n`` representatives per group in hash order of the key, the same on every run."""
-    order = [F.md5(F.col(key).cast("string")), F.col(key)]
-    return top_n(df, groups, order, n)
+    """``n`` representatives per group in hash order of the key, the same on every run.
+
+    A sample too large for the pre-shuffle limit is first cut down by hash range:
+    rows are counted per range, and only the ranges that can hold one of the
+    first ``n`` rows go on.
+    """
+    digest = F.md5(F.col(key).cast("string"))
+    if n > PRE_SHUFFLE_LIMIT:
+        ranged = df.withColumn("_hash_range", F.conv(F.substring(digest, 1, 5), 16, 10).cast("long"))
+        last = (value_positions(ranged, groups, "_hash_range").where(F.col("n_before") < n)
+                .groupBy(*groups).agg(F.max("_hash_range").alias("_last")))
+        df = (lookup_join(ranged, last, groups, key).where(F.col("_hash_range") <= F.col("_last"))
+              .drop("_hash_range", "_last"))
+    return top_n(df, groups, [digest, F.col(key)], n)
 
 
 def _words(text: Column, strip: str) -> Column:
@@ -332,13 +349,14 @@ def tag_by_keyword_table(df: DataFrame, key: str, text: str, keywords: DataFrame
     """
     words = df.select(key, F.explode(_words(F.lower(text), strip)).alias(column))
     counted = words.groupBy(key, column).agg(F.count(F.lit(1)).alias("_n"))
-    hits = counted.join(keywords.select(column).distinct(), column, "left_semi")
+    hits = lookup_join(counted, keywords.select(column).distinct(), [column], key, "left_semi")
     return hits.groupBy(key).agg(F.sum("_n").alias("hits"), F.count(F.lit(1)).alias("keywords"))
 
 
 def flag_comparison(tx: DataFrame, flags: DataFrame, columns: list[str]) -> DataFrame:
     """Households reached by each of several product flags, in one pass."""
-    per_household = tx.select("hh_id", "upc").join(flags, "upc").groupBy("hh_id").agg(
+    flagged = lookup_join(tx.select("hh_id", "upc"), flags, ["upc"], "hh_id", computed=False)
+    per_household = flagged.groupBy("hh_id").agg(
         *[F.max(F.col(c).cast("int")).alias(c) for c in columns])
     totals = per_household.agg(*[F.sum(c).alias(c) for c in columns])
     return totals.select(F.explode(F.array(*[
@@ -349,11 +367,12 @@ def flag_comparison(tx: DataFrame, flags: DataFrame, columns: list[str]) -> Data
 def cluster_text(df: DataFrame, cluster: str, key: str, text: str, span: int = 1_000) -> DataFrame:
     """Texts of a cluster without digits, tab-joined, in parts of ``span`` key numbers.
 
-    A part covers a fixed range of keys, so none holds more than ``span`` texts.
+    A part covers a fixed range of keys and a key counts once in its cluster, so
+    none holds more than ``span`` texts.
     """
     plain = F.trim(F.regexp_replace(text, "[0-9]", ""))
-    rows = df.where(F.col(text).isNotNull()).select(
-        cluster, F.floor(F.col(key) / span).alias("part"), key, plain.alias("_t"))
+    part = F.floor(F.col(key) / span).alias("part")
+    rows = df.where(F.col(text).isNotNull()).groupBy(cluster, part, key).agg(F.min(plain).alias("_t"))
     return joined_by_group(rows, [cluster, "part"], key, "_t", "digest", "\t")
 
 

@@ -15,6 +15,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_schema
 
 PAGE = 2_000
 
@@ -45,7 +46,7 @@ def query_pages(queries: DataFrame, key: str, vector: str, page: int = PAGE) ->
 
 
 def _score_page(names: list, weights: np.ndarray, k: int | None, min_score: float | None,
-                schema: pa.Schema) -> Callable:
+                per_row: int | None, schema: pa.Schema) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         labels = pa.array(names, type=schema.field(0).type)
         for batch in batches:
@@ -60,6 +61,12 @@ def _score_page(names: list, weights: np.ndarray, k: int | None, min_score: floa
                 best = np.zeros_like(wanted)
                 best[order[by_score], np.arange(scores.shape[1])] = True
                 wanted &= best
+            if per_row is not None:
+                # Pages come in query order, so the first of equal scores is the lower query.
+                by_score = np.argsort(-scores, axis=1, kind="stable")[:, :per_row]
+                best = np.zeros_like(wanted)
+                np.put_along_axis(best, by_score, True, axis=1)
+                wanted &= best
             rows, cols = np.nonzero(wanted)
             yield pa.RecordBatch.from_arrays(
                 [labels.take(pa.array(cols)), keys.take(pa.array(rows)), pa.array(scores[rows, cols])],
@@ -69,21 +76,22 @@ def _score_page(names: list, weights: np.ndarray, k: int | None, min_score: floa
 
 
 def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
-          query_vector: str, k: int | None = None, min_score: float | None = None) -> DataFrame:
+          query_vector: str, k: int | None = None, min_score: float | None = None,
+          per_row: int | None = None) -> DataFrame:
     """Scores of vectors against queries: query, key and score.
 
     ``min_score`` keeps only scores at or above it. ``k`` keeps what can still be
-    among the best k of a query; rank the result to get exactly k.
+    among the best k vectors of a query, ``per_row`` what can still be among the
+    best queries of a vector; rank the result to get exactly that many.
     """
     names = T.StructType([
         T.StructField("query", queries.schema[query_key].dataType),
         T.StructField(key, vectors.schema[key].dataType), T.StructField("score", T.DoubleType())])
-    from pyspark.sql.pandas.types import to_arrow_schema
     schema = to_arrow_schema(names)
     source = vectors.select(key, vector).where(F.col(vector).isNotNull())
     out = None
     for labels, weights in query_pages(queries, query_key, query_vector):
-        page = source.mapInArrow(_score_page(labels, weights, k, min_score, schema), names)
+        page = source.mapInArrow(_score_page(labels, weights, k, min_score, per_row, schema), names)
         out = page if out is None else out.unionByName(page)
     return vectors.sparkSession.createDataFrame([], names) if out is None else out
 
@@ -115,8 +123,7 @@ def cross_top_k(households: DataFrame, household_key: str, items: DataFrame, ite
     """
     forward = nearest(households, household_key, vector, items, item_key, vector, k)
     chosen = households.join(forward.select(household_key).distinct(), household_key, "left_semi")
-    # Few items against many households: score the households again, rank the items.
-    back = score(chosen, household_key, vector, items, item_key, vector)
+    back = score(chosen, household_key, vector, items, item_key, vector, per_row=k)
     order = Window.partitionBy(household_key).orderBy(F.desc("score"), "query")
     back = back.withColumn("position", F.row_number().over(order)).where(F.col("position") <= k)
     columns = [F.col("query").alias(item_key), household_key, "score", "position"]

@@ -15,13 +15,14 @@ from hearthline.operators.geo import share_of_households
 from hearthline.operators.skew import salted_lookup
 from hearthline.plans.bindings import LISTS, PRODUCTS, segment_lists, with_tx
 from hearthline.plans.registry import query
-from hearthline.sources.tables import products, read_table, transactions
+from hearthline.sources.tables import products, read_table, transactions, with_products
 
 SALES = "CAST(SUM(net_cents) AS BIGINT) AS sales_cents"
 
 
 def item_products(spark, folder):
-    return transactions(spark, folder).join(products(spark, folder), "upc")
+    columns = ["department", "commodity", "size", "product_name"]
+    return with_products(transactions(spark, folder), products(spark, folder), columns)
 
 
 @query("a01_sum_count_avg", with_tx(PRODUCTS, body=f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from hearthline.functions import timeline as C
 from hearthline.functions.predicates import market_label
 from hearthline.operators import behavior as B
-from hearthline.operators.geo import preferred_store
+from hearthline.operators.geo import preferred_store, store_visits
 from hearthline.operators.propensity import drop_returns
 from hearthline.plans.bindings import BOUNDS, PRODUCTS, with_tx
 from hearthline.plans.registry import query
@@ -119,8 +119,10 @@ class Inputs:
         self.vintage = B.household_vintage(B.daily_kpis(self.tx, self.listed))
 
     def stored(self):
-        self.weekly, self.everything, self.vintage = (
-            cut_lineage(df) for df in (self.weekly, self.everything, self.vintage))
+        weeks = cut_lineage(B.household_weeks(self.tx, self.listed))
+        self.weekly = weeks.where(F.col("weekly_visits") > 0)
+        self.everything = weeks.withColumn("weekly_units", F.col("all_units"))
+        self.vintage = B.vintage_of_weeks(weeks)
         return self
 
     @property
@@ -141,7 +143,7 @@ def markets(spark, folder):
     stores = read_table(spark, folder, "supplier").select(
         F.col("s_suppkey").alias("pref_store_id"), F.col("s_nationkey").alias("div"))
     division = F.when(F.col("div").between(10, 12), F.concat_ws("-", F.lit("NEW"), "div")).otherwise("OLD")
-    return (preferred_store(transactions(spark, folder)).join(stores, "pref_store_id")
+    return (preferred_store(store_visits(transactions(spark, folder))).join(stores, "pref_store_id")
             .withColumn("division", division)
             .select("hh_id", market_label("division", ["NEW"]).alias("market")))
 

@@ -8,6 +8,7 @@ from hearthline.functions.predicates import haversine_km
 from hearthline.operators import geo as G
 from hearthline.plans.bindings import PRODUCTS, STORES, with_tx
 from hearthline.plans.registry import query
+from hearthline.session import cut_lineage
 from hearthline.sources.tables import products, read_table, store_positions, transactions
 
 KM = 2500.0
@@ -36,8 +37,8 @@ travelers AS (
 
 
 def trips(spark, folder):
-    tx = transactions(spark, folder)
-    return G.significant_trips(tx, G.preferred_store(tx), store_positions(spark, folder), KM)
+    visits = G.store_visits(transactions(spark, folder))
+    return G.significant_trips(visits, G.preferred_store(visits), store_positions(spark, folder), KM)
 
 
 @query("d23_significant_trips", with_tx(TRIPS, body="""
@@ -62,8 +63,9 @@ FROM (SELECT hh_id FROM one UNION ALL SELECT hh_id FROM two) GROUP BY 1"""))
 def d25(spark, folder):
     tagged = transactions(spark, folder).join(
         products(spark, folder).where(F.col("department") == "PROMO").select("upc"), "upc", "left_semi")
-    volumes = tagged.groupBy("hh_id").agg(F.sum("units").alias("volume"))
-    return G.roadies(trips(spark, folder), tagged, volumes)
+    baskets = cut_lineage(tagged.groupBy("hh_id", "basket_id").agg(F.sum("units").alias("units")))
+    volumes = baskets.groupBy("hh_id").agg(F.sum("units").alias("volume"))
+    return G.roadies(cut_lineage(trips(spark, folder)), baskets, volumes)
 
 
 AREAS = {"AFRICA": "metro", "AMERICA": "micro", "ASIA": "non_metro"}
@@ -84,13 +86,13 @@ def store_regions(spark, folder):
 @query("d26_attribute_audiences", with_tx(AREA_SQL, body="""
 SELECT segment, hh_id, 'H' AS propensity FROM placed WHERE segment IS NOT NULL"""))
 def d26(spark, folder):
-    return G.attribute_audiences(G.preferred_store(transactions(spark, folder)),
+    return G.attribute_audiences(G.preferred_store(G.store_visits(transactions(spark, folder))),
                                  store_regions(spark, folder), "r_name", AREAS)
 
 
 def sources(spark, folder):
     """Region of a household by its preferred store and by its address."""
-    shop = G.preferred_store(transactions(spark, folder)).select(
+    shop = G.preferred_store(G.store_visits(transactions(spark, folder))).select(
         "hh_id", F.col("pref_store_id").alias("store_id")).join(store_regions(spark, folder), "store_id")
     home = (read_table(spark, folder, "customer").join(
         read_table(spark, folder, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -127,7 +129,7 @@ def d27_mismatches(spark, folder):
 
 @query("d28_preferred_store", with_tx(PREF, body="SELECT * FROM pref"))
 def d28(spark, folder):
-    return G.preferred_store(transactions(spark, folder))
+    return G.preferred_store(G.store_visits(transactions(spark, folder)))
 
 
 @query("f04_haversine", with_tx(PREF, body="""

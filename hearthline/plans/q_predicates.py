@@ -12,7 +12,7 @@ from hearthline.operators.propensity import drop_returns
 from hearthline.plans.bindings import PRODUCTS, STORES, with_tx
 from hearthline.plans.registry import query
 from hearthline.sources.hierarchy import dedupe, flatten_hierarchy, nest_hierarchy
-from hearthline.sources.tables import products, read_table, store_positions, transactions
+from hearthline.sources.tables import products, read_table, spread, store_positions, transactions
 
 ONLY_PRODUCTS = "WITH " + PRODUCTS
 
@@ -216,7 +216,7 @@ WITH c AS (
            '{DELETE}', '', 'g'), '\\s+', ' ', 'g'), ' ') AS description FROM documents)
 SELECT doc_id, name, lower(name) AS name_cleaned, md5(lower(description)) AS description_hash FROM c""")
 def f05(spark, folder):
-    docs = read_table(spark, folder, "documents").select(
+    docs = spread(read_table(spark, folder, "documents"), "doc_id").select(
         "doc_id", F.concat("source", F.lit(" ("), "lang", F.lit(")")).alias("name"), F.col("text").alias("description"))
     return X.normalize_text(docs, "name", "description").select(
         "doc_id", "name", "name_cleaned", F.md5("description_cleaned").alias("description_hash"))

@@ -8,13 +8,14 @@ from hearthline.operators import text as X
 from hearthline.operators.reports import describe
 from hearthline.plans.bindings import with_tx
 from hearthline.plans.registry import query
-from hearthline.sources.tables import read_table, transactions
+from hearthline.sources.tables import read_table, spread, transactions
 
 WORDS = "w AS (SELECT lang, unnest(string_split(lower(text), ' ')) AS word FROM documents)"
 
 
 def documents(spark, folder):
-    return read_table(spark, folder, "documents").select("doc_id", "lang", "source", F.lower("text").alias("text"))
+    docs = spread(read_table(spark, folder, "documents", ["doc_id", "lang", "text"]), "doc_id")
+    return docs.withColumn("text", F.lower("text"))
 
 
 @query("x01_word_counts", f"WITH {WORDS} SELECT lang, word, COUNT(*) AS n FROM w GROUP BY 1, 2")
@@ -61,7 +62,7 @@ WITH kw AS (SELECT trim(unnest(string_split_regex(trim(lower(text), ' '), '\\s+'
 SELECT k AS keyword, COUNT(*) AS n FROM kw
 WHERE k <> '' AND length(k) > 1 AND NOT regexp_matches(k, '{UNIT}') AND NOT regexp_matches(k, '^[0-9]+$') GROUP BY 1""")
 def x04_documents(spark, folder):
-    return X.extract_keywords(read_table(spark, folder, "documents"), ["text"])
+    return X.extract_keywords(documents(spark, folder), ["text"])
 
 
 @query("x05_cluster_keywords", f"""
@@ -202,7 +203,7 @@ def x13(spark, folder):
 WITH {TOKENS}, w AS (SELECT doc_id, trim(unnest(string_split_regex(trim(lower(text), ' '), '\\s+')), '{CHARS}') AS word FROM documents)
 SELECT doc_id, COUNT(*) AS hits, COUNT(DISTINCT word) AS keywords FROM w WHERE word IN (SELECT keyword FROM toks) GROUP BY 1""")
 def x13_table(spark, folder):
-    return X.tag_by_keyword_table(read_table(spark, folder, "documents"), "doc_id", "text",
+    return X.tag_by_keyword_table(documents(spark, folder), "doc_id", "text",
                                   tokens(spark, folder), "keyword")
 
 

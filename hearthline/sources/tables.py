@@ -6,20 +6,46 @@ import datetime as dt
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
+
+from hearthline.operators.skew import lookup_join
+
+
+_SCHEMAS: dict[str, StructType] = {}
 
 
 def read_table(spark: SparkSession, folder: str, name: str, columns: list[str] | None = None) -> DataFrame:
-    """Parquet scan reduced to the named columns."""
-    df = spark.read.parquet(f"{folder}/{name}.parquet")
+    """Parquet scan reduced to the named columns.
+
+    The schema is read from a footer the first time only; that is a job of its own.
+    """
+    path = f"{folder}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    df = spark.read.schema(_SCHEMAS[path]).parquet(path)
     return df.select(*columns) if columns else df
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Deal rows out over all cores when a scan has fewer splits than there are cores.
+
+    Meant for small inputs in few files ahead of work that is heavy per row. A
+    large table has more splits than cores and passes through unchanged.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, key) if df.rdd.getNumPartitions() < cores else df
+
+
 def net_cents() -> Column:
     """Net spend as whole cents, so that sums do not depend on row order."""
     net = F.col("l_extendedprice") * (1 - F.col("l_discount"))
     return F.round(net * 100).cast("long")
 
 
+LINE_COLUMNS = ["l_orderkey", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice", "l_discount",
+                "l_returnflag"]
+
+
 def transactions(spark: SparkSession, folder: str, start: dt.date | None = None,
                  end: dt.date | None = None, stores: bool = False) -> DataFrame:
     """Scanned items between two dates, one row per item.
@@ -33,8 +59,8 @@ def transactions(spark: SparkSession, folder: str, start: dt.date | None = None,
     if end is not None:
         after = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
         baskets = baskets.where(F.col("o_orderdate") < F.lit(after))
-    items = read_table(spark, folder, "lineitem").join(
-        baskets, F.col("l_orderkey") == F.col("o_orderkey"))
+    items = read_table(spark, folder, "lineitem", LINE_COLUMNS)
+    items = spread(items, "l_orderkey").join(baskets, F.col("l_orderkey") == F.col("o_orderkey"))
     columns = [
         F.col("o_custkey").alias("hh_id"), F.col("l_partkey").alias("upc"),
         F.col("l_orderkey").alias("basket_id"), F.to_date("o_orderdate").alias("trn_date"),
@@ -66,6 +92,11 @@ def products(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def with_products(tx: DataFrame, hierarchy: DataFrame, columns: list[str]) -> DataFrame:
+    """Items with columns of their product; the hierarchy is a scan, one row per product."""
+    return lookup_join(tx, hierarchy.select("upc", *columns), ["upc"], "basket_id", computed=False)
+
+
 def store_positions(spark: SparkSession, folder: str) -> DataFrame:
     """Store, division and a position derived from the store number."""
     return read_table(spark, folder, "supplier").select(
@@ -81,7 +112,7 @@ def exclude(tx: DataFrame, households: DataFrame | None = None,
     if households is not None:
         tx = tx.join(households, "hh_id", "left_anti")
     if items is not None:
-        tx = tx.join(items, "upc", "left_anti")
+        tx = lookup_join(tx, items.distinct(), ["upc"], "basket_id", "left_anti")
     return tx
 
 
@@ -101,7 +132,7 @@ def kpi_aggregate(tx: DataFrame, keys: list[str], product_list: DataFrame | None
     basket, which needs no distinct step and shrinks a heavy key before it moves.
     """
     if product_list is not None:
-        tx = sift(tx, product_list, ["upc"], "include")
+        tx = lookup_join(tx, product_list.select("upc").distinct(), ["upc"], "basket_id", "left_semi")
     per_basket = tx.groupBy(*keys, "basket_id").agg(
         F.sum("net_cents").alias("net_cents"), F.sum("units").alias("units"))
     grouped = {"group": per_basket.groupBy, "rollup": per_basket.rollup, "cube": per_basket.cube}
