@@ -400,7 +400,8 @@ def product_sentence(df: DataFrame, key: str, description: str, own_diets: str,
     """Sentence for each product from its description and two lists of diet names.
 
     ``own_diets`` and ``feed_diets`` are arrays of names. Feed names lose their
-    dashes, every name ends in ``diet`` once, and repeated names are dropped.
+    dashes, all names but the last of the feed end in ``diet``, and repeated
+    names are dropped.
     """
     own = F.when(F.size(F.col(own_diets)) > 0, F.lower(F.concat(
         F.array_join(own_diets, " diet,"), F.lit(" diet")))).otherwise(F.lit(""))

@@ -77,7 +77,7 @@ def _score_page(names: list, weights: np.ndarray, k: int | None, min_score: floa
 
 def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
           query_vector: str, k: int | None = None, min_score: float | None = None,
-          per_row: int | None = None) -> DataFrame:
+          per_row: int | None = None, page: int = PAGE) -> DataFrame:
     """Scores of vectors against queries: query, key and score.
 
     ``min_score`` keeps only scores at or above it. ``k`` keeps what can still be
@@ -90,9 +90,9 @@ def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_k
     schema = to_arrow_schema(names)
     source = vectors.select(key, vector).where(F.col(vector).isNotNull())
     out = None
-    for labels, weights in query_pages(queries, query_key, query_vector):
-        page = source.mapInArrow(_score_page(labels, weights, k, min_score, per_row, schema), names)
-        out = page if out is None else out.unionByName(page)
+    for labels, weights in query_pages(queries, query_key, query_vector, page):
+        part = source.mapInArrow(_score_page(labels, weights, k, min_score, per_row, schema), names)
+        out = part if out is None else out.unionByName(part)
     return vectors.sparkSession.createDataFrame([], names) if out is None else out
 
 

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import cached_property
+
 from pyspark.sql import functions as F
 
 from hearthline.functions import timeline as C
@@ -113,10 +115,18 @@ class Inputs:
         self.tx = drop_returns(transactions(spark, folder, stores=True))
         self.plain = drop_returns(transactions(spark, folder))
         self.listed = products(spark, folder).where(F.col("department") == "PROMO").select("upc")
-        self.weekly = B.weekly_kpis(self.plain, self.listed)
-        self.everything = B.weekly_kpis(self.plain)
 
-        self.vintage = B.household_vintage(B.daily_kpis(self.tx, self.listed))
+    @cached_property
+    def weekly(self):
+        return B.weekly_kpis(self.plain, self.listed)
+
+    @cached_property
+    def everything(self):
+        return B.weekly_kpis(self.plain)
+
+    @cached_property
+    def vintage(self):
+        return B.household_vintage(B.daily_kpis(self.tx, self.listed))
 
     def stored(self):
         weeks = cut_lineage(B.household_weeks(self.tx, self.listed))
@@ -210,12 +220,12 @@ def d15(spark, folder):
 
 @query("d16_active_households", with_tx(SEGMENTS, body="SELECT * FROM active"))
 def d16(spark, folder):
-    return Inputs(spark, folder).active
+    return Inputs(spark, folder).stored().active
 
 
 @query("d17_unit_penetration", with_tx(PILLARS, body="SELECT * FROM pillars"))
 def d17(spark, folder):
-    return Inputs(spark, folder).pillars
+    return Inputs(spark, folder).stored().pillars
 
 
 @query("d18_rank_pillars", with_tx(PILLARS, body="SELECT * FROM ranked"))

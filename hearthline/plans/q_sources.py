@@ -256,7 +256,8 @@ FROM audience a JOIN gate g ON g.audience = a.segment WHERE g.n >= 200 GROUP BY
 def s16_egress(spark, folder):
     path = scratch_path(spark, "egress")
     E.egress(segment_labels(spark, folder), definitions(spark), path, "20010801", 200)
-    return spark.read.parquet(f"{path}/run_date=20010801").groupBy("audience", "segment").agg(
+    written = spark.read.schema("hh_id long, segment string, audience string").parquet(f"{path}/run_date=20010801")
+    return written.groupBy("audience", "segment").agg(
         F.count(F.lit(1)).alias("households"))
 
 

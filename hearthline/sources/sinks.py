@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from urllib.parse import quote
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -23,6 +25,16 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
      .option("partitionOverwriteMode", "dynamic").partitionBy(*columns).parquet(path))
 
 
+def replace_partition(df: DataFrame, path: str, values: dict[str, str]) -> None:
+    """Replace one named partition, also by no rows at all.
+
+    A dynamic overwrite only touches partitions that receive a row, and would
+    leave the old rows of a run that has become empty.
+    """
+    folders = "/".join(f"{column}={quote(str(value), safe='')}" for column, value in values.items())
+    df.drop(*values).write.mode("overwrite").parquet(f"{path}/{folders}")
+
+
 def write_run(df: DataFrame, path: str, mode: str, modality: str, end_week: str, run_week: str,
               columns: list[str]) -> None:
     """Store one run's rows with its constant columns, in a fixed column order.
@@ -33,11 +45,10 @@ def write_run(df: DataFrame, path: str, mode: str, modality: str, end_week: str,
         raise ValueError("mode must be append or overwrite")
     rows = df.withColumns({"modality": F.lit(modality), "end_week": F.lit(end_week),
                            "stratum_week": F.lit(run_week)}).select(*columns)
-    keys = ["modality", "stratum_week"]
     if mode == "overwrite":
-        replace_partitions(rows, path, keys)
+        replace_partition(rows, path, {"modality": modality, "stratum_week": run_week})
     else:
-        rows.write.mode("append").partitionBy(*keys).parquet(path)
+        rows.write.mode("append").partitionBy("modality", "stratum_week").parquet(path)
 
 
 def append_period(df: DataFrame, path: str, period: str = "period") -> None:

@@ -132,7 +132,7 @@ def kpi_aggregate(tx: DataFrame, keys: list[str], product_list: DataFrame | None
     basket, which needs no distinct step and shrinks a heavy key before it moves.
     """
     if product_list is not None:
-        tx = lookup_join(tx, product_list.select("upc").distinct(), ["upc"], "basket_id", "left_semi")
+        tx = lookup_join(tx, product_list.select("upc"), ["upc"], "basket_id", "left_semi")
     per_basket = tx.groupBy(*keys, "basket_id").agg(
         F.sum("net_cents").alias("net_cents"), F.sum("units").alias("units"))
     grouped = {"group": per_basket.groupBy, "rollup": per_basket.rollup, "cube": per_basket.cube}
