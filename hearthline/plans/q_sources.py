@@ -183,15 +183,15 @@ def s12(spark, folder):
 
 
 @query("s13_write_run", with_tx(LABELS, body="""
-SELECT modality, stratum_week, end_week, COUNT(*) AS households, CAST(SUM(spend_cents) AS BIGINT) AS spend_cents FROM (
-  SELECT segment AS modality, '20010801' AS stratum_week, '20010704' AS end_week, spend_cents FROM audience WHERE propensity = 'H'
+SELECT modality, run_week, end_week, COUNT(*) AS households, CAST(SUM(spend_cents) AS BIGINT) AS spend_cents FROM (
+  SELECT segment AS modality, '20010801' AS run_week, '20010704' AS end_week, spend_cents FROM audience WHERE propensity = 'H'
   UNION ALL SELECT segment, '20010802', '20010801', spend_cents FROM audience
   UNION ALL SELECT segment, '20010802', '20010801', spend_cents FROM audience WHERE segment = 'seg_a') GROUP BY ALL"""))
 def s13(spark, folder):
     """Two run weeks per segment; one is written again with fewer rows, one appended to."""
     path, labels = scratch_path(spark, "runs"), cut_lineage(segment_labels(spark, folder).select(
         "segment", F.col("hh_id").alias("household"), "propensity", "spend_cents"))
-    columns = ["household", "modality", "end_week", "stratum_week", "propensity", "spend_cents"]
+    columns = ["household", "modality", "end_week", "run_week", "propensity", "spend_cents"]
     for name in ("seg_a", "seg_b", "seg_c"):
         rows = labels.where(F.col("segment") == name)
         K.write_run(rows, path, "overwrite", name, "20010704", "20010801", columns)
@@ -199,7 +199,7 @@ def s13(spark, folder):
         K.write_run(rows.where(F.col("propensity") == "H"), path, "overwrite", name, "20010704", "20010801", columns)
     K.write_run(labels.where(F.col("segment") == "seg_a"), path, "append", "seg_a", "20010801", "20010802", columns)
     return (spark.read.parquet(path)
-            .groupBy("modality", F.col("stratum_week").cast("string").alias("stratum_week"), "end_week")
+            .groupBy("modality", F.col("run_week").cast("string").alias("run_week"), "end_week")
             .agg(F.count(F.lit(1)).alias("households"), F.sum("spend_cents").alias("spend_cents")))
 
 
@@ -230,8 +230,8 @@ registry AS (
 
 def definitions(spark):
     """Registry of the category segments and one audience nobody belongs to."""
-    rows = [("seg_a", "First Brands ", "percentile", "commodities_subcommodities", "Purchase", ["H"], ["Brand"]),
-            ("seg_b", "Pack Sizes", "percentile", "commodities_subcommodities", "Purchase", ["H", "M"], ["Size"]),
+    rows = [("seg_a", "First Brands ", "percentile", "category", "Purchase", ["H"], ["Brand"]),
+            ("seg_b", "Pack Sizes", "percentile", "category", "Purchase", ["H", "M"], ["Size"]),
             ("seg_c", "Mixed", "sensitive", "regex", "Purchase", ["H", "M", "L"], ["Brand", "Size"]),
             ("seg_d", "Nobody", "geospatial", None, "Geography", ["H"], [])]
     return spark.createDataFrame(
@@ -269,8 +269,8 @@ def brand_registry(spark, folder):
         name.alias("audience"), F.concat_ws(" ", "commodity", "department").alias("frontend_name"),
         F.when(F.col("department") == "PROMO", "fuel").otherwise("percentile").alias("type"),
         F.when(F.col("department") == "SMALL", F.lit(None).cast("string"))
-        .when(F.col("department") == "LARGE", "search_embedding")
-        .otherwise("commodities_subcommodities").alias("list_type"),
+        .when(F.col("department") == "LARGE", "embedding")
+        .otherwise("category").alias("list_type"),
         F.lit("Purchase").alias("segment_type"), F.array(F.lit("H"), F.lit("M")).alias("propensities"),
         F.array("department").alias("tags"))
 
@@ -284,11 +284,11 @@ UUID = ("substr(sha256({0}), 1, 8) || '-' || substr(sha256({0}), 9, 4) || '-' ||
 
 @query("d31_registry", f"""WITH {KINDS}
 SELECT audience, CASE WHEN department = 'PROMO' THEN 'fuel' ELSE 'percentile' END AS type,
-  CASE WHEN department = 'PROMO' THEN '/audiences/commodity_segments/fuel_segmentations/'
-       ELSE '/audiences/commodity_segments/percentile_segmentations/' END || audience AS location,
+  CASE WHEN department = 'PROMO' THEN '/audiences/category/fuel/'
+       ELSE '/audiences/category/percentile/' END || audience AS location,
   CASE WHEN department = 'SMALL' THEN 'none'
-       WHEN department = 'LARGE' THEN '/audiences/embedded_dimensions/diet_query_embeddings'
-       ELSE '/audiences/commodity_segments/upc_lists/' || audience END AS list_location FROM kinds""")
+       WHEN department = 'LARGE' THEN '/audiences/lists/embedding'
+       ELSE '/audiences/lists/category/' || audience END AS list_location FROM kinds""")
 def d31(spark, folder):
     return E.registry(brand_registry(spark, folder), "/audiences").select(
         "audience", "type", "location", F.coalesce("list_location", F.lit("none")).alias("list_location"))

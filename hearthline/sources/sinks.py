@@ -44,11 +44,11 @@ def write_run(df: DataFrame, path: str, mode: str, modality: str, end_week: str,
     if mode not in ("append", "overwrite"):
         raise ValueError("mode must be append or overwrite")
     rows = df.withColumns({"modality": F.lit(modality), "end_week": F.lit(end_week),
-                           "stratum_week": F.lit(run_week)}).select(*columns)
+                           "run_week": F.lit(run_week)}).select(*columns)
     if mode == "overwrite":
-        replace_partition(rows, path, {"modality": modality, "stratum_week": run_week})
+        replace_partition(rows, path, {"modality": modality, "run_week": run_week})
     else:
-        rows.write.mode("append").partitionBy("modality", "stratum_week").parquet(path)
+        rows.write.mode("append").partitionBy("modality", "run_week").parquet(path)
 
 
 def append_period(df: DataFrame, path: str, period: str = "period") -> None:

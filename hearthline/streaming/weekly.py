@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from hearthline.operators.behavior import household_vintage
+from hearthline.session import cut_lineage
 from hearthline.sources.sinks import replace_partition
 from hearthline.sources.tables import read_partitions
 
@@ -19,9 +20,9 @@ def update_vintage(spark: SparkSession, daily: DataFrame, weekly: DataFrame, wee
     with the same rows.
     """
     known = read_partitions(spark, vintage_path, "vintage_week").where(F.col("vintage_week") < week)
-    first_seen = household_vintage(daily).join(known.select("hh_id"), "hh_id", "left_anti")
+    first_seen = cut_lineage(household_vintage(daily).join(known.select("hh_id"), "hh_id", "left_anti"))
     replace_partition(first_seen, vintage_path, {"vintage_week": week})
-    vintages = read_partitions(spark, vintage_path, "vintage_week", end=week)
+    vintages = known.withColumn("vintage_week", F.col("vintage_week").cast("string")).unionByName(first_seen)
     replace_partition(weekly.join(vintages, "hh_id"), sales_path, {"fiscal_week": week})
 
 

@@ -173,7 +173,7 @@ def test_week_by_week_equals_full_build(spark):
 
 def test_write_run_replaces_only_its_partition(spark):
     path = scratch_path(spark, "run")
-    columns = ["hh_id", "modality", "end_week", "stratum_week", "segment"]
+    columns = ["hh_id", "modality", "end_week", "run_week", "segment"]
     rows = lambda *h: spark.createDataFrame([(x, "H") for x in h], "hh_id long, segment string")
     K.write_run(rows(1, 2), path, "overwrite", "keto", "w1", "w2", columns)
     K.write_run(rows(3), path, "overwrite", "vegan", "w1", "w2", columns)
@@ -215,7 +215,7 @@ def test_unknown_audience_type_and_name(spark):
         E.registry(registry(spark, "mystery"), "/r").collect()
     with pytest.raises(ValueError, match="b"):
         E.select_audiences(E.registry(registry(spark), "/r"), ["a", "b"])
-    assert E.registry(registry(spark), "/r").first()["list_location"] == "/r/commodity_segments/upc_lists/a"
+    assert E.registry(registry(spark), "/r").first()["list_location"] == "/r/lists/category/a"
 
 
 def test_audience_below_the_gate_is_not_written(spark):
