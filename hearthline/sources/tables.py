@@ -59,8 +59,8 @@ def transactions(spark: SparkSession, folder: str, start: dt.date | None = None,
     if end is not None:
         after = dt.datetime.combine(end + dt.timedelta(days=1), dt.time())
         baskets = baskets.where(F.col("o_orderdate") < F.lit(after))
-    items = read_table(spark, folder, "lineitem", LINE_COLUMNS)
-    items = spread(items, "l_orderkey").join(baskets, F.col("l_orderkey") == F.col("o_orderkey"))
+    items = read_table(spark, folder, "lineitem", LINE_COLUMNS).join(
+        baskets, F.col("l_orderkey") == F.col("o_orderkey"))
     columns = [
         F.col("o_custkey").alias("hh_id"), F.col("l_partkey").alias("upc"),
         F.col("l_orderkey").alias("basket_id"), F.to_date("o_orderdate").alias("trn_date"),
