@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from hearthline.functions.timeline import fiscal_columns
 from hearthline.operators import monitoring as M
 from hearthline.operators import ranks as R
 from hearthline.operators import reports as Q
