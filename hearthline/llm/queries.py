@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import packing, simhash
+from hearthline.llm import decontaminate, packing, simhash, spans
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,19 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+@query("op2_decontaminate")
+def op2(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document that holds wording of a benchmark item, with the overlap."""
+    return decontaminate.overlaps(table(spark, folder, "documents"), table(spark, folder, "benchmark"))
+
+
+@query("op3_sentence_spans")
+def op3(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's text without repeated runs of sentences, and how many sentences went."""
+    found = spans.remove_repeats(table(spark, folder, "documents"))
+    return found.select("doc_id", "text", "removed_sentences")
+
+
 @query("op4_simhash")
 def op4(spark: SparkSession, folder: str) -> DataFrame:
     """Fingerprint and smallest linked doc_id of every document."""
