@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import decontaminate, packing, simhash, spans
+from hearthline.llm import decontaminate, licenses, packing, quality, shuffle, simhash, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -27,6 +27,22 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
+def ratings(spark: SparkSession, folder: str) -> DataFrame:
+    """Three grades from the label table: 0 poor, 1 good but toxic, 2 good."""
+    labels = table(spark, folder, "labels")
+    return labels.select("doc_id", F.when(F.col("quality") == 0, 0).when(
+        F.col("quality") == 1, F.when(F.col("toxic") == 1, 1).otherwise(2)).alias("grade"))
+
+
+@query("op1_quality")
+def op1(spark: SparkSession, folder: str) -> DataFrame:
+    """Expected grade, probability of at least grade 1, and whether to keep each document."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    model = quality.train(docs, ratings(spark, folder))
+    found = quality.grade_documents(docs, model, cut=1.0)
+    return found.select("doc_id", "expected_grade", "tail", (F.col("tail") >= 0.5).alias("keep"))
+
+
 @query("op2_decontaminate")
 def op2(spark: SparkSession, folder: str) -> DataFrame:
     """Every document that holds wording of a benchmark item, with the overlap."""
@@ -49,6 +65,32 @@ def op4(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", text.alias("fingerprint"), F.col("component").alias("component_id"))
 
 
+@query("op5_shuffle")
+def op5(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's place in 16 shards of a random order."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    size = F.coalesce(F.octet_length("text"), F.lit(0)).cast("long") + 1
+    found = shuffle.shards(docs, size, 16)
+    return found.select("doc_id", size.alias("size"), F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+                        F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op6_licenses")
+def op6(spark: SparkSession, folder: str) -> DataFrame:
+    """License phrases and notices in every document."""
+    return licenses.scan(table(spark, folder, "documents"), ["doc_id"])
+
+
+@query("op7_toxicity")
+def op7(spark: SparkSession, folder: str) -> DataFrame:
+    """Chained probabilities that each document is junk and that it is toxic."""
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    labels = table(spark, folder, "labels").select("doc_id", (1 - F.col("quality")).alias("junk"), "toxic")
+    models = toxicity.train(docs, labels, ["junk", "toxic"])
+    found = toxicity.judge(docs, models, ["p_junk", "p_toxic"])
+    return found.select("doc_id", "p_junk", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces, their sequence and their place in it."""

@@ -79,23 +79,26 @@ def test_small_bitmap_loses_nothing(spark, texts_frame):
     assert [r.doc_id for r in d.overlaps(docs, tests, filter_bits=64).collect()] == [1]
 
 
+def plain_items(words, tests):
+    """Keys of the test items of which 13 words or more stand in ``words``, four fifths of them equal."""
+    places, found = {}, set()
+    for k, w in enumerate(words):
+        places.setdefault(w, []).append(k)
+    for key, item in tests.items():
+        for g in {p - i for i, w in enumerate(item) for p in places.get(w, [])}:
+            low, high = max(0, -g), min(len(item), len(words) - g)
+            equal = [words[i + g] == item[i] for i in range(low, high)]
+            if sum(equal) >= 11 and any(sum(equal[a:a + n]) >= 0.8 * n for n in range(13, len(equal) + 1)
+                                        for a in range(len(equal) - n + 1)):
+                found.add(key)
+    return found
+
+
 def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()
     items = spark.read.parquet(f"{SF}/benchmark.parquet").collect()
     tests = {i.item_id: i.text.encode().lower().split() for i in items}
-    expected = set()
-    for row in docs:
-        words = (row.text or "").encode().lower().split()
-        places = {}
-        for k, w in enumerate(words):
-            places.setdefault(w, []).append(k)
-        for key, item in tests.items():
-            diagonals = {p - i for i, w in enumerate(item) for p in places.get(w, [])}
-            for g in diagonals:
-                low, high = max(0, -g), min(len(item), len(words) - g)
-                equal = [words[i + g] == item[i] for i in range(low, high)]
-                if sum(equal) >= 11 and any(sum(equal[a:a + n]) >= 0.8 * n for n in range(13, len(equal) + 1)
-                                            for a in range(len(equal) - n + 1)):
-                    expected.add((row.doc_id, key))
+    expected = {(row.doc_id, key) for row in docs
+                for key in plain_items((row.text or "").encode().lower().split(), tests)}
     rows = queries.QUERIES["op2_decontaminate"](spark, SF).collect()
     assert {(r.doc_id, r.item_id) for r in rows} == expected and len(rows) == len(expected)
