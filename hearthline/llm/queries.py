@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import decontaminate, licenses, packing, quality, shuffle, simhash, spans, toxicity
+from hearthline.llm import ann, decontaminate, licenses, packing, quality, shuffle, simhash, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -97,3 +97,10 @@ def op9(spark: SparkSession, folder: str) -> DataFrame:
     pieces = packing.token_pieces(table(spark, folder, "documents"),
                                   public_tokenizers.path("word_bpe_49k.json"))
     return packing.pack(pieces)
+
+
+@query("op10_nearest")
+def op10(spark: SparkSession, folder: str) -> DataFrame:
+    """The 10 nearest vectors of every hundredth vector."""
+    vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
+    return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
