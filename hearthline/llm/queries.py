@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import ann, decontaminate, licenses, packing, quality, shuffle, simhash, spans, toxicity
+from hearthline.llm import ann, decontaminate, gru, licenses, packing, quality, shuffle, simhash, spans, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -91,6 +91,12 @@ def op7(spark: SparkSession, folder: str) -> DataFrame:
     return found.select("doc_id", "p_junk", "p_toxic", (F.col("p_toxic") >= 0.5).alias("toxic"))
 
 
+@query("op8_gru")
+def op8(spark: SparkSession, folder: str) -> DataFrame:
+    """Log-likelihood of every document by word counts and by the recurrent model."""
+    return gru.score_documents(table(spark, folder, "documents"))
+
+
 @query("op9_packing")
 def op9(spark: SparkSession, folder: str) -> DataFrame:
     """Every document's pieces, their sequence and their place in it."""
