@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.session import cut_lineage
+from hearthline.session import cut_lineage, discard
 
 
 def _large_star(edges: DataFrame) -> DataFrame:
@@ -42,7 +42,9 @@ def connected_components(edges: DataFrame, src: str, dst: str, max_rounds: int =
         .where(F.col("a") != F.col("b")).distinct())
     before = _fingerprint(current)
     for _ in range(max_rounds):
-        current = cut_lineage(_small_star(_large_star(current)))
+        following = cut_lineage(_small_star(_large_star(current)))
+        discard(current)
+        current = following
         after = _fingerprint(current)
         if after == before:
             break

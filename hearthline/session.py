@@ -36,8 +36,19 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Write ``df`` to shared storage and read it back, so iterative plans stay short.
 
-    The rows survive the loss of any executor and are computed once.
+    The rows survive the loss of any executor and are computed once. ``discard``
+    deletes them when nothing will read them any more.
     """
     path = scratch_path(df.sparkSession, "stage")
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    stored = df.sparkSession.read.schema(df.schema).parquet(path)
+    stored._scratch = path
+    return stored
+
+
+def discard(*stored: DataFrame) -> None:
+    """Delete what ``cut_lineage`` wrote for these; frames that still read them must not run again."""
+    for df in stored:
+        spark = df.sparkSession
+        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
