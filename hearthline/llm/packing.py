@@ -16,16 +16,21 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import WordTable, as_bytes, needed
+from hearthline.llm.texts import needed
 from hearthline.session import cut_lineage
 
 CAPACITY = 2_048
 #: Pieces of one length are ranked in so many parts.
 PARTS = 64
+#: Bytes of text whose words are looked up together.
+TEXT_BYTES = 8 << 20
+#: Entries of a worker's table of ids, of about 200 bytes each.
+TABLE_LIMIT = 1_000_000
 PIECES = (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"))
 
 
@@ -109,39 +114,56 @@ def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
 
 
 _ENCODERS: dict[str, object] = {}
-PUNCTUATION = b"!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
+_MARKS_AFTER = r"^.*?([!-/:-@\[-`{-~]*)$"
 
 
 def encoder(path: str):
-    """Function from a text to its ids as little-endian 32-bit bytes.
+    """Function from a column of texts to their ids, an array of 32-bit numbers each.
 
     The vocabulary ignores case and never joins letters with ASCII punctuation, nor
-    anything across white space. So the ids of a string between ASCII white space
-    are looked up per worker, and those of a new one put together from its letters
-    and the punctuation after them. A text that may hold a special token goes to the
-    tokenizer as it is.
+    anything across white space. So texts are cut at ASCII white space, the different
+    strings are looked up per worker, and those of new strings are put together from
+    their letters and the punctuation after them; new letters go to the tokenizer at
+    once. A text that may hold a special token goes there as it is.
     """
     if path not in _ENCODERS:
         from tokenizers import Tokenizer
         tokenizer = Tokenizer.from_file(path)
-
-        def ids(text: bytes) -> bytes:
-            return np.array(tokenizer.encode(text.decode(), add_special_tokens=False).ids, "<u4").tobytes()
-
-        parts = WordTable(ids)
-
-        def joined(word: bytes) -> bytes:
-            letters = word.rstrip(PUNCTUATION)
-            if len(letters) < len(word) and letters.decode().isalpha():
-                return parts[letters] + parts[word[len(letters):]]
-            return parts[word]
-
-        whole = WordTable(joined)
-
-        def encode(text: bytes) -> bytes:
-            if b"<|" in text:
-                return ids(text)
-            return b"".join(map(whole.__getitem__, text.lower().split()))
+        table: dict[bytes, bytes] = {}
+
+        def batch(found: list[bytes]) -> list[bytes]:
+            encoded = tokenizer.encode_batch_fast([f.decode() for f in found], add_special_tokens=False)
+            return [np.array(e.ids, "<u4").tobytes() for e in encoded]
+
+        def lookup(found: list[bytes]) -> list[bytes]:
+            if len(table) > TABLE_LIMIT:
+                table.clear()
+            new = [p for p in found if p not in table]
+            table.update(zip(new, batch(new)))
+            return [table[p] for p in found]
+
+        def encode(texts: pa.StringArray) -> list[np.ndarray]:
+            special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+            words = lists.flatten().dictionary_encode()
+            # Different strings become letters and marks, or stay as they are with no marks.
+            strings = words.dictionary
+            trimmed = pc.ascii_rtrim(strings, PUNCTUATION)
+            apart = pc.utf8_is_alpha(trimmed)
+            letters = pc.if_else(apart, trimmed, strings).dictionary_encode()
+            marks = pc.if_else(apart, pc.replace_substring_regex(strings, _MARKS_AFTER, r"\1"), "").dictionary_encode()
+            ids = lookup([p for d in (letters, marks) for p in d.dictionary.cast(pa.binary()).to_pylist()])
+            flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+            starts = np.cumsum(sizes) - sizes
+            pairs = np.stack([letters.indices.to_numpy(), marks.indices.to_numpy() + len(letters.dictionary)], axis=1)
+            index = pairs[words.indices.to_numpy()].ravel()
+            ends = np.cumsum(sizes[index])
+            step = np.repeat(starts[index] - (ends - sizes[index]), sizes[index])
+            tokens = flat[step + np.arange(len(step))]
+            cuts = np.append(0, ends)[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+            return [np.frombuffer(batch([texts[i].as_py().encode()])[0], "<u4") if special[i] else tokens[a:b]
+                    for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
 
         _ENCODERS[path] = encode
     return _ENCODERS[path]
@@ -162,10 +184,13 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
         encode = encoder(tokenizer)
         for batch in batches:
             rows, at = [], []
-            for i, t in enumerate(as_bytes(batch, text)):
-                found = pieces_of(encode(t) + tail, capacity)
-                rows += found
-                at += [i] * len(found)
+            texts = batch.column(text).fill_null("")
+            group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // TEXT_BYTES
+            for first, stop in zip(*(np.searchsorted(group, np.unique(group), side) for side in ("left", "right"))):
+                for i, ids in enumerate(encode(texts.slice(first, stop - first)), first):
+                    found = pieces_of(ids.tobytes() + tail, capacity)
+                    rows += found
+                    at += [i] * len(found)
             piece, start, length, crc = zip(*rows) if rows else ((), (), (), ())
             yield pa.RecordBatch.from_arrays(
                 [batch.column(id_col).take(pa.array(at, pa.int64())), pa.array(piece, pa.int32()),
@@ -193,7 +218,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     before = F.sum("n").over(W.partitionBy("length").orderBy("_part").rowsBetween(W.unboundedPreceding, -1))
     offsets = sizes.select("length", "_part", F.coalesce(before, F.lit(0)).alias("_before"))
     own = F.row_number().over(W.partitionBy("length", "_part").orderBy("_row"))
-    ranked = (held.withColumn("_own", own).join(F.broadcast(offsets), ["length", "_part"])
+    ranked = (held.withColumn("_own", own).join(offsets, ["length", "_part"])
               .withColumn("_rank", F.col("_before") + F.col("_own") - 1)
               .select(*pieces.columns, "_rank"))
     table = layout(counts, capacity)
@@ -206,4 +231,4 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
                 [*(batch.column(c) for c in names), pa.array(bins), pa.array(offset)],
                 [*names, "sequence_id", "offset"])
 
-    return ranked.mapInArrow(task, pieces.schema.add("sequence_id", "long").add("offset", "long"))
+    return ranked.mapInArrow(task, pieces.select("*").schema.add("sequence_id", "long").add("offset", "long"))
