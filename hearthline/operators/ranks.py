@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.operators.skew import salted_lookup
+from hearthline.session import cut_lineage
 
 RANGE = 65_536
 
@@ -72,3 +73,19 @@ def with_descending_rank(df: DataFrame, groups: list[str], value: str, name: str
     rank = F.col("n_total") - F.col("n_before") - F.col("n") + 1
     lookup = value_positions(df, groups, value).select(*groups, value, "n", rank.alias(name))
     return salted_lookup(df, lookup, [*groups, value], spread=spread, weight="n")
+
+
+def row_positions(df: DataFrame, groups: list[str], order: str, name: str) -> DataFrame:
+    """Number the rows of each group from 1 in the order of a column without repeats.
+
+    Rows are dealt by ranges of group and order, so a large group is numbered by
+    many tasks; a window over the few rows of parts per group adds the parts up.
+    """
+    keys = [*groups, order]
+    dealt = cut_lineage(df.repartitionByRange(*keys).withColumn("_part", F.spark_partition_id()))
+    sizes = dealt.groupBy(*groups, "_part").agg(F.count(F.lit(1)).alias("_n"))
+    earlier = Window.partitionBy(*groups).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    before = sizes.select(*groups, "_part", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_before"))
+    own = F.row_number().over(Window.partitionBy(*groups, "_part").orderBy(order))
+    return (dealt.withColumn("_own", own).join(before, [*groups, "_part"])
+            .select(*df.columns, (F.col("_before") + F.col("_own")).alias(name)))

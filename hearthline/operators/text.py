@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from hearthline.operators.components import connected_components
-from hearthline.operators.ranks import value_positions
+from hearthline.operators.ranks import row_positions, value_positions
 from hearthline.operators.skew import lookup_join
 
 # Characters stripped from the ends of a word.
@@ -365,15 +365,15 @@ def flag_comparison(tx: DataFrame, flags: DataFrame, columns: list[str]) -> Data
 
 
 def cluster_text(df: DataFrame, cluster: str, key: str, text: str, span: int = 1_000) -> DataFrame:
-    """Texts of a cluster without digits, tab-joined, in parts of ``span`` key numbers.
+    """Texts of a cluster without digits, tab-joined, in parts of ``span`` texts in key order.
 
-    A part covers a fixed range of keys and a key counts once in its cluster, so
-    none holds more than ``span`` texts.
+    A key counts once in its cluster; only the last part may hold fewer texts.
     """
     plain = F.trim(F.regexp_replace(text, "[0-9]", ""))
-    part = F.floor(F.col(key) / span).alias("part")
-    rows = df.where(F.col(text).isNotNull()).groupBy(cluster, part, key).agg(F.min(plain).alias("_t"))
-    return joined_by_group(rows, [cluster, "part"], key, "_t", "digest", "\t")
+    rows = df.where(F.col(text).isNotNull()).groupBy(cluster, key).agg(F.min(plain).alias("_t"))
+    placed = row_positions(rows, [cluster], key, "_position").withColumn(
+        "part", F.floor((F.col("_position") - 1) / span))
+    return joined_by_group(placed, [cluster, "part"], key, "_t", "digest", "\t")
 
 
 def pattern_cascade(df: DataFrame, text: str, rules: dict[str, str], rest: str = "uncaught") -> DataFrame:
@@ -403,12 +403,16 @@ def product_sentence(df: DataFrame, key: str, description: str, own_diets: str,
     dashes, all names but the last of the feed end in ``diet``, and repeated
     names are dropped.
     """
-    own = F.when(F.size(F.col(own_diets)) > 0, F.lower(F.concat(
-        F.array_join(own_diets, " diet,"), F.lit(" diet")))).otherwise(F.lit(""))
-    feed = F.regexp_replace(F.regexp_replace(F.array_join(feed_diets, " diet,"), "-", " "),
-                            " diet diet", " diet")
-    both = F.when(feed == "", own).otherwise(F.concat_ws(",", feed, own))
-    diets = F.array_join(F.array_distinct(F.split(both, ",")), ", ")
+    def named(name: Column) -> Column:
+        return F.when(name.endswith(" diet"), name).otherwise(F.concat(name, F.lit(" diet")))
+
+    own = F.transform(F.coalesce(own_diets, F.array()), lambda n: named(F.lower(n)))
+    spaced = F.transform(F.coalesce(feed_diets, F.array()), lambda n: F.replace(n, F.lit("-"), F.lit(" ")))
+    count = F.size(spaced)
+    feed = F.transform(spaced, lambda n, i: F.when(i < count - 1, named(n)).otherwise(n))
+    # Feed names without own ones are followed by an empty name, which is part of the wording.
+    last = F.when((F.size(own) == 0) & (count > 0), F.array(F.lit(""))).otherwise(own)
+    diets = F.array_join(F.array_distinct(F.concat(feed, last)), ", ")
     text = F.when(diets == "", F.concat(F.col(description), F.lit("."))).otherwise(
         F.concat(F.lit("The "), F.col(description), F.lit(SENTENCE_MIDDLE), diets, F.lit(".")))
-    return df.select(key, F.regexp_replace(text, ",,", ",").alias("sentence"))
+    return df.select(key, text.alias("sentence"))

@@ -17,6 +17,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from hearthline.session import cut_lineage
+
 PAGE = 2_000
 
 
@@ -136,17 +138,40 @@ def first_per_group(vectors: DataFrame, group: str, key: str, vector: str) -> Da
     return vectors.groupBy(group).agg(F.min(key).alias(key), F.min_by(vector, key).alias(vector))
 
 
-def vector_conflicts(df: DataFrame, group: str, key: str, vector: str, cutoff: float = 0.99) -> DataFrame:
-    """Vectors that disagree with the first vector stored under the same group key.
+def vector_conflicts(df: DataFrame, group: str, key: str, vector: str, cutoff: float = 0.99,
+                     block: int = 1_000) -> DataFrame:
+    """Pairs of different vectors stored under one group key whose similarity is below ``cutoff``.
 
-    Every vector is compared with one reference, not with every other one, so the
-    work is linear in the rows even if one key has very many copies.
+    Equal vectors of a group are one, named by its lowest key. The vectors of a group
+    are dealt into blocks and a task compares two of them, so a group with very many
+    vectors is split; only conflicting pairs leave the task.
     """
-    reference = first_per_group(df, group, key, vector).select(
-        group, F.col(key).alias("reference"), F.col(vector).alias("_v"))
-    return (df.join(reference, group).where(F.col(vector) != F.col("_v"))
-            .withColumn("similarity", F.round(dot(vector, "_v"), 6))
-            .where(F.col("similarity") < cutoff).select(group, key, "reference", "similarity"))
+    distinct = cut_lineage(df.where(F.col(vector).isNotNull()).groupBy(group, F.col(vector).alias("v"))
+                           .agg(F.min(key).alias("k")))
+    sizes = distinct.groupBy(group).agg(F.ceil(F.count(F.lit(1)) / block).cast("int").alias("blocks"))
+    dealt = (distinct.join(sizes, group).withColumn("own", F.pmod(F.xxhash64("k"), F.col("blocks")).cast("int"))
+             .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+             .withColumns({"low": F.least("own", "other"), "high": F.greatest("own", "other")}))
+    types = T.StructType([T.StructField(group, df.schema[group].dataType), T.StructField(key, df.schema[key].dataType),
+                          T.StructField("reference", df.schema[key].dataType), T.StructField("similarity", T.DoubleType())])
+    arrow = to_arrow_schema(types)
+
+    def compare(rows: pa.Table) -> pa.Table:
+        own, low, high = (rows.column(c).to_numpy() for c in ("own", "low", "high"))
+        left, right = np.flatnonzero(own == low), np.flatnonzero(own == high)
+        vectors = matrix(rows.column("v").combine_chunks())
+        scores = np.round(vectors[left] @ vectors[right].T, 6) + 0.0
+        names = rows.column("k").to_numpy()
+        # The lower key of a pair is its reference; within one block a pair is met twice.
+        wanted = scores < cutoff
+        if low[0] == high[0]:
+            wanted &= names[left][:, None] < names[right][None, :]
+        i, j = np.nonzero(wanted)
+        a, b = names[left[i]], names[right[j]]
+        return pa.table([rows.column(group).take(pa.array(left[i])), pa.array(np.maximum(a, b)),
+                         pa.array(np.minimum(a, b)), pa.array(scores[i, j])], schema=arrow)
+
+    return dealt.groupBy(group, "low", "high").applyInArrow(compare, types)
 
 
 def coverage(spend: DataFrame, keys: DataFrame, key: str, thresholds: list[int]) -> DataFrame:

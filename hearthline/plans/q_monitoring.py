@@ -9,7 +9,8 @@ from pyspark.sql import functions as F
 from hearthline.operators import monitoring as M
 from hearthline.operators.lists import segment_reach
 from hearthline.operators.propensity import segment_counts
-from hearthline.plans.bindings import LABELS, LISTS, PRODUCTS, segment_labels, segment_lists, with_tx
+from hearthline.plans.bindings import (
+    LABELS, LISTS, PRODUCTS, segment_labels, segment_lists, with_tx, year_start)
 from hearthline.plans.q_predicates import FLAG_SQL, OFFSITE, ONSITE, flags
 from hearthline.plans.q_sources import REGISTRY_SQL, definitions
 from hearthline.plans.registry import query
@@ -64,14 +65,17 @@ def d34(spark, folder):
 
 @query("d35_reconcile", with_tx(LABELS, body=""",
 sizes AS (SELECT segment, COUNT(DISTINCT hh_id) AS households FROM audience GROUP BY 1),
-per AS (SELECT upc, COUNT(*) AS n, COUNT(DISTINCT hh_id) AS h FROM tx GROUP BY 1),
+year AS (SELECT * FROM tx, bounds WHERE trn_date > last_date - 364),
+per AS (SELECT upc, COUNT(*) AS n, COUNT(DISTINCT hh_id) AS h FROM year GROUP BY 1),
 sums AS (SELECT segment, CAST(SUM(n) AS BIGINT) AS item_rows, CAST(SUM(h) AS BIGINT) AS summed_households FROM lists JOIN per USING (upc) GROUP BY 1),
-once AS (SELECT segment, COUNT(DISTINCT hh_id) AS distinct_households FROM lists JOIN tx USING (upc) GROUP BY 1)
+once AS (SELECT segment, COUNT(DISTINCT hh_id) AS distinct_households FROM lists JOIN year USING (upc) GROUP BY 1)
 SELECT segment, households, item_rows, summed_households, distinct_households, households - distinct_households AS difference
 FROM sizes JOIN sums USING (segment) JOIN once USING (segment)"""))
 def d35(spark, folder):
+    """Labels and transactions of the same 52 weeks."""
+    _, end = date_bounds(spark, folder)
     sizes = segment_counts(segment_labels(spark, folder), ["segment"])
-    return M.reconcile(sizes, segment_lists(spark, folder), transactions(spark, folder))
+    return M.reconcile(sizes, segment_lists(spark, folder), transactions(spark, folder, year_start(end), end))
 
 
 @query("d35_list_reach", with_tx(LISTS, body="""

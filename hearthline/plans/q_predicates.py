@@ -21,7 +21,11 @@ ONLY_PRODUCTS = "WITH " + PRODUCTS
 SELECT upc, product_name, commodity, sub_commodity, department, 'STORE' AS sub_department, 'ALL' AS micro_department
 FROM products""")
 def p01(spark, folder):
-    return flatten_hierarchy(nest_hierarchy(products(spark, folder)))
+    return flatten_hierarchy(nest_hierarchy(products(spark, folder)), "upc", {
+        "product_name": "product_name", "commodity": "familyTree.commodity.name",
+        "sub_commodity": "familyTree.subCommodity.name", "department": "familyTree.primaryDepartment.name",
+        "sub_department": "familyTree.primaryDepartment.recapDepartment.name",
+        "micro_department": "familyTree.primaryDepartment.recapDepartment.department.name"})
 
 
 @query("p02_struct_fields", ONLY_PRODUCTS + """

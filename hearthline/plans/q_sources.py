@@ -85,9 +85,8 @@ UNION ALL SELECT 'exclude', {KPI} FROM tx WHERE upc NOT IN (SELECT upc FROM list
 def s05(spark, folder):
     listed = S.products(spark, folder).where(F.col("product_name").like("red %")).select("upc")
     tx = S.transactions(spark, folder)
-    parts = [S.kpi_aggregate(S.sift(tx, listed, ["upc"], m).withColumn("method", F.lit(m)), ["method"])
-             for m in ("include", "exclude")]
-    return parts[0].unionByName(parts[1])
+    marked = tx.join(listed.withColumn("listed", F.lit("include")), "upc", "left")
+    return S.kpi_aggregate(marked.withColumn("method", F.coalesce("listed", F.lit("exclude"))), ["method"])
 
 
 def monthly_orders(spark, folder):
@@ -272,32 +271,35 @@ def brand_registry(spark, folder):
         .when(F.col("department") == "LARGE", "embedding")
         .otherwise("category").alias("list_type"),
         F.lit("Purchase").alias("segment_type"), F.array(F.lit("H"), F.lit("M")).alias("propensities"),
-        F.array("department").alias("tags"))
+        F.array("department").alias("tags"), F.concat(F.lit("Buyers of "), "commodity").alias("description"))
+
+
+PLACES = {"percentile": "/audiences/spend/{audience}", "fuel": "/audiences/stations/{audience}"}
+LIST_PLACES = {"category": "/products/{audience}", "embedding": "/products/by_vector"}
 
 
 KINDS = """kinds AS (
   SELECT DISTINCT lower(replace(p_brand || '_' || p_type, '#', '_')) AS audience, p_brand || ' ' || p_type AS frontend_name,
-         p_type AS department FROM part)"""
+         p_type AS department, p_brand AS commodity FROM part)"""
 UUID = ("substr(sha256({0}), 1, 8) || '-' || substr(sha256({0}), 9, 4) || '-' || substr(sha256({0}), 13, 4)"
         " || '-' || substr(sha256({0}), 17, 4) || '-' || substr(sha256({0}), 21, 12)")
 
 
 @query("d31_registry", f"""WITH {KINDS}
 SELECT audience, CASE WHEN department = 'PROMO' THEN 'fuel' ELSE 'percentile' END AS type,
-  CASE WHEN department = 'PROMO' THEN '/audiences/category/fuel/'
-       ELSE '/audiences/category/percentile/' END || audience AS location,
-  CASE WHEN department = 'SMALL' THEN 'none'
-       WHEN department = 'LARGE' THEN '/audiences/lists/embedding'
-       ELSE '/audiences/lists/category/' || audience END AS list_location FROM kinds""")
+  CASE WHEN department = 'PROMO' THEN '/audiences/stations/' ELSE '/audiences/spend/' END || audience AS location,
+  CASE WHEN department = 'SMALL' THEN 'none' WHEN department = 'LARGE' THEN '/products/by_vector'
+       ELSE '/products/' || audience END AS list_location FROM kinds""")
 def d31(spark, folder):
-    return E.registry(brand_registry(spark, folder), "/audiences").select(
+    return E.registry(brand_registry(spark, folder), PLACES, LIST_PLACES).select(
         "audience", "type", "location", F.coalesce("list_location", F.lit("none")).alias("list_location"))
 
 
 @query("s17_audience_manifest", f"""WITH {KINDS}
 SELECT audience,
   '{{"id":"' || {UUID.format('audience')} || '","groupName":"Purchase","name":"' || upper(audience) || '","label":"' || frontend_name
-  || '","columnName":"segment","fileType":"PARQUET","fileMask":"' || audience || '_","fileDate":"LATEST","mutuallyExclusive":false,'
+  || '","description":"Buyers of ' || commodity || '","filePath":"/audiences/'
+  || CASE WHEN department = 'PROMO' THEN 'stations' ELSE 'spend' END || '/' || audience || '","columnName":"segment","fileType":"PARQUET","fileMask":"' || audience || '_","fileDate":"LATEST","mutuallyExclusive":false,'
   || '"availableValues":[{{"label":"High","value":"H"}},{{"label":"Medium","value":"M"}},{{"label":"Low","value":"L"}},'
   || '{{"label":"New","value":"new"}},{{"label":"Lapsed","value":"lapsed"}},{{"label":"Inconsistent","value":"inconsistent"}}],'
   || '"filterType":"IN_LIST"}}' AS segment_document,
@@ -306,14 +308,14 @@ SELECT audience,
   || '"}},"order":0}}],"combineOperator":"AND","id":"' || {UUID.format("(audience || ':cell')")} || '"}}' AS campaign_document
 FROM kinds""")
 def s17(spark, folder):
-    return E.audience_manifest(brand_registry(spark, folder))
+    return E.audience_manifest(E.registry(brand_registry(spark, folder), PLACES, LIST_PLACES))
 
 
 @query("s20_list_documents", with_tx(LISTS, body="""
-SELECT segment, upc // 10000 AS part, CAST(COUNT(*) AS INTEGER) AS products,
+SELECT segment, (n - 1) // 10000 AS part, CAST(COUNT(*) AS INTEGER) AS products,
   '{"name":"' || segment || '","purchasingPeriod":{"startDate":"' || CAST(MAX(last_date) AS VARCHAR) || '","endDate":"'
   || CAST(CAST(MAX(last_date) + 364 AS DATE) AS VARCHAR) || '"},"upcs":["' || string_agg(CAST(upc AS VARCHAR), '","' ORDER BY upc)
-  || '"]}' AS document FROM lists, bounds GROUP BY 1, 2"""))
+  || '"]}' AS document FROM (SELECT *, row_number() OVER (PARTITION BY segment ORDER BY upc) AS n FROM lists), bounds GROUP BY 1, 2"""))
 def s20(spark, folder):
     _, last = S.date_bounds(spark, folder)
     return E.list_documents(segment_lists(spark, folder), str(last), str(last + dt.timedelta(days=364)))

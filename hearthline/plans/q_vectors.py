@@ -50,7 +50,8 @@ def j11(spark, folder):
         F.max("score").alias("best"), F.min("score").alias("worst"))
 
 
-@query("v03_embed_text")
+@query("v03_embed_text", """
+SELECT doc_id, CAST(256 AS INTEGER) AS dimensions, 1.0::DOUBLE AS length FROM documents""")
 def v03(spark, folder):
     embedded = V.embed_text(read_table(spark, folder, "documents"), "doc_id", "text")
     return embedded.select("doc_id", F.size("vector").alias("dimensions"),
@@ -75,9 +76,10 @@ def v05(spark, folder):
     return V.cross_top_k(vectors(spark, folder), "vec_id", items, "item", "embedding", 4)
 
 
-@query("v06_vector_conflicts", f"""WITH {FIRST}
-SELECT label, vec_id, reference, {DOT.format('embedding', 'qv')} AS similarity FROM embeddings JOIN q ON label = query
-WHERE embedding <> qv AND {DOT.format('embedding', 'qv')} < 0.1""")
+@query("v06_vector_conflicts", f"""
+WITH d AS (SELECT label, embedding AS v, MIN(vec_id) AS k FROM embeddings GROUP BY 1, 2)
+SELECT a.label, b.k AS vec_id, a.k AS reference, {DOT.format('a.v', 'b.v')} AS similarity
+FROM d a JOIN d b ON a.label = b.label AND a.k < b.k WHERE {DOT.format('a.v', 'b.v')} < 0.1""")
 def v06(spark, folder):
     return V.vector_conflicts(vectors(spark, folder), "label", "vec_id", "embedding", 0.1)
 
@@ -98,11 +100,17 @@ def v07(spark, folder):
     return V.coverage(spend, keys, "upc", [0, 10_000_000])
 
 
-@query("v08_reduce_pca")
+@query("v08_reduce_pca", f"""
+SELECT vec_id, CAST(10 AS INTEGER) AS dimensions, TRUE AS kept_less,
+  ROUND(list_inner_product(CAST(embedding AS DOUBLE[]), CAST(embedding AS DOUBLE[])), 4) AS energy FROM embeddings""")
 def v08(spark, folder):
-    reduced = K.reduce_pca(vectors(spark, folder), "embedding", 10)
-    return reduced.select("vec_id", F.size("embedding").alias("dimensions"),
-                          F.round(V.dot("embedding", "embedding"), 4).alias("energy"))
+    """Ten components keep no more than a vector's length; all components together, orthogonal, keep it exactly."""
+    plain = vectors(spark, folder)
+    few = K.reduce_pca(plain, "embedding", 10).select("vec_id", F.col("embedding").alias("few"))
+    every = K.reduce_pca(plain, "embedding", len(plain.first()["embedding"])).join(few, "vec_id")
+    energy = V.dot("embedding", "embedding")
+    return every.select("vec_id", F.size("few").alias("dimensions"),
+                        (V.dot("few", "few") <= energy + 1e-9).alias("kept_less"), F.round(energy, 4).alias("energy"))
 
 
 @query("v09_trustworthiness", """

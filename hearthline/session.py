@@ -46,9 +46,19 @@ def cut_lineage(df: DataFrame) -> DataFrame:
     return stored
 
 
+def delete(spark: SparkSession, location: str) -> None:
+    """Delete a file or folder on any file system that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
+def exists(spark: SparkSession, location: str) -> bool:
+    """Whether a file or folder is there, on any file system that Spark reaches."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(location)
+    return path.getFileSystem(spark._jsc.hadoopConfiguration()).exists(path)
+
+
 def discard(*stored: DataFrame) -> None:
     """Delete what ``cut_lineage`` wrote for these; frames that still read them must not run again."""
     for df in stored:
-        spark = df.sparkSession
-        path = spark._jvm.org.apache.hadoop.fs.Path(df._scratch)
-        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+        delete(df.sparkSession, df._scratch)

@@ -6,20 +6,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
-def flatten_hierarchy(df: DataFrame) -> DataFrame:
-    """Flat columns from the nested family tree, one row per product.
+def flatten_hierarchy(df: DataFrame, key: str, leaves: dict[str, str]) -> DataFrame:
+    """Flat columns from a nested hierarchy, one row per key.
 
-    Only the named leaves are read from a columnar file. A missing level gives a
-    null and keeps the product.
+    ``leaves`` maps an output name to the path of a nested field; only these are
+    read from a columnar file. A missing level gives a null and keeps the product.
+    Of several rows of a key the one with the highest values counts.
     """
-    department = "familyTree.primaryDepartment"
-    return df.select(
-        "upc", "product_name", F.col("familyTree.commodity.name").alias("commodity"),
-        F.col("familyTree.subCommodity.name").alias("sub_commodity"),
-        F.col(f"{department}.name").alias("department"),
-        F.col(f"{department}.recapDepartment.name").alias("sub_department"),
-        F.col(f"{department}.recapDepartment.department.name").alias("micro_department"),
-    ).dropDuplicates(["upc"])
+    flat = df.select(key, *[F.col(path).alias(name) for name, path in leaves.items()])
+    return dedupe(flat, [key], [F.col(name) for name in leaves])
 
 
 def nest_hierarchy(products: DataFrame) -> DataFrame:

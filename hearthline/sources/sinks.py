@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from urllib.parse import quote
+from urllib.parse import unquote
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from hearthline.session import cut_lineage, delete, discard, exists
 
 
 def write_dataset(df: DataFrame, root: str, name: str, run_date: str) -> str:
@@ -28,11 +31,21 @@ def replace_partitions(df: DataFrame, path: str, columns: list[str]) -> None:
 def replace_partition(df: DataFrame, path: str, values: dict[str, str]) -> None:
     """Replace one named partition, also by no rows at all.
 
-    A dynamic overwrite only touches partitions that receive a row, and would
-    leave the old rows of a run that has become empty.
+    Spark names the folder. A dynamic overwrite only touches partitions that receive
+    a row; for a run without rows the partition's files are looked up and deleted.
     """
-    folders = "/".join(f"{column}={quote(str(value), safe='')}" for column, value in values.items())
-    df.drop(*values).write.mode("overwrite").parquet(f"{path}/{folders}")
+    spark = df.sparkSession
+    rows = cut_lineage(df.drop(*values).withColumns({c: F.lit(str(v)) for c, v in values.items()}))
+    if not rows.isEmpty():
+        replace_partitions(rows, path, list(values))
+    elif exists(spark, path):
+        kinds = T.StructType([T.StructField(c, T.StringType()) for c in values])
+        old = spark.read.schema(kinds).parquet(path)
+        for column, value in values.items():
+            old = old.where(F.col(column) == str(value))
+        for row in old.select("_metadata.file_path").distinct().collect():
+            delete(spark, unquote(row["file_path"]))
+    discard(rows)
 
 
 def write_run(df: DataFrame, path: str, mode: str, modality: str, end_week: str, run_week: str,
@@ -61,4 +74,4 @@ def export_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
     The rows pass through a single task: use it on counts and reports only.
     """
-    df.coalesce(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)
+    df.repartition(1).write.mode("overwrite").option("header", True).option("sep", sep).csv(path)

@@ -17,13 +17,34 @@ def update_vintage(spark: SparkSession, daily: DataFrame, weekly: DataFrame, wee
 
     ``daily`` and ``weekly`` are the KPIs of that week. Known households are the
     vintages of earlier weeks, so replaying a week replaces its two partitions
-    with the same rows.
+    with the same rows. A household that a replay finds earlier than before loses
+    its later vintage, and its later sales take the new one.
     """
-    known = read_partitions(spark, vintage_path, "vintage_week").where(F.col("vintage_week") < week)
+    stored = read_partitions(spark, vintage_path, "vintage_week").withColumn(
+        "vintage_week", F.col("vintage_week").cast("string"))
+    known = stored.where(F.col("vintage_week") < week)
     first_seen = cut_lineage(household_vintage(daily).join(known.select("hh_id"), "hh_id", "left_anti"))
+    moved = cut_lineage(stored.where(F.col("vintage_week") > week).join(first_seen.select("hh_id"), "hh_id", "left_semi"))
+    for later in [r[0] for r in moved.select("vintage_week").distinct().collect()]:
+        kept = stored.where(F.col("vintage_week") == later).join(moved.select("hh_id"), "hh_id", "left_anti")
+        replace_partition(kept, vintage_path, {"vintage_week": later})
     replace_partition(first_seen, vintage_path, {"vintage_week": week})
-    vintages = known.withColumn("vintage_week", F.col("vintage_week").cast("string")).unionByName(first_seen)
-    replace_partition(weekly.join(vintages, "hh_id"), sales_path, {"fiscal_week": week})
+    replace_partition(weekly.join(known.unionByName(first_seen), "hh_id"), sales_path, {"fiscal_week": week})
+    if not moved.isEmpty():
+        _carry_vintage(spark, first_seen.join(moved.select("hh_id"), "hh_id", "left_semi"), week, sales_path)
+
+
+def _carry_vintage(spark: SparkSession, vintages: DataFrame, week: str, sales_path: str) -> None:
+    """Give the later sales of these households their new vintage; other rows stay."""
+    sales = read_partitions(spark, sales_path, "fiscal_week").withColumn(
+        "fiscal_week", F.col("fiscal_week").cast("string")).where(F.col("fiscal_week") > week)
+    changed = [c for c in vintages.columns if c != "hh_id"]
+    weeks = sales.join(vintages.select("hh_id"), "hh_id", "left_semi").select("fiscal_week").distinct().collect()
+    for later in [r[0] for r in weeks]:
+        own = sales.where(F.col("fiscal_week") == later)
+        new = own.drop(*changed).join(vintages, "hh_id").select(*own.columns)
+        kept = own.join(vintages.select("hh_id"), "hh_id", "left_anti")
+        replace_partition(kept.unionByName(new), sales_path, {"fiscal_week": later})
 
 
 def pending_periods(facts: DataFrame, receipts: DataFrame, period: str) -> DataFrame:

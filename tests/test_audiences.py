@@ -15,6 +15,7 @@ from hearthline.sources import egress as E
 from hearthline.sources import sinks as K
 from hearthline.sources import tables as S
 from hearthline.sources.hierarchy import flatten_hierarchy
+from hearthline.streaming import weekly as weekly_module
 from hearthline.streaming.weekly import update_vintage
 
 TX = "hh_id long, upc long, basket_id long, trn_date date, units long, net_cents long, is_return boolean, store_id long, div_no int"
@@ -200,7 +201,10 @@ def test_missing_hierarchy_level_keeps_the_product(spark):
     schema = ("upc long, product_name string, familyTree struct<commodity:struct<name:string>,subCommodity:struct<name:string>,"
               "primaryDepartment:struct<name:string,recapDepartment:struct<name:string,department:struct<name:string>>>>")
     df = spark.createDataFrame([(1, "a", (("C",), None, ("D", None)))], schema)
-    row = flatten_hierarchy(df).first()
+    row = flatten_hierarchy(df, "upc", {
+        "commodity": "familyTree.commodity.name", "sub_commodity": "familyTree.subCommodity.name",
+        "department": "familyTree.primaryDepartment.name",
+        "micro_department": "familyTree.primaryDepartment.recapDepartment.department.name"}).first()
     assert (row["commodity"], row["sub_commodity"], row["department"], row["micro_department"]) == ("C", None, "D", None)
 
 
@@ -212,10 +216,12 @@ def registry(spark, kind="percentile"):
 
 def test_unknown_audience_type_and_name(spark):
     with pytest.raises(Exception, match="unknown audience type"):
-        E.registry(registry(spark, "mystery"), "/r").collect()
+        E.registry(registry(spark, "mystery"), {"percentile": "/r/{audience}"}, {}).collect()
+    found = E.registry(registry(spark), {"percentile": "/r/{audience}"}, {"regex": "/lists/{audience}/all"})
     with pytest.raises(ValueError, match="b"):
-        E.select_audiences(E.registry(registry(spark), "/r"), ["a", "b"])
-    assert E.registry(registry(spark), "/r").first()["list_location"] == "/r/lists/category/a"
+        E.select_audiences(found, ["a", "b"])
+    assert (found.first()["location"], found.first()["list_location"]) == ("/r/a", "/lists/a/all")
+    assert E.registry(registry(spark), {"percentile": "/r"}, {}).first()["list_location"] is None
 
 
 def test_audience_below_the_gate_is_not_written(spark):
@@ -227,6 +233,82 @@ def test_audience_below_the_gate_is_not_written(spark):
     assert spark.read.parquet(path).count() == 10
     held = E.egress(people, registry(spark), scratch_path(spark, "out"), "20240101", min_households=4).first()
     assert held["filepath"] is None
+    with pytest.raises(ValueError, match="already delivered"):
+        E.egress(people, registry(spark), path, "20240101", min_households=3)
+    E.egress(people, registry(spark), path, "20240102", min_households=3)
+
+
+def test_held_back_audiences_end_in_an_error(spark):
+    receipt = spark.createDataFrame([("a", 5, "/x"), ("b", 2, None), ("c", 0, None)],
+                                    "audience string, households long, filepath string")
+    with pytest.raises(ValueError, match=r"b \(2\), c \(0\)"):
+        E.require_delivered(receipt)
+    E.require_delivered(receipt.where("audience = 'a'"))
+
+
+@pytest.mark.parametrize("name", ["Pack Sizes", "a+b&c", "crème", "x/y=z", "0012"])
+def test_replaced_partition_holds_one_run(spark, name):
+    path = scratch_path(spark, "runs")
+    columns = ["household", "modality", "end_week", "run_week"]
+    rows = spark.range(3).select(F.col("id").alias("household"))
+    K.write_run(rows, path, "append", name, "1", "20010801", columns)
+    K.write_run(rows, path, "append", "other", "1", "20010801", columns)
+    K.write_run(rows, path, "overwrite", name, "1", "20010801", columns)
+    kinds = "household long, end_week string, modality string, run_week string"
+    assert spark.read.schema(kinds).parquet(path).where(F.col("modality") == name).count() == 3
+    K.write_run(rows.limit(0), path, "overwrite", name, "1", "20010801", columns)
+    left = spark.read.schema(kinds).parquet(path).collect()
+    assert len(left) == 3 and {r["modality"] for r in left} == {"other"}
+
+
+def test_scan_sees_a_changed_schema(spark, tmp_path):
+    spark.range(3).write.parquet(str(tmp_path / "t.parquet"))
+    assert S.read_table(spark, str(tmp_path), "t").columns == ["id"]
+    spark.range(3).selectExpr("id", "id AS more").write.mode("overwrite").parquet(str(tmp_path / "t.parquet"))
+    assert S.read_table(spark, str(tmp_path), "t").columns == ["id", "more"]
+
+
+def test_sparse_codes_share_documents(spark):
+    lists = spark.createDataFrame([("s", 10**12 + 7_919_000_003 * u) for u in range(1_000)], "segment string, upc long")
+    docs = E.list_documents(lists, "a", "b", codes_per_part=400).orderBy("part").collect()
+    assert [(d["part"], d["products"]) for d in docs] == [(0, 400), (1, 400), (2, 200)]
+
+
+def test_replay_moves_a_vintage_forward(spark):
+    vintage_path, sales_path = scratch_path(spark, "vintage"), scratch_path(spark, "sales")
+
+    def week(name, households):
+        daily = spark.createDataFrame([(h, 1, name, dt.date(1995, 1, 2), 100, 1) for h in households],
+                                      "hh_id long, div_no int, week string, trn_date date, sales_cents long, visits long")
+        return daily, name
+
+    def run(name, households):
+        daily, _ = week(name, households)
+        vintage = household_vintage_of(daily)
+        weekly = daily.select("hh_id", F.lit(name).alias("fiscal_week"), F.col("sales_cents").alias("weekly_sales"))
+        with_vintage(spark, vintage, weekly, name, vintage_path, sales_path)
+
+    def household_vintage_of(daily):
+        return daily.select("hh_id", F.col("week").alias("vintage_week"), F.col("div_no").alias("vintage_div"))
+
+    def with_vintage(spark, vintage, weekly, name, a, b):
+        original = weekly_module.household_vintage
+        weekly_module.household_vintage = lambda daily: daily
+        try:
+            weekly_module.update_vintage(spark, vintage, weekly, name, a, b)
+        finally:
+            weekly_module.household_vintage = original
+
+    spark.createDataFrame([(1, 1, "19950102")], "hh_id long, vintage_div int, vintage_week string").write.partitionBy(
+        "vintage_week").parquet(vintage_path)
+    run("19950109", [1, 2])
+    run("19950116", [2, 3])
+    run("19950109", [1, 2, 3])
+    vintages = {(r["hh_id"], str(r["vintage_week"])) for r in spark.read.parquet(vintage_path).collect()}
+    assert vintages == {(1, "19950102"), (2, "19950109"), (3, "19950109")}
+    sales = {(r["hh_id"], str(r["fiscal_week"]), str(r["vintage_week"])) for r in spark.read.parquet(sales_path).collect()}
+    assert sales == {(1, "19950109", "19950102"), (2, "19950109", "19950109"), (3, "19950109", "19950109"),
+                     (2, "19950116", "19950109"), (3, "19950116", "19950109")}
 
 
 def test_list_documents_are_whole(spark):

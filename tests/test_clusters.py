@@ -107,17 +107,37 @@ def test_pca_keeps_the_leading_variance(blobs):
 
 def test_elbow_stops_and_always_returns_a_model(blobs):
     _, df = blobs
-    model, k, costs = K.kmeans_elbow(df, "v", stop=0.05, k_max=6)
-    assert 3 <= k <= 6 and costs[3] < costs[2]
+    model, k, costs = K.kmeans_elbow(df, "v", stop=0.05)
+    assert 3 <= k and costs[3] < costs[2] and abs(costs[k] - costs[k - 1]) <= 0.05 * abs(costs[2] - costs[3])
     assert K.assign(model, df, "v").select("cluster").distinct().count() == k
-    assert K.silhouette(K.assign(model, df, "v"), "id", "v", "cluster") > 0.3
+    assert K.silhouette(K.assign(model, df, "v"), "v", "cluster") > 0.3
 
 
 def test_trustworthiness_of_the_same_space_is_one(blobs):
     _, df = blobs
     assert K.trustworthiness(df, df, "id", "v").first()["trustworthiness"] == 1.0
     flat = df.withColumn("v", F.slice("v", 3, 1))
-    assert K.trustworthiness(df, flat, "id", "v").first()["trustworthiness"] < 0.95
+    whole = K.trustworthiness(df, flat, "id", "v", block=37).first()
+    assert whole["trustworthiness"] < 0.95 and whole["points"] == 180
+    assert whole == K.trustworthiness(df, flat, "id", "v").first()
+    assert K.trustworthiness(df, flat, "id", "v", df.where("id < 20"), block=50).first()["points"] == 20
+
+
+def test_conflicts_between_all_vectors_of_a_key(spark):
+    df = spark.createDataFrame([(1, 1, [1.0, 0.0]), (1, 2, [0.7, 0.714]), (1, 3, [0.7, -0.714]), (1, 4, [0.7, -0.714]),
+                                (2, 5, [0.0, 1.0]), (2, 6, None)], "g long, id long, v array<double>")
+    for block in (1, 1_000):
+        rows = V.vector_conflicts(df, "g", "id", "v", 0.5, block).collect()
+        assert [(r["id"], r["reference"], r["similarity"]) for r in rows] == [(3, 2, -0.019796)]
+
+
+def test_two_labels_of_a_product_fail(spark):
+    products = spark.createDataFrame([(1,), (2,)], "upc long")
+    labels = spark.createDataFrame([(1, 5), (1, 6), (2, 5)], "upc long, cluster int")
+    texts = spark.createDataFrame([(1, "a")], "upc long, description string")
+    with pytest.raises(Exception, match="more than one cluster for 1"):
+        K.label_products(products, labels, "upc", texts).collect()
+    assert K.label_products(products, labels.where("cluster = 5"), "upc", texts).count() == 2
 
 
 def test_one_member_cluster_has_no_distance(spark):
@@ -129,10 +149,11 @@ def test_one_member_cluster_has_no_distance(spark):
 
 def test_sweep_logs_every_combination(blobs):
     _, df = blobs
-    reductions, fits, stats = K.sweep(df, "id", "v", {"identity": {}, "pca": {"n_components": [2]}},
-                                      {"kmeans": {"k_max": [3]}, "density": {"eps": [0.8], "min_pts": [4]}})
-    assert {r["unique_id"] for r in reductions.collect()} == {"identity", "pca_2"}
-    assert {r["unique_id"] for r in fits.collect()} == {
-        "identity_kmeans_3", "identity_density_0.8_4", "pca_2_kmeans_3", "pca_2_density_0.8_4"}
+    spaces = [{"method": "identity"}, {"method": "pca", "n_components": 2}]
+    ways = [{"method": "kmeans", "stop": 0.5}, {"min_pts": 4, "eps": 0.8, "method": "density"}]
+    reductions, fits, stats = K.sweep(df, "id", "v", spaces, ways)
+    assert {r["unique_id"] for r in reductions.collect()} == {K.run_key(s) for s in spaces}
+    assert {r["unique_id"] for r in fits.collect()} == {K.run_key(s, w) for s in spaces for w in ways}
+    assert K.run_key({"a": 1, "b": 2}) == K.run_key({"b": 2, "a": 1}) != K.run_key({"a": 1})
     rows = stats.collect()
     assert len(rows) == 4 and all(r["dr_silhouette"] is None or -1 <= r["dr_silhouette"] <= 1 for r in rows)

@@ -6,8 +6,8 @@ import __spark_entry__ as entry_point
 from check import compare, database
 
 QUERIES, ORACLES = entry_point.queries(), entry_point.oracle_sql()
-# Many model fits; tested on its own fixture in test_clusters.py.
-SLOW = {"v16_sweep"}
+# These have tests of their own.
+LLM = set(entry_point._training_data()[0])
 
 
 @pytest.fixture(scope="module")
@@ -15,7 +15,7 @@ def con(folder):
     return database(folder)
 
 
-@pytest.mark.parametrize("name", sorted(set(QUERIES) - SLOW))
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - LLM))
 def test_query(spark, con, folder, name):
     result, _ = compare(spark, con, name, folder)
     assert result.startswith(("ok", "rows-only")), result
