@@ -1,14 +1,13 @@
 """Product vectors: scoring, search, nearest neighbours and coverage.
 
-Scores are computed batch by batch with one matrix product per Arrow batch. The
-query side is a page of bounded size that ships with the task; more queries mean
-more passes over the vectors, never a larger page. Scores are rounded to six
+Scores are computed block by block: a bounded block of vectors meets a bounded page
+of queries in one task, with one matrix product. Scores are rounded to six
 decimals so that equal vectors tie exactly and ranks are the same on every run.
 """
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
 
 import numpy as np
 import pyarrow as pa
@@ -17,9 +16,11 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_schema
 
+from hearthline.operators.ranks import with_descending_rank
 from hearthline.session import cut_lineage
 
-PAGE = 2_000
+#: Rows and queries that meet in one group of work.
+BLOCK, PAGE = 20_000, 2_000
 
 
 def dot(a, b) -> Column:
@@ -35,46 +36,31 @@ def matrix(column) -> np.ndarray:
     return flat.reshape(len(column), -1)
 
 
-def query_pages(queries: DataFrame, key: str, vector: str, page: int = PAGE) -> Iterator[tuple]:
-    """Query keys and their matrix, at most ``page`` rows at a time, in key order."""
-    rest = queries.select(key, vector).where(F.col(vector).isNotNull())
-    while True:
-        rows = rest.orderBy(key).limit(page).collect()
-        if rows:
-            yield [r[0] for r in rows], np.array([r[1] for r in rows], dtype=np.float64)
-        if len(rows) < page:
-            return
-        rest = rest.where(F.col(key) > F.lit(rows[-1][0]))
-
-
-def _score_page(names: list, weights: np.ndarray, k: int | None, min_score: float | None,
-                per_row: int | None, schema: pa.Schema) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        labels = pa.array(names, type=schema.field(0).type)
-        for batch in batches:
-            if batch.num_rows == 0:
-                continue
-            keys = batch.column(0)
-            scores = np.round(matrix(batch.column(1)) @ weights.T, 6) + 0.0
-            wanted = np.ones_like(scores, dtype=bool) if min_score is None else scores >= min_score
-            if k is not None:
-                order = np.argsort(keys.to_numpy(zero_copy_only=False), kind="stable")
-                by_score = np.argsort(-scores[order], axis=0, kind="stable")[:k]
-                best = np.zeros_like(wanted)
-                best[order[by_score], np.arange(scores.shape[1])] = True
-                wanted &= best
-            if per_row is not None:
-                # Pages come in query order, so the first of equal scores is the lower query.
-                by_score = np.argsort(-scores, axis=1, kind="stable")[:, :per_row]
-                best = np.zeros_like(wanted)
-                np.put_along_axis(best, by_score, True, axis=1)
-                wanted &= best
-            rows, cols = np.nonzero(wanted)
-            yield pa.RecordBatch.from_arrays(
-                [labels.take(pa.array(cols)), keys.take(pa.array(rows)), pa.array(scores[rows, cols])],
-                schema=schema)
+def facing(rows: DataFrame, asked: DataFrame, key: str, asked_key: str, block: int = BLOCK,
+           page: int = PAGE) -> tuple[DataFrame, DataFrame]:
+    """Both sides with the columns ``part`` and ``page``, so that every asked row meets every row.
+
+    Rows are dealt into blocks and asked rows into pages; each block meets each page
+    in one group of work of bounded size, whatever the number of either.
+    """
+    parts, pages = max(1, -(-rows.count() // block)), max(1, -(-asked.count() // page))
+    return (rows.withColumn("part", F.pmod(F.xxhash64(key), F.lit(parts)).cast("int"))
+            .withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1)))),
+            asked.withColumn("page", F.pmod(F.xxhash64(asked_key), F.lit(pages)).cast("int"))
+            .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
 
-    return run
+
+def _facing_vectors(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
+                    query_vector: str, page: int):
+    rows = vectors.select(F.col(key).alias("name"), F.col(vector).alias("v")).where("v is not null")
+    asked = queries.select(F.col(query_key).alias("query"), F.col(query_vector).alias("w")).where("w is not null")
+    left, right = facing(rows, asked, "name", "query", page=page)
+    return left.groupBy("part", "page").cogroup(right.groupBy("part", "page"))
+
+
+def _scores(rows: pa.Table, asked: pa.Table) -> np.ndarray:
+    scores = matrix(rows.column("v").combine_chunks()) @ matrix(asked.column("w").combine_chunks()).T
+    return np.round(scores, 6) + 0.0
 
 
 def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
@@ -90,23 +76,63 @@ def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_k
         T.StructField("query", queries.schema[query_key].dataType),
         T.StructField(key, vectors.schema[key].dataType), T.StructField("score", T.DoubleType())])
     schema = to_arrow_schema(names)
-    source = vectors.select(key, vector).where(F.col(vector).isNotNull())
-    out = None
-    for labels, weights in query_pages(queries, query_key, query_vector, page):
-        part = source.mapInArrow(_score_page(labels, weights, k, min_score, per_row, schema), names)
-        out = part if out is None else out.unionByName(part)
-    return vectors.sparkSession.createDataFrame([], names) if out is None else out
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        if not rows.num_rows or not asked.num_rows:
+            return schema.empty_table()
+        # Equal scores go to the lower key and the lower query.
+        rows, asked = rows.sort_by("name"), asked.sort_by("query")
+        scores = _scores(rows, asked)
+        wanted = np.ones_like(scores, dtype=bool) if min_score is None else scores >= min_score
+        for axis, most in ((0, k), (1, per_row)):
+            if most is not None:
+                order = np.argsort(-scores, axis=axis, kind="stable")
+                best = np.zeros_like(wanted)
+                np.put_along_axis(best, order[:most] if axis == 0 else order[:, :most], True, axis=axis)
+                wanted &= best
+        i, j = np.nonzero(wanted)
+        return pa.table([asked.column("query").take(pa.array(j)), rows.column("name").take(pa.array(i)),
+                         pa.array(scores[i, j])], schema=schema)
+
+    return _facing_vectors(vectors, key, vector, queries, query_key, query_vector, page).applyInArrow(run, names)
+
+
+def score_summary(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
+                  query_vector: str, min_score: float, page: int = PAGE) -> DataFrame:
+    """For each query: number of vectors, number at ``min_score`` or above, best and worst score.
+
+    A group of work is summed up before it leaves its task; no pair does.
+    """
+    names = T.StructType([
+        T.StructField("query", queries.schema[query_key].dataType), T.StructField("products", T.LongType()),
+        T.StructField("matches", T.LongType()), T.StructField("best", T.DoubleType()),
+        T.StructField("worst", T.DoubleType())])
+    schema = to_arrow_schema(names)
+
+    def run(rows: pa.Table, asked: pa.Table) -> pa.Table:
+        if not rows.num_rows or not asked.num_rows:
+            return schema.empty_table()
+        scores = _scores(rows, asked)
+        return pa.table([asked.column("query"), pa.array(np.full(asked.num_rows, rows.num_rows)),
+                         pa.array((scores >= min_score).sum(axis=0)), pa.array(scores.max(axis=0)),
+                         pa.array(scores.min(axis=0))], schema=schema)
+
+    parts = _facing_vectors(vectors, key, vector, queries, query_key, query_vector, page).applyInArrow(run, names)
+    return parts.groupBy("query").agg(F.sum("products").alias("products"), F.sum("matches").alias("matches"),
+                                      F.max("best").alias("best"), F.min("worst").alias("worst"))
 
 
 def embedding_search(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
                      query_vector: str, min_score: float = 0.3) -> DataFrame:
     """Products scoring at least ``min_score`` for each query, ranked within the query.
 
-    The threshold is applied before the rank, so only matches are ever sorted.
+    Ranks come from the counts of the different scores, so no task sorts all matches
+    of a query.
     """
     found = score(vectors, key, vector, queries, query_key, query_vector, min_score=min_score)
-    ranked = Window.partitionBy("query").orderBy(F.desc("score"))
-    return found.withColumn("score_rank", F.rank().over(ranked))
+    millionths = found.withColumn("_score", F.round(F.col("score") * 1_000_000).cast("long"))
+    ranked = with_descending_rank(millionths, ["query"], "_score", "score_rank", spread=key)
+    return ranked.select("query", key, "score", F.col("score_rank").cast("int").alias("score_rank"))
 
 
 def nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,

@@ -44,10 +44,7 @@ def v02(spark, folder):
 SELECT query, COUNT(*) AS products, COUNT(CASE WHEN score >= 0.3 THEN 1 END) AS matches, MAX(score) AS best, MIN(score) AS worst
 FROM scores GROUP BY 1""")
 def j11(spark, folder):
-    scored = V.score(vectors(spark, folder), "vec_id", "embedding", queries(spark, folder), "label", "embedding")
-    return scored.groupBy("query").agg(
-        F.count(F.lit(1)).alias("products"), F.count(F.when(F.col("score") >= 0.3, 1)).alias("matches"),
-        F.max("score").alias("best"), F.min("score").alias("worst"))
+    return V.score_summary(vectors(spark, folder), "vec_id", "embedding", queries(spark, folder), "label", "embedding", 0.3)
 
 
 @query("v03_embed_text", """
