@@ -189,17 +189,24 @@ def _pieces(words: DataFrame, threshold: int) -> DataFrame:
 
 
 def _probes(words: DataFrame, threshold: int) -> DataFrame:
-    """Substrings of each word as the longer side, at the places a piece may sit."""
+    """Substrings of each word as the longer side, at the places a piece may sit.
+
+    Of all edits at most as many as there are pieces before a piece can have shifted
+    it, or else an earlier piece is intact; the same holds from the other end, where
+    the words differ by their lengths. Such places are enough to lose no pair.
+    """
     size = F.length("key")
     edits = F.floor(size * (100 - threshold) / 100).cast("int")
     shorter = F.explode(F.sequence(F.ceil(size * threshold / 100).cast("int"), size))
     start = F.floor(F.col("piece") * F.col("short_len") / (F.col("edits") + 1)).cast("int")
     stop = F.floor((F.col("piece") + 1) * F.col("short_len") / (F.col("edits") + 1)).cast("int")
     span = stop - start
+    longer, after = size - F.col("short_len"), F.col("edits") - F.col("piece")
     return (words.withColumn("edits", edits).withColumn("short_len", shorter)
             .withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("edits"))))
-            .withColumn("at", F.explode(F.sequence(start - F.col("edits"), start + F.col("edits"))))
-            .where((F.col("at") >= 0) & (F.col("at") + span <= size))
+            .withColumn("low", F.greatest(start - F.col("piece"), start + longer - after, F.lit(0)).cast("int"))
+            .withColumn("high", F.least(start + F.col("piece"), start + longer + after, size - span).cast("int"))
+            .where("low <= high").withColumn("at", F.explode(F.sequence("low", "high")))
             .select("text", "key", "short_len", size.alias("long_len"), "piece",
                     F.col("key").substr(F.col("at") + 1, span).alias("part")).distinct())
 

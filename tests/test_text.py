@@ -148,3 +148,32 @@ def test_expansion_follows_chains(spark):
     got = {(r["c"], r["w"]) for r in X.expand_keywords(seeds, "c", items, "w", 79).collect()}
     assert got == {("berri", "berry"), ("berri", "berrys"), ("berri", "berryss")}
     assert items.where(F.col("w") == "stone").count() == 1
+
+
+def test_long_keys_lose_no_pair(spark):
+    rng = random.Random(12)
+    items = set()
+    for _ in range(6):
+        base = "".join(rng.choices("abcdefgh", k=rng.randint(120, 150)))
+        items.add(base)
+        for edits in (3, 12, 20, 27):
+            text = list(base)
+            for _ in range(edits):
+                at = rng.randrange(len(text))
+                text[at:at + 1] = rng.choice([[], [rng.choice("abcdefgh")], [text[at], "x"]])
+            items.add("".join(text))
+    items = sorted(items)
+    df = spark.createDataFrame([(w,) for w in items], "w string")
+    got = {(r["word_a"], r["word_b"]) for r in X.similar_pairs(df, "w", 80).collect()}
+
+    def distance(a, b):
+        row = list(range(len(b) + 1))
+        for i, x in enumerate(a, 1):
+            left, row[0] = row[0], i
+            for j, y in enumerate(b, 1):
+                left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
+        return row[-1]
+
+    want = {(a, b) for i, a in enumerate(items) for b in items[i + 1:]
+            if (max(len(a), len(b)) - distance(a, b)) * 100 >= 80 * max(len(a), len(b))}
+    assert got == want and len(want) > 20
