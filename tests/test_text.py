@@ -165,15 +165,5 @@ def test_long_keys_lose_no_pair(spark):
     items = sorted(items)
     df = spark.createDataFrame([(w,) for w in items], "w string")
     got = {(r["word_a"], r["word_b"]) for r in X.similar_pairs(df, "w", 80).collect()}
-
-    def distance(a, b):
-        row = list(range(len(b) + 1))
-        for i, x in enumerate(a, 1):
-            left, row[0] = row[0], i
-            for j, y in enumerate(b, 1):
-                left, row[j] = row[j], min(row[j] + 1, row[j - 1] + 1, left + (x != y))
-        return row[-1]
-
-    want = {(a, b) for i, a in enumerate(items) for b in items[i + 1:]
-            if (max(len(a), len(b)) - distance(a, b)) * 100 >= 80 * max(len(a), len(b))}
+    want = {(a, b) for a, b in combinations(items, 2) if similar(a, b, 80)}
     assert got == want and len(want) > 20
