@@ -37,11 +37,12 @@ def repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def without_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold no wording of a benchmark item."""
-    # The row number tells apart documents that share an id or have none.
-    kept = cut_lineage(docs.select(F.struct(*docs.columns).alias("doc"), F.col("text").alias("text"),
-                                   F.monotonically_increasing_id().alias("row")))
-    found = decontaminate.overlaps(kept, table(spark, sf_dir, "benchmark"), id_col="row").select("row").distinct()
-    return kept.join(found, "row", "left_anti").select("doc.*")
+    # Documents may share an id or have none; id and text together name one.
+    key = F.concat_ws(":", F.coalesce(F.col("doc_id").cast("string"), F.lit("none")),
+                      F.md5(F.coalesce("text", F.lit(""))))
+    named = docs.select("text", key.alias("key"))
+    found = decontaminate.overlaps(named, table(spark, sf_dir, "benchmark"), id_col="key").select("key").distinct()
+    return docs.withColumn("_key", key).join(found.withColumnRenamed("key", "_key"), "_key", "left_anti").select(*docs.columns)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

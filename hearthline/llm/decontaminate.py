@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import as_bytes, mix, word_hashes
+from hearthline.llm.texts import as_bytes, mix, small, word_hashes
 from hearthline.session import cut_lineage
 
 #: Together they hit every overlap of 13 words with up to two changed words, and of
@@ -27,8 +27,9 @@ from hearthline.session import cut_lineage
 MASKS = ("111001101", "11010111", "111000001101")
 LEAST_WORDS = 13
 SHARE = 0.8
-#: Bits of the bitmap, a power of two.
+#: Bits of the bitmap, a power of two, and where in a hash its three places stand.
 FILTER_BITS = 1 << 22
+PROBES = (0, 21, 42)
 
 
 def seeds(hashes: np.ndarray, masks: tuple[str, ...] = MASKS) -> tuple[np.ndarray, np.ndarray]:
@@ -94,7 +95,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _words(keys: list[str]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             words = [word_hashes(t).tobytes() for t in as_bytes(batch, "body")]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(words, pa.binary())],
                                              [*keys, "words"])
@@ -104,13 +105,15 @@ def _words(keys: list[str]):
 def _survivors(bitmap: np.ndarray, bits: int):
     """Documents with a place whose hash is in the bitmap, with these places."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             index, words, hits = [], [], []
             for i, text in enumerate(as_bytes(batch, "body")):
                 own = word_hashes(text)
                 places, found = seeds(own)
-                slot = found & np.uint64(bits - 1)
-                inside = bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1) == 1
+                inside = np.ones(len(found), bool)
+                for shift in PROBES:
+                    slot = found >> np.uint64(shift) & np.uint64(bits - 1)
+                    inside &= bitmap[slot >> np.uint64(6)] >> (slot & np.uint64(63)) & np.uint64(1) == 1
                 if inside.any():
                     index.append(i)
                     words.append(own.tobytes())
@@ -162,9 +165,9 @@ def overlaps(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", item_col
                         .where(F.length("words") >= 8 * least))
     item_seeds = cut_lineage(tests.select("item", "words").mapInArrow(_item_seeds, "item long, at long, seed long"))
     # At most filter_bits / 64 numbers, whatever the items.
-    slot = F.col("seed").bitwiseAND(F.lit(filter_bits - 1))
-    parts = item_seeds.select(F.shiftright(slot, 6).alias("part"),
-                              F.expr(f"shiftleft(1L, cast((seed & {filter_bits - 1}L) & 63 as int))").alias("bit"))
+    slot = F.explode(F.array(*[F.shiftrightunsigned("seed", s).bitwiseAND(F.lit(filter_bits - 1)) for s in PROBES]))
+    parts = item_seeds.select(slot.alias("slot")).select(
+        F.shiftright("slot", 6).cast("int").alias("part"), F.expr("shiftleft(1L, cast(slot & 63 as int))").alias("bit"))
     bitmap = np.zeros(filter_bits // 64, np.uint64)
     for r in parts.groupBy("part").agg(F.bit_or("bit").alias("bits")).collect():
         bitmap[r["part"]] = np.uint64(r["bits"] & 0xFFFFFFFFFFFFFFFF)

@@ -18,11 +18,12 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import as_bytes, hash64, mix, needed, shingle_hashes, words
+from hearthline.llm.texts import as_bytes, hash64, mix, needed, shingle_hashes, small, words
 from hearthline.operators.components import connected_components
-from hearthline.session import cut_lineage
+from hearthline.session import cut_lineage, discard
 
 #: Rows of one key that are compared in one block.
 CHUNK = 1_024
@@ -68,7 +69,7 @@ def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", width: in
     kept = needed(source, *keys).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             found = [fingerprint(long_word_hashes(t, least) if least else shingle_hashes(t, width), bits)
                      for t in as_bytes(batch, text)]
             yield pa.RecordBatch.from_arrays(
@@ -156,6 +157,7 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
     lows = placed.groupBy("component").agg(F.min("low").alias("lowest"))
     named = cut_lineage(placed.join(lows, "component").select("fp", F.col("lowest").alias("component")))
+    discard(nodes)
     return rows.join(named, "fp").select(id_col, "fp", "component")
 
 
@@ -168,7 +170,7 @@ WIDE = {"bits": 1_280, "blocks": 40, "agree": 1, "most": 192}
 
 def _similar(least: float):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             kept = []
             for left, right in zip(as_bytes(batch, "left"), as_bytes(batch, "right")):
                 x = np.unique(shingle_hashes(left, RUN))
@@ -195,29 +197,33 @@ def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "tex
     and empty ones.
     """
     columns = docs.columns
-    held = cut_lineage(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
-        F.col(f"`{id_col}`").alias("id"),
-        F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"),
-        F.monotonically_increasing_id().alias("row")))
-    rank = F.struct(F.col("id").isNull(), "id", "row")
-    digest = F.md5("body").alias("digest")
-    rows = cut_lineage(held.select("row", "id", digest))
-    texts = cut_lineage(rows.groupBy("digest").agg(F.min(rank).alias("first"))
-                        .select("digest", F.col("first.row").alias("row")))
-    # One row of each text goes on to the fingerprints.
-    single = held.select("row", "body").join(texts.select("row"), "row")
-    prints = cut_lineage(fingerprints(single, ["row"], "body", bits=WIDE["bits"], least=6)
-                         .withColumnRenamed("row", "node"))
-    near = cut_lineage(links(prints, **WIDE).select("a", "b"))
-    nodes = near.select(F.col("a").alias("row")).union(near.select("b")).distinct()
-    bodies = cut_lineage(held.select("row", "body").join(nodes, "row"))
-    pairs = (near.join(bodies.select(F.col("row").alias("a"), F.col("body").alias("left")), "a")
-             .join(bodies.select(F.col("row").alias("b"), F.col("body").alias("right")), "b"))
-    same = pairs.mapInArrow(_similar(least), "a long, b long")
-    groups = connected_components(same, "a", "b")
-    ranked = (texts.join(groups, texts["row"] == groups["node"], "left")
-              .select("digest", F.coalesce("component", "row").alias("component")))
-    chosen = (rows.join(ranked, "digest").groupBy("component").agg(F.min(rank).alias("first"))
-              .select(F.col("first.row").alias("row")))
-    return held.join(chosen, "row").select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
+
+    def key(digest, own):
+        return F.concat_ws(":", digest, F.coalesce(own.cast("string"), F.lit("none")))
+
+    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+                       F.col(f"`{id_col}`").alias("id"), body.alias("body"), F.md5(body).alias("digest"))
+    held = held.withColumn("key", key(F.col("digest"), F.col("id")))
+    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
+    rows = cut_lineage(fingerprints(held, ["id", "digest"], "body", bits=WIDE["bits"], least=6))
+    # Each different text is a node, named by its number in a written table.
+    texts = cut_lineage(rows.groupBy("digest").agg(F.min(rank).alias("first"), F.min("fp").alias("fp"))
+                        .withColumn("node", F.monotonically_increasing_id()))
+    near = cut_lineage(links(texts.select("node", "fp"), **WIDE).select("a", "b"))
+    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
+    wanted = texts.join(ends, "node").select("node", key(F.col("first.digest"), F.col("first.id")).alias("key"))
+    bodies = cut_lineage(held.select("key", "body").join(wanted, "key").select("node", "body").dropDuplicates(["node"]))
+    pairs = (near.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("left")), "a")
+             .join(bodies.select(F.col("node").alias("b"), F.col("body").alias("right")), "b"))
+    groups = connected_components(pairs.mapInArrow(_similar(least), "a long, b long"), "a", "b")
+    discard(bodies, near)
+    chosen = cut_lineage(
+        texts.join(groups, "node", "left")
+        .groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
+        .select(key(F.col("first.digest"), F.col("first.id")).alias("key")))
+    discard(rows, texts)
+    # Rows with the same id and text meet in the join; the first of them stays.
+    kept = (held.select("doc", "key").join(chosen, "key")
+            .withColumn("turn", F.row_number().over(W.partitionBy("key").orderBy("key"))).where("turn = 1"))
+    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])

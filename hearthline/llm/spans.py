@@ -17,8 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import hash64
-from hearthline.session import cut_lineage
+from hearthline.llm.texts import hash64, small
+from hearthline.session import cut_lineage, discard
 
 RUN = 3
 #: A sentence of more words counts as several, cut after every so many words.
@@ -67,7 +67,7 @@ def run_hashes(text: str, run: int, least: int) -> list[tuple[int, int]]:
 
 def _runs(run: int, least: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             at, place, found = [], [], []
             for i, text in enumerate(batch.column("body").to_pylist()):
                 for p, h in run_hashes(text, run, least):
@@ -77,7 +77,7 @@ def _runs(run: int, least: int):
             index = pa.array(at, pa.int64())
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.array(found, np.uint64).view(np.int64)), batch.column("id").take(index),
-                 batch.column("row").take(index), pa.array(place, pa.int32())], ["hash", "id", "row", "place"])
+                 batch.column("body_hash").take(index), pa.array(place, pa.int32())], ["hash", "id", "body_hash", "place"])
     return task
 
 
@@ -90,7 +90,7 @@ def without(text: str, places: list[int], run: int) -> tuple[str, int]:
 
 def _cleaned(run: int):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in small(batches):
             texts, counts = [], []
             for text, places in zip(batch.column("body").to_pylist(), batch.column("places").to_pylist()):
                 if places:
@@ -109,26 +109,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
                    least: int = LEAST_WORDS, removed: str | None = "removed_sentences") -> DataFrame:
     """``docs`` with every sentence removed that a repeated run covers at a later place.
 
-    Places are ordered by id (nulls last), then row, then position in the text, and
-    the first place of a run keeps it; copies inside one text count too. All columns
-    and rows are kept. Null texts stay null; texts of fewer than ``run`` sentences
-    have no run; a text may become empty. ``removed`` names a further column with the
-    number of sentences taken out.
+    Places are ordered by id (nulls last), then position in the text, and the first
+    place of a run keeps it; copies inside one text count too. Rows with the same id
+    and the same text are one document and are treated alike; the texts of one id are
+    ordered by their hash. All columns and rows are kept. Null texts stay null; texts
+    of fewer than ``run`` sentences have no run; a text may become empty. ``removed``
+    names a further column with the number of sentences taken out.
     """
     columns = docs.columns
-    held = cut_lineage(docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
-        F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("body"),
-        F.monotonically_increasing_id().alias("row")))
-    bodies = held.where("body is not null").select("id", "row", "body")
+    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
+                       F.col(f"`{id_col}`").alias("id"), F.col(f"`{text}`").alias("body"),
+                       F.xxhash64(f"`{text}`").alias("body_hash"))
+    bodies = held.where("body is not null").select("id", "body_hash", "body")
     kind = bodies.schema["id"].dataType.simpleString()
-    runs = cut_lineage(bodies.mapInArrow(_runs(run, least), f"hash long, id {kind}, row long, place int"))
-    spot = F.struct(F.col("id").isNull(), "id", "row", "place")
+    runs = cut_lineage(bodies.mapInArrow(_runs(run, least), f"hash long, id {kind}, body_hash long, place int"))
+    spot = F.struct(F.col("id").isNull().alias("none"), "id", "body_hash", "place")
     firsts = cut_lineage(runs.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min(spot).alias("first"))
-                         .where("n > 1").select("hash", F.col("first.row").alias("own"), F.col("first.place").alias("at")))
-    later = (runs.join(firsts, "hash").where("row != own or place != at")
-             .groupBy("row").agg(F.collect_set("place").alias("places")))
-    found = held.select("doc", "body", "row").join(later, "row", "left").select("doc", "body", "places")
+                         .where("n > 1").select("hash", "first"))
+    later = cut_lineage(runs.join(firsts, "hash").where(spot != F.col("first"))
+                        .groupBy(F.col("id").alias("own"), "body_hash").agg(F.collect_set("place").alias("places")))
+    discard(runs, firsts)
+    same = held["id"].eqNullSafe(later["own"]) & (held["body_hash"] == later["body_hash"])
+    found = held.join(later, same, "left").select("doc", "body", "places")
     schema = found.select("doc", "body").schema.add("removed", "integer")
     cleaned = found.mapInArrow(_cleaned(run), schema)
     values = [F.col("body").alias(c) if c == text else F.col(f"doc.`{c}`").alias(c) for c in columns]
