@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import as_bytes
+from hearthline.llm.texts import as_bytes, small
 
 #: Phrases whose places are counted, with their labels.
 PHRASES = (("cc by", "cc-by"), ("general public license", "gpl"), ("all rights reserved", "reserved"))
@@ -223,7 +223,7 @@ def scan(docs: DataFrame, keys: list[str], text: str = "text", phrases=PHRASES,
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         compiled = [(label, compile_template(t)) for label, t in templates]
-        for batch in batches:
+        for batch in small(batches):
             found = [scan_text(t, own_phrases, compiled) for t in as_bytes(batch, "_body")]
             kinds = {"long": pa.int64(), "string": pa.string(), "double": pa.float64()}
             yield pa.RecordBatch.from_arrays(

@@ -21,16 +21,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import needed
+from hearthline.llm.texts import needed, small
 from hearthline.session import cut_lineage
 
 CAPACITY = 2_048
 #: Pieces of one length are ranked in so many parts.
 PARTS = 64
 #: Bytes of text whose words are looked up together.
-TEXT_BYTES = 8 << 20
+TEXT_BYTES = 4 << 20
 #: Entries of a worker's table of ids, of about 200 bytes each.
-TABLE_LIMIT = 1_000_000
+TABLE_LIMIT = 300_000
 PIECES = (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"))
 
 
@@ -182,7 +182,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = encoder(tokenizer)
-        for batch in batches:
+        for batch in small(batches, 4_000):
             rows, at = [], []
             texts = batch.column(text).fill_null("")
             group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // TEXT_BYTES

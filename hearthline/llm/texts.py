@@ -6,6 +6,7 @@ All word rules work on UTF-8 bytes: ``bytes.lower`` changes A-Z only and
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
 from functools import partial
 
 import numpy as np
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 hash64 = partial(xxhash.xxh64_intdigest, seed=42)
 
 #: Entries of a worker's table of words, about 200 bytes each.
-CACHE_LIMIT = 500_000
+CACHE_LIMIT = 150_000
 
 
 def needed(df: DataFrame, *columns: str) -> DataFrame:
@@ -25,6 +26,15 @@ def needed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
+def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held as Python values at a time."""
+    for batch in batches:
+        # Memory of earlier batches goes back before the next one is taken apart.
+        pa.default_memory_pool().release_unused()
+        for first in range(0, batch.num_rows, rows):
+            yield batch.slice(first, rows)
+
+
 def as_bytes(batch: pa.RecordBatch, column: str) -> list[bytes]:
     """Texts of a batch as UTF-8 bytes; null is the empty text."""
     return [t or b"" for t in batch.column(column).cast(pa.binary()).to_pylist()]
