@@ -30,7 +30,7 @@ PARTS = 64
 #: Bytes of text whose words are looked up together.
 TEXT_BYTES = 4 << 20
 #: Entries of a worker's table of ids, of about 200 bytes each.
-TABLE_LIMIT = 300_000
+TABLE_LIMIT = 800_000
 PIECES = (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"))
 
 
