@@ -21,28 +21,54 @@ from hearthline.llm.texts import hash64, small
 from hearthline.session import cut_lineage, discard
 
 RUN = 3
-#: A sentence of more words counts as several, cut after every so many words.
+#: A sentence of more words counts as several, of at least and at most so many words.
 LONG = 16
+PIECE, PIECE_MOST = 5, 10
 #: Runs of fewer words are too common to mean a copy.
 LEAST_WORDS = 8
 
 _END = re.compile(r"[.!?]+\s+|[。！？]+\s*|\n\s*")
-_WORD = re.compile(r"\S+\s*")
+_WORD = re.compile(r"\S+")
+
+
+def word_cuts(words: list[bytes]) -> list[int]:
+    """Places where a long sentence is cut, which the words around each place decide.
+
+    A place is a cut if the hash of the two words after it is the smallest within
+    ``PIECE - 1`` places on either side; the first of equal ones counts. What is longer
+    than ``PIECE_MOST`` words between two cuts is cut again from the left, at the
+    smallest hash in reach. Equal passages are therefore cut alike a few words after
+    their beginning, whatever stands before them.
+    """
+    n, near = len(words), PIECE - 1
+    codes = [hash64(b" ".join(words[p:p + 2])) for p in range(n)]
+    lowest = [p for p in range(PIECE, n - near) if codes[p] < min(codes[p - near:p])
+              and codes[p] <= min(codes[p:p + PIECE])]
+    cuts, at = [], 0
+    for stop in [*lowest, n]:
+        while stop - at > PIECE_MOST:
+            at = min(range(at + PIECE, min(at + PIECE_MOST, stop - PIECE) + 1), key=codes.__getitem__)
+            cuts.append(at)
+        if stop < n:
+            cuts.append(stop)
+        at = stop
+    return cuts
 
 
 def sentences(text: str) -> list[str]:
     """The text cut after each sentence and line; the pieces together are the text.
 
     A cut follows ``.``, ``!`` or ``?`` with white space after it, the full-width
-    marks, or a line end. A piece of over ``LONG`` words is cut again after every
-    ``LONG`` words. Pieces without words join the one before.
+    marks, or a line end. A piece of over ``LONG`` words is cut again by ``word_cuts``.
+    Pieces without words join the one before.
     """
     cuts, at = [], 0
     for mark in [m.end() for m in _END.finditer(text)] + [len(text)]:
         piece = text[at:mark]
         n = len(piece.split())
         if n > LONG:
-            starts = [m.start() for m in _WORD.finditer(piece)][::LONG][1:]
+            found = list(_WORD.finditer(piece))
+            starts = [found[k].start() for k in word_cuts([m.group().encode().lower() for m in found])]
             bounds = [0, *starts, len(piece)]
             cuts += [piece[a:b] for a, b in zip(bounds, bounds[1:])]
         elif n == 0 and cuts:

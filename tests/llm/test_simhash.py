@@ -136,3 +136,47 @@ def test_near_copies_are_found(spark, texts_frame):
     kept = {r.doc_id for r in simhash.distinct_documents(texts_frame(rows)).collect()}
     assert {i for i in range(0, 240, 2)} <= kept
     assert len(kept) <= 123
+
+
+def _linked(sets, least):
+    lowest = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            both = len(sets[i] & sets[j])
+            if both >= least * len(sets[i] | sets[j]) and lowest[i] != lowest[j]:
+                old, new = max(lowest[i], lowest[j]), min(lowest[i], lowest[j])
+                lowest = [new if k == old else k for k in lowest]
+    return lowest
+
+
+@pytest.mark.parametrize("chunk", [512, 5])
+def test_pages_of_one_template(spark, texts_frame, monkeypatch, chunk):
+    """Long words are the same in all pages; only numbers tell which pages are copies."""
+    monkeypatch.setattr(simhash, "GROUP_TEXTS", chunk)
+    rng = random.Random(8)
+    rows = []
+    for _ in range(40):
+        fields = [str(rng.randrange(1_000)) for _ in range(40)]
+        for _ in range(2):
+            fields[rng.randrange(40)] = "0"
+            rows.append(" ".join(f"template{k} heading{k} {v} filling{k} wording{k}" for k, v in enumerate(fields)))
+    rng.shuffle(rows)
+    sets = [set(shingle_hashes(t.encode(), 5).tolist()) for t in rows]
+    expected = _linked(sets, 0.8)
+    assert 40 <= len(set(expected)) < 80
+    kept = {r.doc_id for r in simhash.distinct_documents(texts_frame(list(enumerate(rows)))).collect()}
+    assert kept == set(expected)
+
+
+def test_alike_connects_what_pairs_connect():
+    rng = random.Random(9)
+    sets = []
+    for _ in range(15):
+        own = [rng.randrange(1 << 60) for _ in range(rng.randint(1, 30))]
+        sets += [set(own), set(own[:-1] or own), set(own + [rng.randrange(1 << 60) for _ in range(rng.randint(0, 6))])]
+    rng.shuffle(sets)
+    edges = simhash.alike([np.array(sorted(s), np.uint64) for s in sets], 0.8)
+    expected = _linked(sets, 0.8)
+    assert len(edges) == len(sets) - len(set(expected))
+    assert all(expected[a] == expected[b] for a, b in edges)
+    assert simhash.alike([np.zeros(1, np.uint64)], 0.8) == []

@@ -70,3 +70,37 @@ def test_query_against_brute_force(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").orderBy("doc_id").collect()
     rows = {r.doc_id: r.text for r in queries.QUERIES["op3_sentence_spans"](spark, SF).collect()}
     assert [rows[d.doc_id] for d in docs] == plain(docs)
+
+
+def _some_words(rng, n):
+    return [f"w{rng.randrange(3_000)}" for _ in range(n)]
+
+
+def _around(rng, passage):
+    """A text that holds the sentences of the passage; it begins and ends inside a sentence."""
+    first, *rest = [" ".join(p) for p in passage]
+    parts = [" ".join(_some_words(rng, rng.randint(1, 40))) + " " + first, *rest]
+    return (" ".join(_some_words(rng, 12)) + ". " + ". ".join(parts) + " "
+            + " ".join(_some_words(rng, rng.randint(1, 40))) + ". " + " ".join(_some_words(rng, 12)) + ".")
+
+
+def test_passages_inside_sentences_are_found(spark, texts_frame):
+    """Passages of 55 words and more, beginning and ending at any place of a sentence."""
+    rng = random.Random(10)
+    rows = []
+    for shape in ([55], [60], [27, 28], [30, 25], [100]) * 20:
+        passage = [_some_words(rng, n) for n in shape]
+        rows += [(len(rows), _around(rng, passage)), (len(rows) + 1, _around(rng, passage))]
+    out = {r.doc_id: r.removed_sentences for r in spans.remove_repeats(texts_frame(rows)).collect()}
+    assert all(out[i] == 0 for i in range(0, len(rows), 2))
+    assert all(out[i] >= 3 for i in range(1, len(rows), 2))
+
+
+def test_cuts_do_not_depend_on_what_stands_before():
+    rng = random.Random(11)
+    for words in (_some_words(rng, 200), ["word"] * 200, ["to", "and", "fro"] * 60, _some_words(rng, 17)):
+        sizes = [len(p.split()) for p in spans.sentences(" ".join(words))]
+        assert spans.PIECE - 1 <= min(sizes) and max(sizes) <= spans.PIECE_MOST
+    long = _some_words(rng, 200)
+    whole, later = spans.sentences(" ".join(long)), spans.sentences(" ".join(_some_words(rng, 7) + long))
+    assert whole[5:] == later[len(later) - len(whole) + 5:]
