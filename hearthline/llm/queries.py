@@ -8,7 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import ann, decontaminate, gru, licenses, packing, quality, shuffle, simhash, spans, toxicity
+from hearthline.llm import (ann, decontaminate, gru, licenses, negatives, packing, quality, shuffle, simhash, spans,
+                            toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -110,3 +111,32 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     """The 10 nearest vectors of every hundredth vector."""
     vectors = table(spark, folder, "embeddings").select("vec_id", "embedding")
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
+
+
+@query("op13_negatives", """
+WITH usable AS (
+  SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS anchor_id, a.label AS anchor_label, c.vec_id, c.label,
+         CAST(list_dot_product(CAST(a.v AS DOUBLE[]), CAST(c.v AS DOUBLE[])) AS BIGINT) AS score
+  FROM usable a JOIN usable c ON a.vec_id <> c.vec_id AND len(a.v) = len(c.v)
+  WHERE a.vec_id % 50 = 0),
+positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE label = anchor_label
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5),
+ranked AS (
+  SELECT p.anchor_id, p.positive_id, p.positive_score, n.vec_id AS negative_id, n.score AS negative_score,
+         row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY n.score DESC, n.vec_id) AS rank
+  FROM positives p JOIN scored n ON n.anchor_id = p.anchor_id AND n.label <> n.anchor_label
+   AND 50 * p.positive_score <= 100 * n.score AND 100 * n.score <= 95 * p.positive_score)
+SELECT anchor_id, positive_id, CAST(rank AS INTEGER) AS rank, negative_id, positive_score, negative_score
+FROM ranked WHERE rank <= 3""")
+def op13(spark: SparkSession, folder: str) -> DataFrame:
+    """Three hard negatives for each of the five positives of every fiftieth vector; a seventh of the labels is shifted."""
+    rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(
+        F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
+    return negatives.mine(rows, rows.where("vec_id % 50 = 0"))
