@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import (ann, decontaminate, gru, licenses, negatives, packing, quality, shuffle, simhash, spans,
+from hearthline.llm import (ann, decontaminate, dialogues, gru, licenses, negatives, packing, quality, shuffle, simhash, spans,
                             toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -140,3 +140,33 @@ def op13(spark: SparkSession, folder: str) -> DataFrame:
     rows = table(spark, folder, "embeddings").select("vec_id", "embedding", F.when(
         F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")).alias("label"))
     return negatives.mine(rows, rows.where("vec_id % 50 = 0"))
+
+
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversation rows after the contract's damage; rows that it drops stay with ``alive`` false."""
+    def or_blank(name):
+        return F.coalesce(F.col(name).cast("string"), F.lit(" "))
+
+    drawn = F.crc32(F.concat(or_blank("conv_id"), F.lit(":"), or_blank("turn"))) % 20
+    held = rows.select("conv_id", "turn", or_blank("role").alias("role"), or_blank("text").alias("text"), drawn.alias("drawn"))
+    text = F.when(F.col("drawn") == 1, F.lit("")).when(
+        F.col("drawn") == 2, F.regexp_replace("text", "[.!?]", "")).otherwise(F.col("text"))
+    copies = F.explode(F.array_repeat(F.lit(1), F.when(F.col("drawn") == 3, 2).otherwise(1)))
+    return held.select("conv_id", "turn", F.when(F.col("drawn") == 4, "user").otherwise(F.col("role")).alias("role"),
+                       text.alias("text"), (F.col("drawn") != 0).alias("alive"), copies.alias("copy")).drop("copy")
+
+
+@query("op11_repair")
+def op11(spark: SparkSession, folder: str) -> DataFrame:
+    """Faults, cost and least audit of every conversation after damage, and a digest of its repair."""
+    rows = table(spark, folder, "conversations")
+    found = dialogues.repair(damaged(rows).where("alive").drop("alive"))
+    sums = ["gaps", "blank", "duplicate", "truncated", "illegal", "cost"]
+    # Every conversation, those without a row left too; nulls group as one value.
+    parts = (rows.select("conv_id").distinct()
+             .unionByName(found.found.withColumnRenamed("conv", "conv_id"), allowMissingColumns=True)
+             .unionByName(dialogues.digests(found).withColumnRenamed("conv", "conv_id"), allowMissingColumns=True))
+    return parts.groupBy("conv_id").agg(
+        *[F.coalesce(F.max(c), F.lit(0).cast("long")).alias(c) for c in sums],
+        F.coalesce(F.max("audit"), F.lit("")).alias("audit"),
+        F.coalesce(F.max("digest"), F.sha2(F.lit("").cast("binary"), 256)).alias("repaired_sha256"))
