@@ -8,8 +8,8 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from hearthline.llm import (ann, decontaminate, dialogues, gru, licenses, negatives, packing, quality, shuffle, simhash, spans,
-                            toxicity)
+from hearthline.llm import (ann, decontaminate, dialogues, gru, licenses, negatives, packing, personal,
+                            personal_labels, quality, shuffle, simhash, spans, toxicity)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -113,6 +113,23 @@ def op10(spark: SparkSession, folder: str) -> DataFrame:
     return ann.nearest(vectors, vectors.where("vec_id % 100 = 0"), 10)
 
 
+@query("op12_personal")
+def op12(spark: SparkSession, folder: str) -> DataFrame:
+    """Personal data in every document: matches of the patterns, and all spans with those of the field."""
+    labelled = spark.createDataFrame([(line,) for line in personal_labels.LINES], "line string")
+    found = personal.find(table(spark, folder, "documents"), personal.train(labelled), ["doc_id"])
+
+    def written(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+    def number(kind):
+        return F.size(F.filter("spans", lambda s: s["base"] & (s["kind"] == kind))).cast("long").alias(f"n_{kind}")
+
+    base = F.filter("spans", lambda s: s["base"])
+    return found.select("doc_id", *map(number, personal.KINDS), F.sha2(written(base).cast("binary"), 256).alias("base_sha256"),
+                        written(F.col("spans")).alias("spans"))
+
+
 @query("op13_negatives", """
 WITH usable AS (
   SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
