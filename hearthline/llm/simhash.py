@@ -18,10 +18,9 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import as_bytes, hash64, mix, needed, shingle_hashes, small, words
+from hearthline.llm.texts import as_bytes, hash64, mix, needed, shingle_hashes, small
 from hearthline.operators.components import connected_components
 from hearthline.session import cut_lineage, discard
 
@@ -51,27 +50,18 @@ def fingerprint(hashes: np.ndarray, bits: int) -> bytes:
     return np.packbits(np.concatenate(parts), bitorder="little").tobytes()
 
 
-def long_word_hashes(text: bytes, least: int) -> np.ndarray:
-    """Hashes of the different words of at least ``least`` bytes, or of all words if there are none."""
-    found = set(words(text))
-    kept = [w for w in found if len(w) >= least] or found
-    return np.fromiter(map(hash64, kept), np.uint64, len(kept))
-
-
 def fingerprints(docs: DataFrame, keys: list[str], text: str = "text", width: int = 3,
-                 bits: int = 64, least: int = 0) -> DataFrame:
-    """The ``keys`` of every row with its fingerprint ``fp`` (binary).
+                 bits: int = 64) -> DataFrame:
+    """The ``keys`` of every row with its fingerprint ``fp`` (binary) over runs of ``width`` words, repeats included.
 
-    Features are the runs of ``width`` words, repeats included, or for ``least`` > 0
-    the different words of at least so many bytes. Null text, empty text and blanks have the zero fingerprint.
+    Null text, empty text and blanks have the zero fingerprint.
     """
     source = needed(docs, *keys, text)
     kept = needed(source, *keys).schema
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small(batches):
-            found = [fingerprint(long_word_hashes(t, least) if least else shingle_hashes(t, width), bits)
-                     for t in as_bytes(batch, text)]
+            found = [fingerprint(shingle_hashes(t, width), bits) for t in as_bytes(batch, text)]
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(k) for k in keys), pa.array(found, pa.binary())], [*keys, "fp"])
 
@@ -161,69 +151,25 @@ def simhash_groups(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
     return rows.join(named, "fp").select(id_col, "fp", "component")
 
 
-# --- copies by similarity of their word runs -------------------------------------------------
-
-RUN = 5
-SIMILAR = 0.8
-WIDE = {"bits": 1_280, "blocks": 40, "agree": 1, "most": 192}
-
+def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", width: int = 3,
+                       bits: int = 64, blocks: int = 4, agree: int = 2, most: int = 2) -> DataFrame:
+    """``docs`` with one row of each group that ``simhash_groups`` links.
 
-def _similar(least: float):
-    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
-            kept = []
-            for left, right in zip(as_bytes(batch, "left"), as_bytes(batch, "right")):
-                x = np.unique(shingle_hashes(left, RUN))
-                y = np.unique(shingle_hashes(right, RUN))
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                every = len(x) + len(y) - both
-                kept.append(every == 0 or both >= least * every)
-            mask = pa.array(kept, pa.bool_())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a").filter(mask), batch.column("b").filter(mask)], ["a", "b"])
-    return task
-
-
-def distinct_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
-                       least: float = SIMILAR) -> DataFrame:
-    """``docs`` with one row of each group of copies, the one of the smallest id (nulls last).
-
-    Copies are equal texts, and texts whose sets of five-word runs have a Jaccard
-    similarity of ``least`` or more, directly or over other texts. Candidates come
-    from fingerprints of 1,280 bits over the different words of six bytes or more: 40 blocks of
-    32 bits, of which one must be equal. At a similarity of 0.8 about 7 % of the bits
-    differ and a pair meets with a probability of 98 %; closer pairs almost surely.
-    Each key's nearest pairs are then compared exactly. Null texts equal each other
-    and empty ones.
+    The row of the smallest id stays, null ids last, the first one read among equal
+    ids. Texts without words are one group. Columns may have any names.
     """
-    columns = docs.columns
-
-    def key(digest, own):
-        return F.concat_ws(":", digest, F.coalesce(own.cast("string"), F.lit("none")))
-
-    body = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"),
-                       F.col(f"`{id_col}`").alias("id"), body.alias("body"), F.md5(body).alias("digest"))
-    held = held.withColumn("key", key(F.col("digest"), F.col("id")))
-    rank = F.struct(F.col("id").isNull().alias("none"), "id", "digest")
-    rows = cut_lineage(fingerprints(held, ["id", "digest"], "body", bits=WIDE["bits"], least=6))
-    # Each different text is a node, named by its number in a written table.
-    texts = cut_lineage(rows.groupBy("digest").agg(F.min(rank).alias("first"), F.min("fp").alias("fp"))
-                        .withColumn("node", F.monotonically_increasing_id()))
-    near = cut_lineage(links(texts.select("node", "fp"), **WIDE).select("a", "b"))
-    ends = near.select(F.col("a").alias("node")).union(near.select("b")).distinct()
-    wanted = texts.join(ends, "node").select("node", key(F.col("first.digest"), F.col("first.id")).alias("key"))
-    bodies = cut_lineage(held.select("key", "body").join(wanted, "key").select("node", "body").dropDuplicates(["node"]))
-    pairs = (near.join(bodies.select(F.col("node").alias("a"), F.col("body").alias("left")), "a")
-             .join(bodies.select(F.col("node").alias("b"), F.col("body").alias("right")), "b"))
-    groups = connected_components(pairs.mapInArrow(_similar(least), "a long, b long"), "a", "b")
-    discard(bodies, near)
-    chosen = cut_lineage(
-        texts.join(groups, "node", "left")
-        .groupBy(F.coalesce("component", "node").alias("component")).agg(F.min("first").alias("first"))
-        .select(key(F.col("first.digest"), F.col("first.id")).alias("key")))
-    discard(rows, texts)
-    # Rows with the same id and text meet in the join; the first of them stays.
-    kept = (held.select("doc", "key").join(chosen, "key")
-            .withColumn("turn", F.row_number().over(W.partitionBy("key").orderBy("key"))).where("turn = 1"))
-    return kept.select(*[F.col(f"doc.`{c}`").alias(c) for c in columns])
+    # Rows are numbered once and stored with their number, so that it means the same row later.
+    held = cut_lineage(docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("doc"), F.col(f"`{id_col}`").alias("id"),
+        F.monotonically_increasing_id().alias("row")))
+    texts = held.select("id", "row", F.col(f"doc.`{text}`").alias("text"))
+    rows = cut_lineage(fingerprints(texts, ["id", "row"], "text", width, bits))
+    nodes = cut_lineage(rows.groupBy("fp").agg(
+        F.min("row").alias("node"), F.min(F.struct(F.col("id").isNull().alias("none"), "id", "row")).alias("first")))
+    found = connected_components(links(nodes.select("node", "fp"), bits, blocks, agree, most), "a", "b")
+    placed = nodes.join(found, "node", "left").withColumn("component", F.coalesce("component", "node"))
+    stays = placed.groupBy("component").agg(F.min("first").alias("stays"))
+    named = placed.join(stays, "component").select("fp", F.col("stays.row").alias("stays"))
+    gone = cut_lineage(rows.join(named, "fp").where("row <> stays").select("row"))
+    discard(rows, nodes)
+    return held.join(gone, "row", "left_anti").select("doc.*")

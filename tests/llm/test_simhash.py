@@ -101,82 +101,28 @@ def test_query_against_brute_force(spark):
     assert len(rows) == len(docs)
 
 
-def _words(rng, n):
-    return ["".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(n)]
-
-
-def test_distinct_documents(spark, texts_frame):
+@pytest.mark.parametrize("chunk", [1_024, 3])
+def test_distinct_documents(spark, texts_frame, monkeypatch, chunk):
+    """The smallest id of every group stays, as plain code says."""
+    monkeypatch.setattr(simhash.links, "__defaults__", (64, 4, 2, 2, chunk))
     rng = random.Random(4)
-    base = _words(rng, 400)
-    near = list(base)
-    near[50], near[300] = "changed", "altered"
-    other = base[:150] + _words(rng, 250)
-    docs = texts_frame([(10, " ".join(base)), (11, " ".join(base)), (12, " ".join(near)), (13, " ".join(other)),
-                        (14, " ".join(_words(rng, 300))), (15, ""), (16, None), (None, "solo"), (None, "solo"),
-                        (17, "tiny")])
-    rows = simhash.distinct_documents(docs).collect()
-    assert sorted((r.doc_id for r in rows), key=str) == [10, 13, 14, 15, 17, None]
-    assert simhash.distinct_documents(docs).columns == docs.columns
-    assert simhash.distinct_documents(docs.limit(0)).count() == 0
-
-
-def test_near_copies_are_found(spark, texts_frame):
-    """Of pairs at a similarity of 0.8 to 0.9, the documented share meets."""
-    rng = random.Random(5)
-    rows = []
-    for i in range(120):
-        base = _words(rng, 300)
-        near = list(base)
-        for k in range(0, 300, 50):
-            near[k + rng.randrange(40)] = "edited"
-        rows += [(2 * i, " ".join(base)), (2 * i + 1, " ".join(near))]
-    for (_, a), (_, b) in zip(rows[::2], rows[1::2]):
-        x, y = set(shingle_hashes(a.encode(), 5)), set(shingle_hashes(b.encode(), 5))
-        assert 0.8 <= len(x & y) / len(x | y) < 0.9
-    kept = {r.doc_id for r in simhash.distinct_documents(texts_frame(rows)).collect()}
-    assert {i for i in range(0, 240, 2)} <= kept
-    assert len(kept) <= 123
-
-
-def _linked(sets, least):
-    lowest = list(range(len(sets)))
-    for i in range(len(sets)):
-        for j in range(i):
-            both = len(sets[i] & sets[j])
-            if both >= least * len(sets[i] | sets[j]) and lowest[i] != lowest[j]:
-                old, new = max(lowest[i], lowest[j]), min(lowest[i], lowest[j])
-                lowest = [new if k == old else k for k in lowest]
-    return lowest
-
-
-@pytest.mark.parametrize("chunk", [512, 5])
-def test_pages_of_one_template(spark, texts_frame, monkeypatch, chunk):
-    """Long words are the same in all pages; only numbers tell which pages are copies."""
-    monkeypatch.setattr(simhash, "GROUP_TEXTS", chunk)
-    rng = random.Random(8)
     rows = []
-    for _ in range(40):
-        fields = [str(rng.randrange(1_000)) for _ in range(40)]
-        for _ in range(2):
-            fields[rng.randrange(40)] = "0"
-            rows.append(" ".join(f"template{k} heading{k} {v} filling{k} wording{k}" for k, v in enumerate(fields)))
-    rng.shuffle(rows)
-    sets = [set(shingle_hashes(t.encode(), 5).tolist()) for t in rows]
-    expected = _linked(sets, 0.8)
-    assert 40 <= len(set(expected)) < 80
-    kept = {r.doc_id for r in simhash.distinct_documents(texts_frame(list(enumerate(rows)))).collect()}
-    assert kept == set(expected)
-
-
-def test_alike_connects_what_pairs_connect():
-    rng = random.Random(9)
-    sets = []
-    for _ in range(15):
-        own = [rng.randrange(1 << 60) for _ in range(rng.randint(1, 30))]
-        sets += [set(own), set(own[:-1] or own), set(own + [rng.randrange(1 << 60) for _ in range(rng.randint(0, 6))])]
-    rng.shuffle(sets)
-    edges = simhash.alike([np.array(sorted(s), np.uint64) for s in sets], 0.8)
-    expected = _linked(sets, 0.8)
-    assert len(edges) == len(sets) - len(set(expected))
-    assert all(expected[a] == expected[b] for a, b in edges)
-    assert simhash.alike([np.zeros(1, np.uint64)], 0.8) == []
+    for i in range(60):
+        words = ["".join(rng.choices("abcdefgh", k=rng.randint(3, 9))) for _ in range(400)]
+        rows.append((500 - i, " ".join(words)))
+        for k in range(i % 3):
+            words[rng.randrange(400)] = "changed"
+            rows.append((1_000 + 3 * i + k, " ".join(words)))
+        if i % 5 == 0:
+            rows.append(rows[-1])
+    rows += [(15, ""), (16, None), (17, "tiny"), (None, "solo"), (None, "solo"), (None, "tiny"), (2_000, "SOLO")]
+    docs = texts_frame(rows)
+    groups = plain_components([plain_fingerprint(t) for _, t in rows])
+    expected = {g: min((i is None, i or 0) for (i, _), h in zip(rows, groups) if h == g) for g in set(groups)}
+    found = simhash.distinct_documents(docs)
+    assert found.columns == docs.columns
+    kept = found.collect()
+    assert sorted((r.doc_id is None, r.doc_id or 0) for r in kept) == sorted(expected.values())
+    assert len(set(groups)) < len(set(rows))
+    assert {(r.doc_id, r.text) for r in kept} <= set(rows)
+    assert simhash.distinct_documents(docs.limit(0)).count() == 0
