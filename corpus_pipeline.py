@@ -23,7 +23,7 @@ def good_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of copies."""
+    """One document of each group whose fingerprints over three-word runs link at two bits or less."""
     return simhash.distinct_documents(docs)
 
 
