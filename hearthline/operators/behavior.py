@@ -11,6 +11,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.functions.calendar import FISCAL, Calendar
 from hearthline.functions.timeline import (
     fiscal_columns, fiscal_columns_of_index, fiscal_index, quarter_of_week, quarter_weight,
     timeline_day, timeline_quarter)
@@ -29,7 +30,7 @@ def daily_kpis(tx: DataFrame, product_list: DataFrame | None = None) -> DataFram
 
 
 def weekly_kpis(tx: DataFrame, product_list: DataFrame | None = None,
-                calendar: DataFrame | None = None) -> DataFrame:
+                calendar: Calendar | DataFrame | None = None) -> DataFrame:
     """Sales, units and visits per household and fiscal week.
 
     The fiscal columns are computed from the date unless a calendar is given.
@@ -41,12 +42,13 @@ def weekly_kpis(tx: DataFrame, product_list: DataFrame | None = None,
         kpis = kpi_aggregate(numbered, ["hh_id", "_week"], product_list).withColumns(
             fiscal_columns_of_index(F.col("_week")))
     else:
-        kpis = kpi_aggregate(known.join(calendar, "trn_date"), keys, product_list)
+        calendar = calendar if isinstance(calendar, Calendar) else Calendar(calendar)
+        kpis = kpi_aggregate(calendar.attach(known), keys, product_list)
     return kpis.select(*keys, F.col("sales_cents").alias("weekly_sales"),
                        F.col("units").alias("weekly_units"), F.col("visits").alias("weekly_visits"))
 
 
-def household_weeks(tx: DataFrame, product_list: DataFrame) -> DataFrame:
+def household_weeks(tx: DataFrame, product_list: DataFrame, calendar: Calendar | None = None) -> DataFrame:
     """List KPIs, total units and first purchase per household and week, in one pass.
 
     Gives the same as :func:`weekly_kpis` with and without the list and
@@ -54,43 +56,53 @@ def household_weeks(tx: DataFrame, product_list: DataFrame) -> DataFrame:
     once. Weeks without a listed purchase have ``weekly_visits`` 0.
     """
     marks = product_list.select("upc", F.lit(True).alias("_listed")).distinct()
-    known = tx.where(F.col("hh_id").isNotNull()).withColumn("_week", fiscal_index("trn_date"))
+    known = tx.where(F.col("hh_id").isNotNull())
+    if calendar is None:
+        keys, known = ["_week"], known.withColumn("_week", fiscal_index("trn_date"))
+    else:
+        keys, known = FISCAL, calendar.attach(known)
     listed = F.col("_listed").isNotNull()
     per_basket = (lookup_join(known, marks, ["upc"], "basket_id", "left")
-                  .groupBy("hh_id", "_week", "basket_id")
+                  .groupBy("hh_id", *keys, "basket_id")
                   .agg(F.sum("units").alias("all_units"),
                        F.sum(F.when(listed, F.col("units"))).alias("units"),
                        F.sum(F.when(listed, F.col("net_cents"))).alias("sales"),
                        F.min(F.when(listed, F.struct("trn_date", "div_no"))).alias("first")))
-    weeks = per_basket.groupBy("hh_id", "_week").agg(
+    weeks = per_basket.groupBy("hh_id", *keys).agg(
         F.coalesce(F.sum("sales"), F.lit(0)).alias("weekly_sales"),
         F.coalesce(F.sum("units"), F.lit(0)).alias("weekly_units"),
         F.count("units").alias("weekly_visits"), F.sum("all_units").alias("all_units"),
         F.min("first").alias("first_purchase"))
+    if calendar is not None:
+        return weeks
     return weeks.withColumns(fiscal_columns_of_index(F.col("_week"))).drop("_week")
 
 
-def vintage_of_weeks(weeks: DataFrame) -> DataFrame:
+def vintage_of_weeks(weeks: DataFrame, calendar: Calendar | None = None) -> DataFrame:
     """:func:`household_vintage` from the rows of :func:`household_weeks`."""
     first = weeks.where(F.col("weekly_visits") > 0).groupBy("hh_id").agg(
         F.min("first_purchase").alias("_f"))
-    return _vintage(first)
+    return _vintage(first, calendar)
 
 
-def household_vintage(daily: DataFrame) -> DataFrame:
+def household_vintage(daily: DataFrame, calendar: Calendar | None = None) -> DataFrame:
     """First week with a visit, its calendar columns, and the division of that visit.
 
     Several divisions on the first day: the lowest one counts.
     """
     first = daily.where(F.col("visits") > 0).groupBy("hh_id").agg(
         F.min(F.struct("trn_date", "div_no")).alias("_f"))
-    return _vintage(first)
+    return _vintage(first, calendar)
 
 
-def _vintage(first: DataFrame) -> DataFrame:
+def _vintage(first: DataFrame, calendar: Calendar | None = None) -> DataFrame:
     names = {"fiscal_week": "vintage_week", "fiscal_year": "vintage_year",
              "fiscal_month": "vintage_period", "fiscal_quarter": "vintage_quarter"}
-    fiscal = fiscal_columns("_f.trn_date")
+    if calendar is None:
+        fiscal = fiscal_columns("_f.trn_date")
+    else:
+        first = calendar.attach(first.withColumn("_day_one", F.col("_f.trn_date")), "_day_one")
+        fiscal = {name: F.col(name) for name in FISCAL}
     return first.select("hh_id", *[fiscal[k].alias(v) for k, v in names.items()],
                         F.col("_f.div_no").alias("vintage_div"))
 
@@ -111,13 +123,19 @@ def lapsed_households(weekly: DataFrame, start: str, end: str) -> DataFrame:
             .select("hh_id", F.lit("lapsed").alias("segment")))
 
 
+def _quarter(start: str, weeks_per_quarter: int, calendar: Calendar | None) -> Column:
+    if calendar is None:
+        return quarter_of_week("fiscal_week", start, weeks_per_quarter)
+    return calendar.quarter_of_week("fiscal_week", start, weeks_per_quarter)
+
+
 def active_households(weekly: DataFrame, vintage: DataFrame, start: str, end: str,
                       weeks_per_quarter: int = 13, min_visits: int = 7,
-                      min_quarters: int = 3) -> DataFrame:
+                      min_quarters: int = 3, calendar: Calendar | None = None) -> DataFrame:
     """``HML`` or ``inconsistent`` for households active in the window but not new."""
     active = (
         weekly.where(F.col("fiscal_week").between(start, end) & (F.col("weekly_sales") > 0))
-        .withColumn("quarter", quarter_of_week("fiscal_week", start, weeks_per_quarter))
+        .withColumn("quarter", _quarter(start, weeks_per_quarter, calendar))
         .groupBy("hh_id", "quarter").agg(F.sum("weekly_visits").alias("visits"))
         .groupBy("hh_id").agg(F.sum("visits").alias("visits"),
                               F.count(F.lit(1)).alias("quarters"))
@@ -138,10 +156,11 @@ def penetration(list_units: DataFrame, all_units: DataFrame) -> DataFrame:
         "unit_penetration", share.cast("long"))
 
 
-def quarterly(weekly: DataFrame, start: str, end: str, weeks_per_quarter: int = 13) -> DataFrame:
+def quarterly(weekly: DataFrame, start: str, end: str, weeks_per_quarter: int = 13,
+              calendar: Calendar | None = None) -> DataFrame:
     """Weekly KPIs of the window summed per household and quarter."""
     return (weekly.where(F.col("fiscal_week").between(start, end))
-            .withColumn("quarter", quarter_of_week("fiscal_week", start, weeks_per_quarter))
+            .withColumn("quarter", _quarter(start, weeks_per_quarter, calendar))
             .groupBy("hh_id", "quarter")
             .agg(F.sum("weekly_sales").alias("sales"), F.sum("weekly_units").alias("units")))
 
@@ -235,17 +254,19 @@ def weighted_segments(points: DataFrame) -> DataFrame:
 
 def household_segments(weekly: DataFrame, vintage: DataFrame, enterprise: DataFrame, start: str,
                        end: str, weeks_per_quarter: int = 13, min_visits: int = 7,
-                       min_quarters: int = 3, markets: DataFrame | None = None) -> DataFrame:
+                       min_quarters: int = 3, markets: DataFrame | None = None,
+                       calendar: Calendar | None = None) -> DataFrame:
     """One label per household: new, lapsed, inconsistent, H, M or L.
 
     Any end week can be restated: later weeks are not used. ``enterprise`` holds
     weekly KPIs over all products, ``markets`` an optional market label.
     """
     active = active_households(weekly, vintage, start, end, weeks_per_quarter,
-                               min_visits, min_quarters)
+                               min_visits, min_quarters, calendar)
     eligible = active.where(F.col("segment") == "HML").select("hh_id")
-    listed = quarterly(sift(weekly, eligible, ["hh_id"], "include"), start, end, weeks_per_quarter)
-    everything = quarterly(enterprise, start, end, weeks_per_quarter).select(
+    listed = quarterly(sift(weekly, eligible, ["hh_id"], "include"), start, end,
+                       weeks_per_quarter, calendar)
+    everything = quarterly(enterprise, start, end, weeks_per_quarter, calendar).select(
         "hh_id", "quarter", F.col("units").alias("enterprise_units"))
     pillars = penetration(listed, everything)
     if markets is not None:

@@ -7,6 +7,7 @@ from functools import cached_property
 from pyspark.sql import functions as F
 
 from hearthline.functions import timeline as C
+from hearthline.functions.calendar import nearest_sunday_calendar
 from hearthline.functions.predicates import market_label
 from hearthline.operators import behavior as B
 from hearthline.operators.geo import preferred_store, store_visits
@@ -100,6 +101,26 @@ scores AS (
 scored AS (
   SELECT hh_id, weighted_points, CASE WHEN weighted_points > 20000 THEN 'H' WHEN weighted_points > 10000 THEN 'M' ELSE 'L' END AS segment FROM scores)"""
 
+# A calendar whose years begin on the Sunday nearest to the first of February; some have 53 weeks.
+LEAP_DATED = PRODUCTS + ",\n" + BOUNDS + f""",
+listed AS (SELECT upc FROM products WHERE department = 'PROMO'),
+opens AS (SELECT y, CASE WHEN dayofweek(d) <= 3 THEN d - CAST(dayofweek(d) AS INTEGER) ELSE d + 7 - CAST(dayofweek(d) AS INTEGER) END AS d0
+          FROM (SELECT y, make_date(y, 2, 1) AS d FROM (SELECT CAST(range AS INTEGER) AS y FROM range(1990, 2010)))),
+years AS (SELECT y, d0, LEAD(d0) OVER (ORDER BY y) AS d1 FROM opens),
+placed AS (SELECT tx.*, y, CAST((trn_date - d0) // 7 AS INTEGER) AS w,
+                  CAST((trn_date - DATE '1995-01-01') // 7 AS INTEGER) AS widx
+           FROM tx JOIN years ON trn_date >= d0 AND trn_date < d1 WHERE NOT is_return AND net_cents > 0),
+dated AS (SELECT * EXCLUDE (y, w), format('{{:04d}}{{:02d}}{{:02d}}', y, least(w // 4, 12) + 1, w - 4 * least(w // 4, 12) + 1) AS fiscal_week,
+          format('{{:04d}}{{:02d}}', y, least(w // 4, 12) + 1) AS fiscal_month,
+          format('{{:04d}}{{:02d}}', y, least(w // 13, 3) + 1) AS fiscal_quarter, CAST(y AS VARCHAR) AS fiscal_year FROM placed),
+edge AS (SELECT CAST((last_date - DATE '1995-01-01') // 7 AS INTEGER) AS e,
+                CAST((last_date - DATE '1995-01-01') // 7 AS INTEGER) - {WEEKS - 1} AS s FROM bounds)"""
+
+
+def leap(sql: str) -> str:
+    """The same SQL on the calendar with years of 53 weeks."""
+    return sql.replace(DATED, LEAP_DATED)
+
 
 class Inputs:
     """Weekly KPIs, vintages and window of the bound product list.
@@ -108,42 +129,45 @@ class Inputs:
     written once and read by every later step.
     """
 
-    def __init__(self, spark, folder):
+    def __init__(self, spark, folder, calendar=None):
         _, last = date_bounds(spark, folder)
-        self.end = C.date_week(last)
-        self.start = C.weeks_ago(self.end, WEEKS - 1)
+        self.calendar = calendar
+        self.end = calendar.week_of(last) if calendar else C.date_week(last)
+        self.start = (calendar or C).weeks_ago(self.end, WEEKS - 1)
         self.tx = drop_returns(transactions(spark, folder, stores=True))
         self.plain = drop_returns(transactions(spark, folder))
         self.listed = products(spark, folder).where(F.col("department") == "PROMO").select("upc")
 
     @cached_property
     def weekly(self):
-        return B.weekly_kpis(self.plain, self.listed)
+        return B.weekly_kpis(self.plain, self.listed, self.calendar)
 
     @cached_property
     def everything(self):
-        return B.weekly_kpis(self.plain)
+        return B.weekly_kpis(self.plain, calendar=self.calendar)
 
     @cached_property
     def vintage(self):
-        return B.household_vintage(B.daily_kpis(self.tx, self.listed))
+        return B.household_vintage(B.daily_kpis(self.tx, self.listed), self.calendar)
 
     def stored(self):
-        weeks = cut_lineage(B.household_weeks(self.tx, self.listed))
+        weeks = cut_lineage(B.household_weeks(self.tx, self.listed, self.calendar))
         self.weekly = weeks.where(F.col("weekly_visits") > 0)
         self.everything = weeks.withColumn("weekly_units", F.col("all_units"))
-        self.vintage = B.vintage_of_weeks(weeks)
+        self.vintage = B.vintage_of_weeks(weeks, self.calendar)
         return self
 
     @property
     def active(self):
-        return B.active_households(self.weekly, self.vintage, self.start, self.end, PER_QUARTER, VISITS)
+        return B.active_households(self.weekly, self.vintage, self.start, self.end, PER_QUARTER, VISITS,
+                                   calendar=self.calendar)
 
     @property
     def pillars(self):
         eligible = self.active.where(F.col("segment") == "HML").select("hh_id")
-        listed = B.quarterly(self.weekly.join(eligible, "hh_id", "left_semi"), self.start, self.end, PER_QUARTER)
-        everything = B.quarterly(self.everything, self.start, self.end, PER_QUARTER).select(
+        listed = B.quarterly(self.weekly.join(eligible, "hh_id", "left_semi"), self.start, self.end, PER_QUARTER,
+                             self.calendar)
+        everything = B.quarterly(self.everything, self.start, self.end, PER_QUARTER, self.calendar).select(
             "hh_id", "quarter", F.col("units").alias("enterprise_units"))
         return B.penetration(listed, everything)
 
@@ -285,6 +309,50 @@ def d22(spark, folder):
                                 PER_QUARTER, VISITS, markets=markets(spark, folder))
 
 
+def leap_inputs(spark, folder):
+    return Inputs(spark, folder, nearest_sunday_calendar(spark, 1990, 2008))
+
+
+@query("d10_weekly_kpis_leap", leap(with_tx(WEEKLY, body="SELECT * EXCLUDE (widx) FROM weekly")))
+def d10_leap(spark, folder):
+    return leap_inputs(spark, folder).weekly
+
+
+@query("d11_household_vintage_leap", leap(with_tx(VINTAGE, body="SELECT * EXCLUDE (widx) FROM vintage")))
+def d11_leap(spark, folder):
+    return leap_inputs(spark, folder).vintage
+
+
+@query("d13_quarter_map_leap", leap(with_tx(DATED, body=f"""
+SELECT DISTINCT fiscal_week, CAST((widx - s) // {PER_QUARTER} + 1 AS INTEGER) AS quarter
+FROM dated, edge WHERE widx BETWEEN s AND e""")))
+def d13_leap(spark, folder):
+    data = leap_inputs(spark, folder)
+    weeks = data.calendar.attach(data.plain.select("trn_date").distinct()).select("fiscal_week").distinct()
+    quarter = data.calendar.quarter_of_week("fiscal_week", data.start, PER_QUARTER)
+    return weeks.where(F.col("fiscal_week").between(data.start, data.end)).withColumn("quarter", quarter)
+
+
+@query("d16_active_households_leap", leap(with_tx(SEGMENTS, body="SELECT * FROM active")))
+def d16_leap(spark, folder):
+    return leap_inputs(spark, folder).stored().active
+
+
+@query("d18_rank_pillars_leap", leap(with_tx(PILLARS, body="SELECT * FROM ranked")))
+def d18_leap(spark, folder):
+    return B.rank_pillars(leap_inputs(spark, folder).stored().pillars)
+
+
+@query("d22_household_segments_leap", leap(with_tx(SCORES, body="""
+SELECT * FROM lapsed UNION ALL SELECT * FROM fresh
+UNION ALL SELECT hh_id, segment FROM active WHERE segment = 'inconsistent'
+UNION ALL SELECT hh_id, segment FROM scored""")))
+def d22_leap(spark, folder):
+    data = leap_inputs(spark, folder).stored()
+    return B.household_segments(data.weekly, data.vintage, data.everything, data.start, data.end,
+                                PER_QUARTER, VISITS, markets=markets(spark, folder), calendar=data.calendar)
+
+
 @query("f01_weeks_back", with_tx(BOUNDS, body="""
 SELECT CAST(CEIL((last_date - trn_date) / 7.0) AS INTEGER) AS week, CAST(SUM(units) AS BIGINT) AS units
 FROM tx, bounds GROUP BY 1"""))
