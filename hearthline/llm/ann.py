@@ -28,6 +28,7 @@ ALPHA = 1.2
 #: Queries that one task takes to a shard.
 PAGE = 20_000
 SEED = 11
+MOST_TASKS = 20_000
 
 
 class Graph:
@@ -122,6 +123,36 @@ class Graph:
                 self.edges[other] = -1
                 self.edges[other, :len(both)] = both
             begin += len(batch)
+        if n:
+            self.connect(beam)
+
+    def reached(self) -> np.ndarray:
+        """Which vectors a path leads to from the entry."""
+        seen = np.zeros(len(self.vectors), bool)
+        front = np.array([self.entry])
+        while len(front):
+            seen[front] = True
+            front = np.unique(self.edges[front])
+            front = front[front >= 0]
+            front = front[~seen[front]]
+        return seen
+
+    def connect(self, beam: int) -> None:
+        """Gives every vector that pruning has cut off an edge from one of the nearest that are reached."""
+        lost = np.flatnonzero(~self.reached())
+        more: dict[int, list[int]] = {}
+        for first in range(0, len(lost), 256):
+            part = lost[first:first + 256]
+            near, _ = self.search(self.vectors[part], beam)
+            for point, found in zip(part.tolist(), near):
+                # Vectors with few such edges first, so that equal ones do not all hang on one.
+                give = min(found[found >= 0][:16].tolist(), key=lambda c: len(more.get(c, ())))
+                more.setdefault(give, []).append(point)
+        if more:
+            wider = np.full((len(self.vectors), max(map(len, more.values()))), -1, np.int32)
+            for give, points in more.items():
+                wider[give, :len(points)] = points
+            self.edges = np.concatenate([self.edges, wider], axis=1)
 
 
 def usable(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
@@ -183,6 +214,8 @@ def build_index(vectors: DataFrame, most: int, id_col: str = "vec_id", vector_co
     nodes = cut_lineage(different(usable(vectors, id_col, vector_col), most))
     shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
+    # A given number of partitions is kept: cost is in building, not in bytes, so small ones are not merged.
+    dealt = dealt.repartition(min(4 * shards, MOST_TASKS), "dim", "shard")
     return cut_lineage(dealt.groupBy("dim", "shard").applyInArrow(_built(degree, beam, alpha), NODES)), shards
 
 
@@ -207,14 +240,23 @@ def _searched(k: int, beam: int):
         for first in range(0, len(names), 256):
             own_names, own_codes = names[first:first + 256], codes[first:first + 256]
             points = np.frombuffer(b"".join(own_codes)).reshape(len(own_names), -1)
-            near, _ = graph.search(points, beam)
-            for name, code, point, found in zip(own_names, own_codes, points, near):
-                found = found[found >= 0]
-                apart = np.sqrt(((exact[found] - point) ** 2).sum(axis=1))
-                # The query's own vector may be one of k + 1; each has its smallest ids.
-                best = np.argsort(apart, kind="stable")[:k + 1]
-                rows = sorted((apart[b], i) for b in best for i in ids[found[b]] if i != name)[:k]
-                out += [(name, code, i, float(d)) for d, i in rows]
+            left, width = np.arange(len(own_names)), beam
+            while len(left):
+                near, _ = graph.search(points[left], width)
+                tied = []
+                for at, found in zip(left.tolist(), near):
+                    found = found[found >= 0]
+                    apart = np.sqrt(((exact[found] - points[at]) ** 2).sum(axis=1))
+                    # The query's own vector may be one of k + 1; all that are as near as the last one count.
+                    last = np.partition(apart, k)[k] if len(apart) > k else np.inf
+                    if len(found) == width < index.num_rows and apart.max() <= last:
+                        tied.append(at)
+                        continue
+                    rows = sorted((apart[b], i) for b in np.flatnonzero(apart <= last)
+                                  for i in ids[found[b]] if i != own_names[at])[:k]
+                    out += [(own_names[at], own_codes[at], i, float(d)) for d, i in rows]
+                # A beam that ends among equal distances may have left smaller ids out.
+                left, width = np.array(tied, np.int64), min(2 * width, index.num_rows)
         if not out:
             return empty
         columns = list(zip(*out))
@@ -229,7 +271,7 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
     """The ``k`` nearest found for every query: ``query_id, rank, vec_id, score``, Euclidean distance.
 
     Both tables have the id and the vector column; a query never finds its own id. Ties go to the
-    smaller id. Rows without an id, and vectors that are null, zero or hold null or
+    smaller id, among all vectors of that distance: a beam that ends between equal distances is widened. Rows without an id, and vectors that are null, zero or hold null or
     non-finite numbers take no part; vectors of another length are no candidates.
     Repeated rows are one; one id with two vectors is two queries and two candidates.
     With no more than ``k`` candidates of a query's length in a shard all are found.
@@ -242,7 +284,9 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, id_col: str = "vec_i
             .withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1)))))
     held = index.withColumn("page", F.explode(F.sequence(F.lit(0), F.lit(pages - 1))))
     keys = ["dim", "shard", "page"]
-    found = held.groupBy(*keys).cogroup(sent.groupBy(*keys)).applyInArrow(_searched(k, beam), FOUND)
+    tasks = min(4 * shards * pages, MOST_TASKS)
+    found = held.repartition(tasks, *keys).groupBy(*keys).cogroup(
+        sent.repartition(tasks, *keys).groupBy(*keys)).applyInArrow(_searched(k, beam), FOUND)
     rank = F.row_number().over(W.partitionBy("query_id", "query").orderBy("score", "vec_id"))
     return (found.withColumn("rank", rank).where(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

@@ -70,3 +70,23 @@ def test_recall_over_shards(spark, shard_rows):
 def test_query(spark):
     rows = queries.QUERIES["op10_nearest"](spark, "/root/testdata/sf0.01").collect()
     assert len(rows) == 50 and {r["rank"] for r in rows} == set(range(1, 11))
+
+
+@pytest.mark.parametrize("beam", [128, 12])
+def test_more_ties_than_neighbours(spark, beam):
+    """All vectors are equally far from each other: the smallest ids are the nearest."""
+    rows = [(i, [1.0 if k == i else 0.0 for k in range(60)]) for i in range(60)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = ann.nearest(vectors, vectors.where("vec_id in (0, 5, 59)"), 10, beam=beam).collect()
+    for q in (0, 5, 59):
+        own = sorted((r.rank, r.vec_id) for r in found if r.query_id == q)
+        assert [i for _, i in own] == [i for i in range(60) if i != q][:10]
+        assert [n for n, _ in own] == list(range(1, 11))
+
+
+def test_every_vector_is_reached():
+    rng = np.random.default_rng(6)
+    for vectors in (np.eye(100), rng.integers(0, 2, (400, 6)) + rng.normal(0, 1e-3, (400, 6)), rng.normal(0, 1, (600, 8))):
+        graph = ann.Graph(vectors, 8)
+        graph.build(16, 1.2)
+        assert graph.reached().all()
