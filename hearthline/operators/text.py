@@ -254,14 +254,17 @@ def fuzzy_dictionary_join(keywords: DataFrame, column: str, dictionary: DataFram
     return up.unionByName(down).distinct()
 
 
-def condense_keywords(words: DataFrame, column: str, threshold: int = 83) -> DataFrame:
+def condense_keywords(words: DataFrame, column: str, threshold: int = 83, pairs_of=similar_pairs) -> DataFrame:
     """Partition keywords into groups of similar spelling.
 
+    ``pairs_of`` finds the similar ones: :func:`similar_pairs` by edits, or
+    :func:`hearthline.operators.ratio.ratio_pairs` by insertions and deletions.
+
     Linked keywords form a group, named after its member with the most links (the
     first in word order if tied). Keywords without a link are misfits and have
     no label.
     """
-    pairs = similar_pairs(words, column, threshold)
+    pairs = pairs_of(words, column, threshold)
     return _condense(words.select(F.col(column).alias("keyword")).distinct(), pairs)
 
 
@@ -276,13 +279,13 @@ def _condense(keywords: DataFrame, pairs: DataFrame) -> DataFrame:
     return keywords.join(members, "keyword", "left").fillna(0, ["links"])
 
 
-def condense_stats(words: DataFrame, column: str, thresholds: list[int]) -> DataFrame:
+def condense_stats(words: DataFrame, column: str, thresholds: list[int], pairs_of=similar_pairs) -> DataFrame:
     """Number, longest and mean size of the groups, and misfits, per threshold.
 
     Pairs are found once at the lowest threshold. All thresholds share one run of
     the component search, on nodes that carry their threshold.
     """
-    pairs = similar_pairs(words, column, min(thresholds))
+    pairs = pairs_of(words, column, min(thresholds))
     levels = F.explode(F.array(*[F.lit(t) for t in thresholds]))
     leveled = pairs.withColumn("threshold", levels).where(F.col("similarity") >= F.col("threshold"))
     node = lambda c: F.concat_ws(":", F.col("threshold").cast("string"), c)
@@ -300,7 +303,7 @@ def condense_stats(words: DataFrame, column: str, thresholds: list[int]) -> Data
 
 
 def expand_keywords(seeds: DataFrame, category: str, items: DataFrame, column: str,
-                    threshold: int = 80) -> DataFrame:
+                    threshold: int = 80, join=fuzzy_dictionary_join, pairs_of=similar_pairs) -> DataFrame:
     """Keywords reached from each category through chains of similar keywords.
 
     A category reaches the keywords similar to it and everything linked to them.
@@ -308,8 +311,8 @@ def expand_keywords(seeds: DataFrame, category: str, items: DataFrame, column: s
     loop per category.
     """
     above = F.col("similarity") > threshold
-    first = fuzzy_dictionary_join(seeds, category, items, column, threshold).where(above)
-    links = similar_pairs(items, column, threshold).where(above)
+    first = join(seeds, category, items, column, threshold).where(above)
+    links = pairs_of(items, column, threshold).where(above)
     groups = connected_components(links, "word_a", "word_b").withColumnRenamed("node", column)
     placed = first.select(category, column).join(groups, column, "left")
     direct = placed.select(category, column)
