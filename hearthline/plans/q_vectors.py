@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from hearthline.operators import clusters as K
+from hearthline.operators import vector_index as I
 from hearthline.operators import vectors as V
 from hearthline.plans.bindings import PRODUCTS, with_tx
 from hearthline.plans.q_predicates import restricted
@@ -73,6 +74,33 @@ def v05(spark, folder):
     return V.cross_top_k(vectors(spark, folder), "vec_id", items, "item", "embedding", 4)
 
 
+EVERY = f"""WITH q AS (SELECT vec_id AS query, embedding AS qv FROM embeddings WHERE vec_id % 50 = 0),
+scores AS (SELECT query, vec_id, {DOT.format('embedding', 'qv')} AS score FROM embeddings, q)
+SELECT query, vec_id, score, position FROM (
+  SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS position FROM scores) WHERE position <= 10"""
+
+
+@query("v05_bounded_top_k", EVERY)
+def v05_bounded(spark, folder):
+    """Every fiftieth vector against all, through blocks and their bounds."""
+    own = vectors(spark, folder)
+    blocks = I.build_blocks(own, "vec_id", "embedding")
+    return I.bounded_nearest(blocks, "vec_id", own.where("vec_id % 50 = 0"), "vec_id", "embedding", 10).rows
+
+
+@query("v04_bucket_recall")
+def v04_buckets(spark, folder):
+    """Of the ten best of every fiftieth vector, how many share a bucket with it, and how many pairs of query and bucket met."""
+    own = vectors(spark, folder)
+    asked = own.where("vec_id % 50 = 0")
+    # These vectors have hardly any near ones, so buckets are wide and many.
+    found = I.bucket_nearest(own, "vec_id", "embedding", asked, "vec_id", "embedding", 10, tables=24, bits=4, flips=1)
+    exact = V.nearest(own, "vec_id", "embedding", asked, "vec_id", "embedding", 10).select("query", "vec_id")
+    hits = exact.join(found.rows.select("query", "vec_id", F.lit(1).alias("hit")), ["query", "vec_id"], "left")
+    met = found.met.groupBy("query").agg(F.count(F.lit(1)).alias("cells"))
+    return hits.groupBy("query").agg(F.count("hit").alias("found"), F.count(F.lit(1)).alias("wanted")).join(met, "query")
+
+
 @query("v06_vector_conflicts", f"""
 WITH d AS (SELECT label, embedding AS v, MIN(vec_id) AS k FROM embeddings GROUP BY 1, 2)
 SELECT a.label, b.k AS vec_id, a.k AS reference, {DOT.format('a.v', 'b.v')} AS similarity
