@@ -85,8 +85,8 @@ UNION ALL SELECT 'exclude', {KPI} FROM tx WHERE upc NOT IN (SELECT upc FROM list
 def s05(spark, folder):
     listed = S.products(spark, folder).where(F.col("product_name").like("red %")).select("upc")
     tx = S.transactions(spark, folder)
-    marked = tx.join(listed.withColumn("listed", F.lit("include")), "upc", "left")
-    return S.kpi_aggregate(marked.withColumn("method", F.coalesce("listed", F.lit("exclude"))), ["method"])
+    parts = [S.sift(tx, listed, ["upc"], method, "basket_id").withColumn("method", F.lit(method)) for method in ("include", "exclude")]
+    return S.kpi_aggregate(parts[0].unionByName(parts[1]), ["method"])
 
 
 def monthly_orders(spark, folder):

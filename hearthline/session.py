@@ -52,6 +52,14 @@ def delete(spark: SparkSession, location: str) -> None:
     path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def rename(spark: SparkSession, source: str, target: str) -> bool:
+    """Give a folder another name on the same file system, making the folders above it; whether it worked."""
+    old, new = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (source, target))
+    files = old.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.mkdirs(new.getParent())
+    return files.rename(old, new)
+
+
 def exists(spark: SparkSession, location: str) -> bool:
     """Whether a file or folder is there, on any file system that Spark reaches."""
     path = spark._jvm.org.apache.hadoop.fs.Path(location)

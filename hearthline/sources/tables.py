@@ -106,11 +106,16 @@ def exclude(tx: DataFrame, households: DataFrame | None = None,
     return tx
 
 
-def sift(df: DataFrame, keys: DataFrame, on: list[str], method: str) -> DataFrame:
-    """Keep (``include``) or drop (``exclude``) the rows whose key is listed."""
+def sift(df: DataFrame, keys: DataFrame, on: list[str], method: str, spread: str | None = None) -> DataFrame:
+    """Keep (``include``) or drop (``exclude``) the rows whose key is listed, each once however often it is.
+
+    With ``spread``, a column to spread them by, rows of a very frequent key are not brought together.
+    """
     modes = {"include": "left_semi", "exclude": "left_anti"}
     if method not in modes:
         raise ValueError(f"method must be one of {sorted(modes)}")
+    if spread is not None:
+        return lookup_join(df, keys.select(*on).distinct(), on, spread, modes[method])
     return df.join(keys, on, modes[method])
 
 

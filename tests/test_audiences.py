@@ -334,3 +334,46 @@ def test_shared_folder_comes_from_the_session(spark):
         assert shared_dir(spark) == configured.rstrip("/")
     else:
         assert shared_dir(spark) == shared_dir(spark)
+
+
+def test_broken_delivery_can_be_repeated(spark, tmp_path, monkeypatch):
+    people = spark.createDataFrame([(i, "a", "H") for i in range(5)], "hh_id long, segment string, propensity string")
+    found = registry(spark)
+    path = str(tmp_path / "out")
+    # A run of old that died while it wrote into the day's folder.
+    (tmp_path / "out" / "run_date=20240101" / "_temporary" / "0").mkdir(parents=True)
+    assert not E.delivered(spark, path, "20240101")
+    # A run that dies before it publishes leaves no day.
+    monkeypatch.setattr(E, "rename", lambda *a: False)
+    with pytest.raises(ValueError, match="could not be published"):
+        E.egress(people, found, path, "20240102", 3)
+    assert not E.delivered(spark, path, "20240102") and not E.exists(spark, f"{path}/run_date=20240102")
+    monkeypatch.undo()
+    for day in ("20240101", "20240102"):
+        E.egress(people, found, path, day, 3)
+        assert E.delivered(spark, path, day) and spark.read.parquet(f"{path}/run_date={day}").count() == 5
+        with pytest.raises(ValueError, match="already delivered"):
+            E.egress(people, found, path, day, 3)
+
+
+def test_unreadable_audiences_are_named(spark, tmp_path):
+    good, other = str(tmp_path / "good"), str(tmp_path / "other")
+    spark.createDataFrame([(1, "H", 7)], "hh_id int, propensity string, more int").write.parquet(good)
+    spark.createDataFrame([(1,)], "hh_id long").write.parquet(other)
+    wanted = {"hh_id": "long", "propensity": "string"}
+    found, skipped = E.read_audiences(spark, {"a": good, "b": other, "c": str(tmp_path / "none")}, wanted)
+    assert [tuple(r) for r in found.collect()] == [("a", 1, "H")] and found.schema["hh_id"].dataType.simpleString() == "bigint"
+    assert skipped["b"] == "no column propensity" and "PATH" in skipped["c"]
+    assert E.read_audiences(spark, {"c": str(tmp_path / "none")}, wanted)[0] is None
+    receipt = spark.createDataFrame([("a", 3, None), ("d", 9, "x")], "audience string, households long, filepath string")
+    with pytest.raises(ValueError, match=r"not delivered: a \(3\); not read: b \(no column propensity\), c"):
+        E.require_delivered(receipt, skipped)
+    E.require_delivered(receipt.where("filepath is not null"), {})
+
+
+def test_sift_keeps_rows_once(spark):
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c"), (None, "d")], "upc long, basket_id string")
+    keys = spark.createDataFrame([(1,), (1,), (3,)], "upc long")
+    for spread in (None, "basket_id"):
+        assert sorted(r.basket_id for r in S.sift(rows, keys, ["upc"], "include", spread).collect()) == ["a", "b"]
+        assert sorted(r.basket_id for r in S.sift(rows, keys, ["upc"], "exclude", spread).collect()) == ["c", "d"]
