@@ -253,3 +253,24 @@ def embed_text(df: DataFrame, key: str, text: str, encoder: Callable | None = No
     counted = HashingTF(numFeatures=dimensions, inputCol="_w", outputCol="_c").transform(words)
     unit = Normalizer(inputCol="_c", outputCol="_u").transform(counted)
     return unit.select(key, vector_to_array("_u", "float32").alias("vector"))
+
+
+def word_buckets(dimensions: int = 256) -> Callable:
+    """Encoder for :func:`embed_text`: counts of words by the first 32 bits of their MD5.
+
+    Other systems can compute the same buckets, so stored vectors can be checked there.
+    """
+    def load():
+        import hashlib
+        import re
+        blanks = re.compile(r"\s+", re.ASCII)
+
+        def encode(texts: np.ndarray) -> np.ndarray:
+            counts = np.zeros((len(texts), dimensions), np.float32)
+            for row, text in zip(counts, texts):
+                for word in blanks.split((text or "").lower()):
+                    if word:
+                        row[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimensions] += 1
+            return counts
+        return encode
+    return load

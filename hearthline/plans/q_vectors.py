@@ -10,6 +10,7 @@ from hearthline.operators import vectors as V
 from hearthline.plans.bindings import PRODUCTS, with_tx
 from hearthline.plans.q_predicates import restricted
 from hearthline.plans.registry import query
+from hearthline.session import cut_lineage
 from hearthline.sources.tables import products, read_table, transactions
 
 # The first vector of each label stands for a query sentence.
@@ -56,6 +57,16 @@ def v03(spark, folder):
                            F.round(V.dot("vector", "vector"), 4).alias("length"))
 
 
+@query("v03_word_buckets", """
+WITH w AS (SELECT doc_id, unnest(string_split_regex(lower(COALESCE(text, '')), '\\s+')) AS w FROM documents),
+c AS (SELECT doc_id, CAST(CAST('0x' || substr(md5(w), 1, 8) AS BIGINT) % 256 AS INTEGER) AS bucket, COUNT(*) AS n FROM w WHERE w <> '' GROUP BY 1, 2)
+SELECT doc_id, bucket, ROUND(n / sqrt(SUM(n * n) OVER (PARTITION BY doc_id)), 4) AS weight FROM c""")
+def v03_buckets(spark, folder):
+    embedded = V.embed_text(read_table(spark, folder, "documents"), "doc_id", "text", V.word_buckets(256))
+    places = embedded.select("doc_id", F.posexplode("vector").alias("bucket", "x")).where("x > 0")
+    return places.select("doc_id", "bucket", F.round(F.col("x").cast("double"), 4).alias("weight"))
+
+
 @query("v04_nearest", f"""WITH {SCORES}
 SELECT query, vec_id, score, position FROM (
   SELECT *, row_number() OVER (PARTITION BY query ORDER BY score DESC, vec_id) AS position FROM scores) WHERE position <= 10""")
@@ -138,6 +149,19 @@ def v08(spark, folder):
                         (V.dot("few", "few") <= energy + 1e-9).alias("kept_less"), F.round(energy, 4).alias("energy"))
 
 
+@query("v08_pca_variances")
+def v08_variances(spark, folder):
+    """What each of ten components keeps of the variance."""
+    return K.pca_variances(vectors(spark, folder), "embedding", 10)
+
+
+@query("v09_trustworthiness_of_pca")
+def v09_pca(spark, folder):
+    """Trustworthiness of the reduction itself, on all vectors."""
+    own = vectors(spark, folder).select("vec_id", "embedding")
+    return K.trustworthiness(own, cut_lineage(K.reduce_pca(own, "embedding", 10)), "vec_id", "embedding")
+
+
 @query("v09_trustworthiness", """
 WITH p AS (
   SELECT a.vec_id AS i, b.vec_id AS j,
