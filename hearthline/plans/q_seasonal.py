@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from hearthline.functions.timeline import holiday_weeks
 from hearthline.operators import seasonal as S
+from hearthline.operators.loess import loess_components
 from hearthline.plans.bindings import BOUNDS, PRODUCTS, with_tx
 from hearthline.plans.registry import query
 from hearthline.sources.tables import date_bounds, products, transactions
@@ -137,6 +138,19 @@ def h07(spark, folder):
     return Inputs(spark, folder).seasonal.select("sub_commodity", "week", "phase", "seasonal")
 
 
+@query("h07_loess_components")
+def h07_loess(spark, folder):
+    """Seasonal and trend component of every series by local regression."""
+    return loess_components(Inputs(spark, folder).weekly, "sub_commodity")
+
+
+@query("h08_loess_outliers")
+def h08_loess(spark, folder):
+    """Weeks whose component by local regression stands out of its series."""
+    found = loess_components(Inputs(spark, folder).weekly, "sub_commodity").where("seasonal is not null")
+    return S.seasonal_outliers(found, "sub_commodity")
+
+
 @query("h08_seasonal_outliers", with_tx(SEASONAL, body="SELECT * FROM outliers"))
 def h08(spark, folder):
     return S.seasonal_outliers(Inputs(spark, folder).seasonal, "sub_commodity").select(
