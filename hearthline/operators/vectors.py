@@ -7,7 +7,7 @@ decimals so that equal vectors tie exactly and ranks are the same on every run.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -21,6 +21,8 @@ from hearthline.session import cut_lineage
 
 #: Rows and queries that meet in one group of work.
 BLOCK, PAGE = 20_000, 2_000
+#: Bytes of a page of queries that may go with a task.
+PAGE_BYTES = 16 << 20
 
 
 def dot(a, b) -> Column:
@@ -50,12 +52,26 @@ def facing(rows: DataFrame, asked: DataFrame, key: str, asked_key: str, block: i
             .withColumn("part", F.explode(F.sequence(F.lit(0), F.lit(parts - 1)))))
 
 
-def _facing_vectors(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
-                    query_vector: str, page: int):
+def _meet(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str, query_vector: str,
+          page: int, run: Callable, names: T.StructType) -> DataFrame:
+    """``run`` on tables of vectors (name, v) and queries (query, w), so that every query meets every vector.
+
+    No more than a page of queries, which is looked at first, goes to the vectors as they lie, with the task;
+    a page is at most ``PAGE`` rows and ``PAGE_BYTES``. More queries meet blocks of vectors page by page. Both
+    give the same rows once what is kept of each part is ranked.
+    """
     rows = vectors.select(F.col(key).alias("name"), F.col(vector).alias("v")).where("v is not null")
     asked = queries.select(F.col(query_key).alias("query"), F.col(query_vector).alias("w")).where("w is not null")
-    left, right = facing(rows, asked, "name", "query", page=page)
-    return left.groupBy("part", "page").cogroup(right.groupBy("part", "page"))
+    few = asked.limit(page + 1).toArrow()
+    if few.num_rows > page or few.nbytes > PAGE_BYTES:
+        left, right = facing(rows, asked, "name", "query", page=page)
+        return left.groupBy("part", "page").cogroup(right.groupBy("part", "page")).applyInArrow(run, names)
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield from run(pa.Table.from_batches([batch]), few).to_batches()
+
+    return rows.mapInArrow(task, names)
 
 
 def _scores(rows: pa.Table, asked: pa.Table) -> np.ndarray:
@@ -94,7 +110,7 @@ def score(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_k
         return pa.table([asked.column("query").take(pa.array(j)), rows.column("name").take(pa.array(i)),
                          pa.array(scores[i, j])], schema=schema)
 
-    return _facing_vectors(vectors, key, vector, queries, query_key, query_vector, page).applyInArrow(run, names)
+    return _meet(vectors, key, vector, queries, query_key, query_vector, page, run, names)
 
 
 def score_summary(vectors: DataFrame, key: str, vector: str, queries: DataFrame, query_key: str,
@@ -117,7 +133,7 @@ def score_summary(vectors: DataFrame, key: str, vector: str, queries: DataFrame,
                          pa.array((scores >= min_score).sum(axis=0)), pa.array(scores.max(axis=0)),
                          pa.array(scores.min(axis=0))], schema=schema)
 
-    parts = _facing_vectors(vectors, key, vector, queries, query_key, query_vector, page).applyInArrow(run, names)
+    parts = _meet(vectors, key, vector, queries, query_key, query_vector, page, run, names)
     return parts.groupBy("query").agg(F.sum("products").alias("products"), F.sum("matches").alias("matches"),
                                       F.max("best").alias("best"), F.min("worst").alias("worst"))
 

@@ -100,3 +100,21 @@ def test_recall_of_buckets(spark):
     assert met < len(points) * len(asked) / 2
     whole = I.bucket_nearest(vectors, "name", "vec", queries, "name", "vec", 10, tables=1, bits=0, flips=0)
     assert I.recall(whole.rows, exact, "name") == 1.0
+
+
+def test_few_and_many_queries_give_the_same(spark):
+    rng = np.random.default_rng(9)
+    points, asked = np.round(rng.normal(size=(120, 4)), 1), np.round(rng.normal(size=(7, 4)), 1)
+    vectors = frame(spark, points).unionByName(spark.createDataFrame([(500, None)], SCHEMA)).repartition(3)
+    queries = frame(spark, asked).unionByName(spark.createDataFrame([(500, None)], SCHEMA))
+    for page in (2_000, 7, 3):
+        found = V.score(vectors, "name", "vec", queries, "name", "vec", k=5, page=page)
+        best = {}
+        for r in found.collect():
+            best.setdefault(r["query"], []).append((-r["score"], r["name"]))
+        assert {(q, n, i + 1) for q, own in best.items() for i, (_, n) in enumerate(sorted(own)[:5])} == plain(points, asked, 5)
+        summed = {r["query"]: (r.products, r.matches) for r in V.score_summary(
+            vectors, "name", "vec", queries, "name", "vec", 0.5, page=page).collect()}
+        scores = np.round(points @ asked.T, 6)
+        assert summed == {j: (120, int((scores[:, j] >= 0.5).sum())) for j in range(7)}
+    assert V.score(vectors, "name", "vec", queries.limit(0), "name", "vec").count() == 0
