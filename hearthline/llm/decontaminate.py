@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import as_bytes, mix, small, word_hashes
+from hearthline.llm.texts import WORD_HASHES, as_bytes, mix, small, word_hashes
 from hearthline.session import cut_lineage
 
 #: Together they hit every overlap of 13 words with up to two changed words, and of
@@ -95,7 +95,7 @@ def _item_seeds(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _words(keys: list[str]):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, table=WORD_HASHES):
             words = [word_hashes(t).tobytes() for t in as_bytes(batch, "body")]
             yield pa.RecordBatch.from_arrays([*(batch.column(k) for k in keys), pa.array(words, pa.binary())],
                                              [*keys, "words"])
@@ -105,7 +105,7 @@ def _words(keys: list[str]):
 def _survivors(bitmap: np.ndarray, bits: int):
     """Documents with a place whose hash is in the bitmap, with these places."""
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, table=WORD_HASHES):
             index, words, hits = [], [], []
             for i, text in enumerate(as_bytes(batch, "body")):
                 own = word_hashes(text)

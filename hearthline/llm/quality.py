@@ -110,7 +110,7 @@ def fit(rows: list[tuple[np.ndarray, np.ndarray]], grades: np.ndarray, n_grades:
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in small(batches):
+    for batch in small(batches, table=_SLOTS):
         found = [features(t) for t in as_bytes(batch, "body")]
         yield pa.RecordBatch.from_arrays(
             [batch.column("grade"), pa.array([s.tobytes() for s, _ in found], pa.binary()),
@@ -179,7 +179,7 @@ def grade_documents(docs: DataFrame, model: dict | None, cut: float, text: str =
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), F.col(f"`{text}`").alias("body"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, table=_SLOTS):
             if batch.num_rows:
                 expected, tail = score_text(model, [features(t) for t in as_bytes(batch, "body")], cut)
                 yield pa.RecordBatch.from_arrays([batch.column("doc"), pa.array(expected), pa.array(tail)],

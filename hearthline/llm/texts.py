@@ -6,6 +6,8 @@ All word rules work on UTF-8 bytes: ``bytes.lower`` changes A-Z only and
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from collections.abc import Iterable, Iterator
 from functools import partial
 
@@ -26,8 +28,27 @@ def needed(df: DataFrame, *columns: str) -> DataFrame:
     return df.select(*[F.col(f"`{c}`") for c in columns])
 
 
-def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000) -> Iterator[pa.RecordBatch]:
-    """The same rows in smaller batches, so that few texts are held as Python values at a time."""
+def only(table: WordTable | None) -> None:
+    """Empties the word tables of other operators: workers live on from stage to stage."""
+    held = [t for t in WordTable.made if t is not table and t]
+    for other in held:
+        other.clear()
+    if held:
+        gc.collect()
+    pa.default_memory_pool().release_unused()
+    # Freed memory goes back to the system, where the C library can do that.
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def small(batches: Iterable[pa.RecordBatch], rows: int = 1_000,
+          table: WordTable | None = None) -> Iterator[pa.RecordBatch]:
+    """The same rows in smaller batches, so that few texts are held as Python values at a time.
+
+    Begins a task that uses no word table but ``table``.
+    """
+    only(table)
     for batch in batches:
         # Memory of earlier batches goes back before the next one is taken apart.
         pa.default_memory_pool().release_unused()
@@ -47,9 +68,12 @@ def words(text: bytes) -> list[bytes]:
 class WordTable(dict):
     """Values of words, computed once per word and worker; emptied when it gets large."""
 
+    made: list[WordTable] = []
+
     def __init__(self, value):
         super().__init__()
         self.value = value
+        WordTable.made.append(self)
 
     def __missing__(self, word):
         if len(self) >= CACHE_LIMIT:

@@ -150,7 +150,7 @@ def train(docs: DataFrame, labels: DataFrame, categories: list[str], id_col: str
         "y", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(FOLDS)).cast("int").alias("fold"), "body")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, table=_TABLE):
             slots = [features(t).tobytes() for t in as_bytes(batch, "body")]
             yield pa.RecordBatch.from_arrays([batch.column("y"), batch.column("fold"), pa.array(slots, pa.binary())],
                                              ["y", "fold", "slots"])
@@ -182,7 +182,7 @@ def judge(docs: DataFrame, models: list[dict] | None, names: list[str], text: st
     held = docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("doc"), F.col(f"`{text}`").alias("body"))
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small(batches):
+        for batch in small(batches, table=_TABLE):
             if batch.num_rows:
                 p = predict_chain(models, [features(t) for t in as_bytes(batch, "body")])
                 yield pa.RecordBatch.from_arrays(
