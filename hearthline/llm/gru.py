@@ -8,7 +8,7 @@ the class, then the word inside the class.
 
 The model is trained by truncated backpropagation in numpy. In each round every
 task trains on its part of that round's texts, starting from the same model, and
-the models are averaged by tokens. In training and scoring the state runs on from
+the models are averaged by tokens; the rounds together cover every training text once. In training and scoring the state runs on from
 window to window to the end of a text; a text starts from the zero state.
 """
 
@@ -24,6 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from hearthline.llm.blas import one_thread
 from hearthline.llm.texts import WordTable, as_bytes, hash64, words
 from hearthline.session import cut_lineage, discard
 
@@ -33,14 +34,13 @@ HEAD, CLASS = 1_024, 32
 BOUNDS = (2, 4, 11, 51)
 TAIL = 8 * (len(BOUNDS) + 1)
 UNSEEN = HEAD + TAIL
-WIDTH, HIDDEN = 16, 24
+WIDTH, HIDDEN = 16, 16
 CLASSES = HEAD // CLASS + TAIL + 1
 
 BLOCK_BYTES = 32 << 20
-#: Rounds of training; each uses another so many percent of the training texts.
-ROUNDS, PERCENT = 3, 5
-TRAINER_TOKENS = 400_000
-WINDOW, LANES = 32, 64
+#: Rounds of training; each uses another part of the training texts, all of them together once.
+ROUNDS = 3
+WINDOW, LANES = 16, 256
 SCORE_WINDOW, SCORE_LANES, SCORE_TOKENS = 64, 256, 1_000_000
 #: Words of a block that are held before they are counted.
 TALLY_TOKENS = 1_000_000
@@ -102,22 +102,26 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {k: part.reshape(s) for (k, s), part in zip(SHAPES.items(), np.split(flat, sizes))}
 
 
-def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 0.5 * (np.tanh(0.5 * x) + 1)
-
-
 def forward(model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray, trace: list | None = None) -> np.ndarray:
     """States after each step of a window (steps x lanes x hidden).
 
     ``keep`` is zero where a text begins, which clears the lane's state.
     """
-    drive = model["embed"] @ model["inner"] + model["bias"]
-    states = np.empty((*inputs.shape, HIDDEN), np.float32)
     h = HIDDEN
+    # Gates are 0.5 * tanh(x / 2) + 0.5; the half is in the weights.
+    half = np.ones(3 * h, model["state"].dtype)
+    half[:2 * h] = 0.5
+    drive = ((model["embed"] @ model["inner"] + model["bias"]) * half)[inputs]
+    weights = model["state"] * half
+    states = np.empty((*inputs.shape, h), drive.dtype)
+    begins = (keep == 0).any(axis=1)
     for t in range(len(inputs)):
-        before = state * keep[t][:, None]
-        x, u = drive[inputs[t]], before @ model["state"]
-        gates = _sigmoid(x[:, :2 * h] + u[:, :2 * h])
+        before = state * keep[t][:, None] if begins[t] else state
+        x, u = drive[t], before @ weights
+        gates = x[:, :2 * h] + u[:, :2 * h]
+        np.tanh(gates, out=gates)
+        gates *= 0.5
+        gates += 0.5
         reset, update = gates[:, :h], gates[:, h:]
         new = np.tanh(x[:, 2 * h:] + reset * u[:, 2 * h:])
         state = new + update * (before - new)
@@ -127,9 +131,15 @@ def forward(model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray, trac
     return states
 
 
-def _log_softmax(x: np.ndarray) -> np.ndarray:
-    x = x - x.max(axis=1, keepdims=True)
-    return x - np.log(np.exp(x).sum(axis=1, keepdims=True))
+def _exponentials(x: np.ndarray, weights: np.ndarray, bias: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Exponentials of ``x`` (changed in place) and their sums by row; ``x`` is lowered if they could overflow.
+
+    States lie between -1 and 1, which bounds every sum of products.
+    """
+    if (np.abs(weights).sum(axis=0) + np.abs(bias)).max(initial=0) > 60:
+        x -= x.max(axis=1, keepdims=True)
+    values = np.exp(x)
+    return values, values @ np.ones(values.shape[1], values.dtype)
 
 
 def outputs(model, states: np.ndarray, targets: np.ndarray, grads: dict | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -138,33 +148,38 @@ def outputs(model, states: np.ndarray, targets: np.ndarray, grads: dict | None =
     ``states`` is tokens x hidden. With ``grads`` the slopes of the mean loss are added to it.
     """
     n = len(targets)
+    rows_of = np.arange(n)
     wanted = class_of(targets)
-    logs = _log_softmax(states @ model["by_class"] + model["class_bias"])
-    result = logs[np.arange(n), wanted].astype(np.float64)
+    logits = states @ model["by_class"] + model["class_bias"]
+    values, sums = _exponentials(logits, model["by_class"], model["class_bias"])
+    result = (logits[rows_of, wanted] - np.log(sums)).astype(np.float64)
     slope = None
     if grads is not None:
-        error = np.exp(logs)
-        error[np.arange(n), wanted] -= 1
-        error /= n
-        grads["by_class"] += states.T @ error
-        grads["class_bias"] += error.sum(axis=0)
-        slope = error @ model["by_class"].T
+        values *= (1 / (sums * n))[:, None]
+        values[rows_of, wanted] -= 1 / n
+        grads["by_class"] += states.T @ values
+        grads["class_bias"] += values.sum(axis=0)
+        slope = values @ model["by_class"].T
     order = np.argsort(wanted, kind="stable")
     starts = np.searchsorted(wanted[order], np.arange(HEAD // CLASS + 1))
+    ordered = states[order[:starts[-1]]]
+    inner = np.empty_like(ordered) if grads is not None else None
     for c in range(HEAD // CLASS):
-        own = order[starts[c]:starts[c + 1]]
-        if len(own):
-            rows = slice(c * CLASS, (c + 1) * CLASS)
-            inside = _log_softmax(states[own] @ model["by_word"][rows].T + model["word_bias"][rows])
-            at = targets[own] - c * CLASS
-            result[own] += inside[np.arange(len(own)), at]
+        part = slice(starts[c], starts[c + 1])
+        if starts[c] < starts[c + 1]:
+            own, rows = order[part], slice(c * CLASS, (c + 1) * CLASS)
+            logits = ordered[part] @ model["by_word"][rows].T + model["word_bias"][rows]
+            values, sums = _exponentials(logits, model["by_word"][rows].T, model["word_bias"][rows])
+            at, line = targets[own] - c * CLASS, np.arange(len(own))
+            result[own] += logits[line, at] - np.log(sums)
             if grads is not None:
-                error = np.exp(inside)
-                error[np.arange(len(own)), at] -= 1
-                error /= n
-                grads["by_word"][rows] += error.T @ states[own]
-                grads["word_bias"][rows] += error.sum(axis=0)
-                slope[own] += error @ model["by_word"][rows]
+                values *= (1 / (sums * n))[:, None]
+                values[line, at] -= 1 / n
+                grads["by_word"][rows] += values.T @ ordered[part]
+                grads["word_bias"][rows] += values.sum(axis=0)
+                inner[part] = values @ model["by_word"][rows]
+    if grads is not None:
+        slope[order[:starts[-1]]] += inner
     return result, slope
 
 
@@ -203,25 +218,42 @@ def lanes_of(lengths: np.ndarray, count: int) -> list[list[int]]:
     return [own for _, _, own in sorted(lanes, key=lambda x: (-x[0], x[1]))]
 
 
-def streams(texts: list[np.ndarray], count: int) -> Iterator[tuple[np.ndarray, ...]]:
-    """Lanes of texts one after the other: inputs, targets, keep and text numbers, steps x lanes.
+def windows(texts: list[np.ndarray], count: int, steps: int) -> Iterator[tuple[np.ndarray, ...]]:
+    """Inputs, targets, keep and text numbers (steps x lanes) of one window after the other.
 
-    A text's first input is the end of a text; text number -1 marks the room after a lane.
+    A lane holds texts one after the other and knows where it is in them; lanes that
+    have ended are left out, the longest come first. A text's first input is the
+    end of a text; text number -1 marks the room after a lane.
     """
     lanes = lanes_of(np.array([len(t) for t in texts]), count)
-    steps = max((sum(len(texts[i]) for i in own) for own in lanes), default=0)
-    targets = np.zeros((steps, len(lanes)), np.int32)
-    inputs = np.zeros_like(targets)
-    numbers = np.full(targets.shape, -1, np.int32)
-    keep = np.ones(targets.shape, np.float32)
-    for k, own in enumerate(lanes):
-        at = 0
-        for i in own:
-            stop = at + len(texts[i])
-            targets[at:stop, k], numbers[at:stop, k], keep[at, k] = texts[i], i, 0
-            inputs[at, k], inputs[at + 1:stop, k] = texts[i][-1], texts[i][:-1]
-            at = stop
-    return inputs, targets, keep, numbers
+    lanes = [[i for i in own if len(texts[i])] for own in lanes]
+    left = [sum(len(texts[i]) for i in own) for own in lanes]
+    places = [[0, 0] for _ in lanes]
+    live = sum(size > 0 for size in left)
+    while live:
+        targets = np.zeros((live, steps), np.int32)
+        inputs = np.zeros_like(targets)
+        numbers = np.full(targets.shape, -1, np.int32)
+        keep = np.ones(targets.shape, np.float32)
+        for k in range(live):
+            at, place, own = 0, places[k], lanes[k]
+            while at < steps and place[0] < len(own):
+                i, done = own[place[0]], place[1]
+                text = texts[i]
+                take = min(len(text) - done, steps - at)
+                stop = at + take
+                targets[k, at:stop], numbers[k, at:stop] = text[done:done + take], i
+                if done:
+                    inputs[k, at:stop] = text[done - 1:done + take - 1]
+                else:
+                    inputs[k, at], keep[k, at] = text[-1], 0
+                    inputs[k, at + 1:stop] = text[:take - 1]
+                at, done = stop, done + take
+                place[:] = (place[0] + 1, 0) if done == len(text) else (place[0], done)
+            left[k] -= at
+        yield tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, keep, numbers))
+        while live and left[live - 1] <= 0:
+            live -= 1
 
 
 def train_on(model: dict, texts: list[np.ndarray], rate: float = RATE) -> dict:
@@ -229,46 +261,42 @@ def train_on(model: dict, texts: list[np.ndarray], rate: float = RATE) -> dict:
     model = {k: v.copy() for k, v in model.items()}
     first = {k: np.zeros_like(v) for k, v in model.items()}
     second = {k: np.zeros_like(v) for k, v in model.items()}
-    inputs, targets, keep, numbers = streams(texts, LANES)
-    state, step = np.zeros((inputs.shape[1], HIDDEN), np.float32), 0
-    for at in range(0, len(inputs), WINDOW):
-        window = slice(at, at + WINDOW)
-        live = int((numbers[at] >= 0).sum())
-        own = numbers[window, :live].ravel() >= 0
+    state = None
+    for step, (inputs, targets, keep, numbers) in enumerate(windows(texts, LANES, WINDOW), 1):
+        live = inputs.shape[1]
+        state = np.zeros((live, HIDDEN), np.float32) if state is None else state[:live]
+        own = numbers.ravel() >= 0
         trace: list = []
-        states = forward(model, inputs[window, :live], keep[window, :live], state[:live], trace)
+        states = forward(model, inputs, keep, state, trace)
         grads = {k: np.zeros_like(v) for k, v in model.items()}
-        _, slope = outputs(model, states.reshape(-1, HIDDEN)[own], targets[window, :live].ravel()[own], grads)
+        _, slope = outputs(model, states.reshape(-1, HIDDEN)[own], targets.ravel()[own], grads)
         slopes = np.zeros((states.shape[0] * live, HIDDEN), np.float32)
         slopes[own] = slope
-        backward(model, inputs[window, :live], keep[window, :live], trace, slopes.reshape(states.shape), grads)
+        backward(model, inputs, keep, trace, slopes.reshape(states.shape), grads)
         state = states[-1]
-        step += 1
-        size = np.sqrt(sum(float((g ** 2).sum()) for g in grads.values()))
+        size = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
         scale = min(1.0, 1.0 / (size + 1e-12))
+        shrink = rate / (1 - 0.9 ** step) * np.sqrt(1 - 0.999 ** step)
         for k in model:
             g = grads[k] * scale
             first[k] += 0.1 * (g - first[k])
-            second[k] += 0.001 * (g ** 2 - second[k])
-            model[k] -= rate * (first[k] / (1 - 0.9 ** step)) / (np.sqrt(second[k] / (1 - 0.999 ** step)) + 1e-8)
+            g *= g
+            second[k] += 0.001 * (g - second[k])
+            model[k] -= shrink * first[k] / (np.sqrt(second[k]) + 1e-8)
     return model
 
 
 def score(model: dict, texts: list[np.ndarray]) -> np.ndarray:
     """Base-10 log-probability of each whole text."""
-    total = np.zeros(len(texts))
-    if not texts:
-        return total
-    inputs, targets, keep, numbers = streams(texts, SCORE_LANES)
-    state = np.zeros((inputs.shape[1], HIDDEN), np.float32)
-    for at in range(0, len(inputs), SCORE_WINDOW):
-        window = slice(at, at + SCORE_WINDOW)
-        live = int((numbers[at] >= 0).sum())
-        states = forward(model, inputs[window, :live], keep[window, :live], state[:live])
+    total, state = np.zeros(len(texts)), None
+    for inputs, targets, keep, numbers in windows(texts, SCORE_LANES, SCORE_WINDOW):
+        live = inputs.shape[1]
+        state = np.zeros((live, HIDDEN), np.float32) if state is None else state[:live]
+        states = forward(model, inputs, keep, state)
         state = states[-1]
-        own = numbers[window, :live].ravel()
+        own = numbers.ravel()
         used = own >= 0
-        logs, _ = outputs(model, states.reshape(-1, HIDDEN)[used], targets[window, :live].ravel()[used])
+        logs, _ = outputs(model, states.reshape(-1, HIDDEN)[used], targets.ravel()[used])
         total += np.bincount(own[used], logs, len(texts))
     return total / np.log(10)
 
@@ -322,11 +350,15 @@ def _tallied(tally, waiting: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray,
 
 
 ENCODED = (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("fixed", "double"),
-           ("tokens", "binary"), ("practice", "binary"))
+           ("tokens", "binary"), ("hidden", "binary"))
+
 
+def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int, unseen: int):
+    """Texts of a block and the counts of its words become token numbers and word-count scores.
 
-def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int):
-    """Texts of a block and the counts of its words become token numbers and word-count scores."""
+    Words of a class share it by their counts; as many unseen words as there are
+    words seen once, and one more, share theirs evenly.
+    """
     ranks = np.argsort(head)
     in_order = head[ranks]
 
@@ -345,26 +377,25 @@ def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int):
         tail = tokens >= HEAD
         base = np.log10((np.append(counts, 0) + 0.1) / (total + 0.1 * (kinds + 1)))
         fixed = np.zeros(len(known) + 1)
-        fixed[:-1][tail] = np.log10((counts[tail] + 0.1) / sums[tokens[tail] - HEAD])
+        fixed[:-1][tail] = np.log10((counts[tail] + 0.1) / sums[np.minimum(tokens[tail], UNSEEN - 1) - HEAD])
+        fixed[:-1][tokens == UNSEEN] = fixed[-1] = -np.log10(unseen)
         tokens = np.append(tokens, UNSEEN).astype(np.uint16)
         counts = np.append(counts, 0)
         out = {name: [] for name, _ in ENCODED}
         for text, practice in zip(as_bytes(texts, "body"), texts.column("round").to_pylist()):
-            own = codes(text)
-            place = np.searchsorted(known, own)
-            place[place == len(known)] = 0 if len(known) else -1
-            place = np.where(known[place] == own, place, len(known)) if len(known) else np.full(len(own), 0)
-            out["n_tokens"].append(len(own))
-            out["n_known"].append(int((place < len(known)).sum()))
-            out["base_score"].append(float(base[place].sum()))
-            out["fixed"].append(float(fixed[place].sum()))
-            out["tokens"].append(tokens[place].tobytes())
-            lesson = None
-            if practice is not None:
-                # To a text in training, words of no other training text are unseen.
-                _, inverse, here = np.unique(place, return_inverse=True, return_counts=True)
-                lesson = np.where(counts[place] == here[inverse], UNSEEN, tokens[place]).astype(np.uint16).tobytes()
-            out["practice"].append(lesson)
+            # Different words are looked up once a text, in order.
+            found, inverse, here = np.unique(codes(text), return_inverse=True, return_counts=True)
+            place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+            seen = known[place] == found if len(known) else np.zeros(len(found), bool)
+            place = np.where(seen, place, len(known))
+            out["n_tokens"].append(len(inverse))
+            out["n_known"].append(int(here[seen].sum()))
+            out["base_score"].append(float(base[place] @ here))
+            out["fixed"].append(float(fixed[place] @ here))
+            out["tokens"].append(tokens[place][inverse].tobytes())
+            # To a text in training, words of no other training text are unseen: one bit a word.
+            hidden = None if practice is None else np.packbits((counts[place] == here)[inverse]).tobytes()
+            out["hidden"].append(hidden)
         kinds_of = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
         return pa.table({**{c: texts.column(c) for c in ("id", "row", "held_out", "round")},
                          **{n: pa.array(out[n], kinds_of[k]) for n, k in ENCODED}})
@@ -373,11 +404,16 @@ def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int):
 
 def _trainer(flat: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = [r for b in batches for r in zip(b.column("row").to_pylist(), b.column("practice").to_pylist())]
+        one_thread()
+        rows = [r for b in batches for r in zip(*(b.column(c).to_pylist() for c in ("row", "tokens", "hidden")))]
         if not rows:
             return
         rows.sort()
-        texts = [np.frombuffer(t, np.uint16).astype(np.int32) for _, t in rows]
+        texts = []
+        for _, tokens, hidden in rows:
+            text = np.frombuffer(tokens, np.uint16)
+            mask = np.unpackbits(np.frombuffer(hidden, np.uint8), count=len(text)).view(bool)
+            texts.append(np.where(mask, np.uint16(UNSEEN), text))
         n = sum(map(len, texts))
         model = packed(train_on(unpacked(flat), texts)).astype(np.float64) * n
         yield pa.RecordBatch.from_arrays([pa.array([TaskContext.get().partitionId() % 64], pa.int32()),
@@ -394,9 +430,10 @@ def _added(rows: pa.Table) -> pa.Table:
 
 def _scorer(flat: np.ndarray):
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        one_thread()
         model = unpacked(flat)
         for batch in batches:
-            texts = [np.frombuffer(t, np.uint16).astype(np.int32) for t in batch.column("tokens").to_pylist()]
+            texts = [np.frombuffer(t, np.uint16) for t in batch.column("tokens").to_pylist()]
             # Texts are scored together up to about so many tokens.
             group = np.cumsum([len(t) for t in texts]) // SCORE_TOKENS
             found = [score(model, texts[a:b]) for a, b in
@@ -408,21 +445,21 @@ def _scorer(flat: np.ndarray):
 
 
 def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text", rounds: int = ROUNDS,
-                    percent: int = PERCENT, block_bytes: int = BLOCK_BYTES) -> DataFrame:
+                    block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """Scores of all whole texts, learned from those whose CRC-32 of the id, as text, is not divisible by 10.
 
     ``<id>, held_out, n_tokens, n_known, train_tokens, base_score, score``, logarithms
-    to base 10 over the words and the end. Counts cover all training texts. Each round
-    trains on another ``percent`` of them, whole. A null text is empty and has only its
+    to base 10 over the words and the end. Counts cover all training texts, and so
+    does the network: each of the ``rounds`` trains on another part of them, whole. A null text is empty and has only its
     end; a null id is not held out; repeated rows count as often as they occur. Without
     training texts all words are unseen.
     """
     out = F.coalesce(F.crc32(F.col("id").cast("string")) % 10 == 0, F.lit(False))
-    drawn = F.floor(F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(100)) / percent).cast("int")
+    drawn = F.pmod(F.xxhash64("row", F.lit(SEED)), F.lit(rounds)).cast("int")
     source = docs.select(F.col(f"`{id_col}`").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("body"),
                          F.monotonically_increasing_id().alias("row"))
     source = source.select("id", "row", "body", out.alias("held_out"),
-                           F.when(~out & (drawn < rounds), drawn).alias("round"))
+                           F.when(~out, drawn).alias("round"))
     held = cut_lineage(source.mapInArrow(_blocks(block_bytes), source.select("*").schema.add("block", "long")))
     pairs = cut_lineage(held.select("block", "body", "held_out").mapInArrow(_counted, "block long, code long, n long"))
     counts = cut_lineage(pairs.where("n > 0").groupBy("code").agg(F.sum("n").alias("c")))
@@ -452,15 +489,13 @@ def score_documents(docs: DataFrame, id_col: str = "doc_id", text: str = "text",
         fields = fields.add(name, kind)
     tables = pairs.select("block", "code").join(counts, "code")
     encoded = cut_lineage(held.groupBy("block").cogroup(tables.groupBy("block")).applyInArrow(
-        _encoder(head, np.maximum(sums, 1e-9), total, kinds), fields))
+        _encoder(head, np.maximum(sums, 1e-9), total, kinds, unseen), fields))
 
     discard(held, pairs, counts)
-    sizes = {r["round"]: r["n"] for r in encoded.where("round is not null").groupBy("round")
-             .agg(F.sum("n_tokens").alias("n")).collect()}
     for k in range(rounds):
-        trainers = max(1, -(-sizes.get(k, 0) // TRAINER_TOKENS))
-        lessons = encoded.where(F.col("round") == k).select("row", "practice").repartition(trainers, "row")
-        parts = (lessons.mapInArrow(_trainer(flat), "part int, n double, model binary")
+        # A trainer takes what lies in one split of the stored table, so nothing moves but models.
+        parts = (encoded.where(F.col("round") == k).select("row", "tokens", "hidden")
+                 .mapInArrow(_trainer(flat), "part int, n double, model binary")
                  .groupBy("part").applyInArrow(_added, "part int, n double, model binary").collect())
         if parts:
             flat = (sum(np.frombuffer(p["model"]) for p in parts) / sum(p["n"] for p in parts)).astype(np.float32)

@@ -59,7 +59,7 @@ def test_tokens_are_a_distribution():
 
 def test_gradients():
     model, texts = _model(3), _texts(4, [7, 9, 4])
-    inputs, targets, keep, numbers = gru.streams(texts, 2)
+    inputs, targets, keep, numbers = next(gru.windows(texts, 2, 11))
     used = numbers.ravel() >= 0
 
     def loss():
@@ -139,3 +139,81 @@ def test_query_and_held_out_likelihood(spark):
     assert sum(r.score for r in out) > sum(r.base_score for r in out)
     other = [r for r in rows if not r.held_out]
     assert sum(r.score for r in other) > 1.2 * sum(r.base_score for r in other)
+
+
+def test_windows_hold_every_token_once():
+    texts = _texts(8, [1, 5, 700, 3, 64, 65, 2])
+    for lanes, steps in ((2, 7), (256, 64)):
+        found = [[] for _ in texts]
+        for inputs, targets, keep, numbers in gru.windows(texts, lanes, steps):
+            assert inputs.shape == targets.shape == keep.shape == numbers.shape and len(inputs) == steps
+            for t, k in zip(*np.nonzero(numbers >= 0)):
+                found[numbers[t, k]].append((inputs[t, k], targets[t, k], keep[t, k]))
+        for text, own in zip(texts, found):
+            assert [b for _, b, _ in own] == list(text)
+            assert [a for a, _, _ in own] == [text[-1], *text[:-1]]
+            assert [c for _, _, c in own] == [0] + [1] * (len(text) - 1)
+
+
+def test_windows_of_a_very_long_text_stay_small():
+    """Two million words beside short texts: no array of all steps by all lanes."""
+    import tracemalloc
+    texts = [np.zeros(2_000_000, np.uint16)] + [np.zeros(100, np.uint16)] * 2_000
+    tracemalloc.start()
+    tokens = sum(int((numbers >= 0).sum()) for _, _, _, numbers in gru.windows(texts, 256, 64))
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert tokens == 2_200_000 and peak < 20 << 20
+
+
+def test_words_share_their_class_wholly():
+    """Known words and as many unseen ones as the model counts on: probabilities sum to one."""
+    import pyarrow as pa
+    rng = random.Random(9)
+    counts = Counter({f"w{i}{rng.choice(['', '.', ',', '!', 'é'])}": rng.choice([1, 1, 1, 2, 3, 8, 20, 90]) for i in range(1_500)})
+    code_of = {w: gru._code(w.encode()) for w in counts}
+    code_of[None] = gru.END
+    counts[None] = 50
+    top = sorted(counts, key=lambda w: (-counts[w], code_of[w]))[:gru.HEAD]
+    head = np.array([code_of[w] for w in top], np.int64)
+    sums = np.zeros(gru.TAIL)
+    for w, c in counts.items():
+        if w not in top:
+            sums[(code_of[w] & 7) * (len(gru.BOUNDS) + 1) + int(np.digitize(c, gru.BOUNDS))] += c + 0.1
+    unseen = sum(c == 1 for c in counts.values()) + 1
+    table = pa.table({"code": pa.array([code_of[w] for w in counts], pa.int64()), "c": pa.array(list(counts.values()), pa.int64())})
+    words = [w for w in counts if w is not None] + ["never seen".replace(" ", "")]
+    rows = pa.table({"id": words, "row": list(range(len(words))), "held_out": [True] * len(words),
+                     "round": pa.array([None] * len(words), pa.int32()), "body": words})
+    found = gru._encoder(head, np.maximum(sums, 1e-9), sum(counts.values()), len(counts), unseen)(rows, table)
+    model = _model(10)
+    states = np.random.default_rng(11).uniform(-1, 1, (1, gru.HIDDEN))
+    total, end_seen = 0.0, False
+    for word, tokens, fixed in zip(words, found.column("tokens").to_pylist(), found.column("fixed").to_pylist()):
+        token, end = np.frombuffer(tokens, np.uint16)
+        logs = [gru.outputs(model, states, np.array([t]))[0][0] for t in (token, end)]
+        total += math.exp(logs[0]) * 10 ** fixed * (unseen if word == words[-1] else 1)
+        if not end_seen:
+            total, end_seen = total + math.exp(logs[1]), True
+    # Classes that no word is in keep their share.
+    empty = {gru.HEAD + k for k in range(gru.TAIL) if sums[k] == 0}
+    total += sum(math.exp(gru.outputs(model, states, np.array([t]))[0][0]) for t in empty)
+    assert abs(total - 1) < 1e-6
+
+
+def test_unseen_words_score_below_the_class(spark, texts_frame):
+    rows = [(i, f"common words here again and w{i}") for i in range(200)]
+    out = next(i for i in range(1_000, 2_000) if zlib.crc32(str(i).encode()) % 10 == 0)
+    rows.append((out, " ".join(f"invented{k}" for k in range(100))))
+    found = {r.doc_id: r for r in gru.score_documents(texts_frame(rows)).collect()}
+    assert found[out].n_known == 1 and found[out].score < -100 * math.log10(150)
+
+
+def test_rounds_cover_all_training_texts(spark, texts_frame, monkeypatch):
+    """Every training text is in one round, whole; held-out texts are in none."""
+    seen = []
+    plain = gru._trainer
+    monkeypatch.setattr(gru, "_trainer", lambda flat: seen.append(flat) or plain(flat))
+    rows = [(i, "one two three " * (i % 5)) for i in range(100)]
+    gru.score_documents(texts_frame(rows)).count()
+    assert len(seen) == gru.ROUNDS and not any((a == b).all() for a, b in zip(seen, seen[1:]))
