@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from hearthline.llm.blas import one_thread
 from hearthline.session import cut_lineage
 
 SHARD_ROWS = 5_000
@@ -190,6 +191,7 @@ NODES = "dim int, shard int, at int, vector binary, ids array<long>, edges array
 
 def _built(degree: int, beam: int, alpha: float):
     def task(rows: pa.Table) -> pa.Table:
+        one_thread()
         rows = rows.sort_by("vector")
         vectors = np.frombuffer(b"".join(rows.column("vector").to_pylist())).reshape(rows.num_rows, -1)
         graph = Graph(vectors, degree)
@@ -214,8 +216,8 @@ def build_index(vectors: DataFrame, most: int, id_col: str = "vec_id", vector_co
     nodes = cut_lineage(different(usable(vectors, id_col, vector_col), most))
     shards = max(1, -(-nodes.count() // shard_rows))
     dealt = nodes.withColumn("shard", F.pmod(F.xxhash64("vector"), F.lit(shards)).cast("int"))
-    # A given number of partitions is kept: cost is in building, not in bytes, so small ones are not merged.
-    dealt = dealt.repartition(min(4 * shards, MOST_TASKS), "dim", "shard")
+    # Cost is in building, not in bytes: ranges of whole shards, one a task, whose given number is kept.
+    dealt = dealt.repartitionByRange(min(shards, MOST_TASKS), "dim", "shard")
     return cut_lineage(dealt.groupBy("dim", "shard").applyInArrow(_built(degree, beam, alpha), NODES)), shards
 
 
@@ -228,6 +230,7 @@ def _searched(k: int, beam: int):
                           "vec_id": pa.array([], pa.int64()), "score": pa.array([], pa.float64())})
         if not index.num_rows or not queries.num_rows:
             return empty
+        one_thread()
         index = index.sort_by("at")
         exact = np.frombuffer(b"".join(index.column("vector").to_pylist())).reshape(index.num_rows, -1)
         graph = Graph(exact, max(1, max(len(e) for e in index.column("edges").to_pylist())))
