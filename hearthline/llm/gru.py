@@ -8,14 +8,16 @@ the class, then the word inside the class.
 
 The model is trained by truncated backpropagation in numpy. In each round every
 task trains on its part of that round's texts, starting from the same model, and
-the models are averaged by tokens; the rounds together cover every training text once. In training and scoring the state runs on from
-window to window to the end of a text; a text starts from the zero state.
+the models are averaged by tokens; the rounds together cover every training text once.
+A window of few tokens waits for the next ones before the model takes a step. In training
+and scoring the state runs on from window to window to the end of a text; a text starts
+from the zero state.
 """
 
 from __future__ import annotations
 
 import heapq
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -25,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from hearthline.llm.blas import one_thread
-from hearthline.llm.texts import WordTable, as_bytes, hash64, words
+from hearthline.llm.texts import hash64, only
 from hearthline.session import cut_lineage, discard
 
 #: Words predicted one by one, and how many share a class.
@@ -42,32 +44,58 @@ BLOCK_BYTES = 32 << 20
 ROUNDS = 3
 WINDOW, LANES = 16, 256
 SCORE_WINDOW, SCORE_LANES, SCORE_TOKENS = 64, 256, 1_000_000
-#: Words of a block that are held before they are counted.
-TALLY_TOKENS = 1_000_000
+#: Text whose words are taken apart at once.
+PIECE_BYTES = 4 << 20
+#: Rows of one class that meet its words in one product.
+SHEET = 32
 RATE = 4e-3
 SEED = 5
 
 
+#: Ending of a word by its last byte: a letter or no ASCII, a full stop, a comma, anything else.
+ENDINGS = np.full(256, 3, np.uint8)
+ENDINGS[[*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(128, 256)]] = 0
+ENDINGS[[ord("."), ord(",")]] = 1, 2
+
+
+def _word_codes(found: pa.Array) -> np.ndarray:
+    """61 bits of each word's hash and 3 bits of its shape, as signed numbers; no word may be empty."""
+    if not len(found):
+        return np.empty(0, np.int64)
+    plain = found.cast(pa.binary()).to_numpy(zero_copy_only=False)
+    data = np.frombuffer(b"".join(plain), np.uint8)
+    ends = np.cumsum(pc.binary_length(found).to_numpy(), dtype=np.int64)
+    beyond = np.maximum.reduceat(data, np.append(0, ends[:-1])) >= 0x80
+    shape = 4 * beyond.astype(np.uint64) + ENDINGS[data[ends - 1]]
+    return (np.fromiter(map(hash64, plain), np.uint64, len(plain)) & ~np.uint64(7) | shape).view(np.int64)
+
+
 def _code(word: bytes) -> int:
-    """61 bits of the word's hash and 3 bits of its shape, as a signed number."""
-    last = word[-1:]
-    ending = 1 if last == b"." else 2 if last == b"," else 0 if last.isalpha() or last >= b"\x80" else 3
-    code = hash64(word) & ~7 | (4 * (not word.isascii()) + ending)
-    return code - (1 << 64) if code >> 63 else code
+    return int(_word_codes(pa.array([word], pa.string()))[0])
 
 
-_CODES = WordTable(_code)
 #: White space is no word, so this is none's code.
 END = _code(b"\n")
 
 
-def codes(text: bytes) -> np.ndarray:
-    """Codes of the text's words and of its end."""
-    found = words(text)
-    result = np.empty(len(found) + 1, np.int64)
-    result[:-1] = np.fromiter(map(_CODES.__getitem__, found), np.int64, len(found))
-    result[-1] = END
-    return result
+def coded(body: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Codes of the different words of some texts, first that of the end; the place there of
+    every text's words and end, in order; and how many those are by text.
+
+    Arrow's ASCII rules are those of ``texts.words``: A-Z are lowered, words end at 0x20 and 0x09-0x0D.
+    """
+    split = pc.ascii_split_whitespace(pc.ascii_lower(body))
+    found = split.flatten()
+    held = pc.binary_length(found).to_numpy() > 0
+    before = np.append(0, np.cumsum(held))
+    sizes = np.diff(before[split.offsets.to_numpy()]) + 1
+    # White space at either side of a text leaves empty pieces.
+    listed = (found if held.all() else found.filter(pa.array(held))).dictionary_encode()
+    places = np.zeros(int(sizes.sum()), np.int32)
+    inside = np.ones(len(places), bool)
+    inside[np.cumsum(sizes) - 1] = False
+    places[inside] = listed.indices.to_numpy() + 1
+    return np.append(END, _word_codes(listed.dictionary)), places, sizes
 
 
 # --- the model --------------------------------------------------------------------------------
@@ -102,32 +130,43 @@ def unpacked(flat: np.ndarray) -> dict[str, np.ndarray]:
     return {k: part.reshape(s) for (k, s), part in zip(SHAPES.items(), np.split(flat, sizes))}
 
 
+def by_gate(values: np.ndarray) -> np.ndarray:
+    """Rows of three gates side by side as one block for each gate."""
+    return np.ascontiguousarray(values.reshape(-1, 3, HIDDEN).transpose(1, 0, 2))
+
+
 def forward(model, inputs: np.ndarray, keep: np.ndarray, state: np.ndarray, trace: list | None = None) -> np.ndarray:
     """States after each step of a window (steps x lanes x hidden).
 
     ``keep`` is zero where a text begins, which clears the lane's state.
     """
     h = HIDDEN
-    # Gates are 0.5 * tanh(x / 2) + 0.5; the half is in the weights.
-    half = np.ones(3 * h, model["state"].dtype)
-    half[:2 * h] = 0.5
-    drive = ((model["embed"] @ model["inner"] + model["bias"]) * half)[inputs]
-    weights = model["state"] * half
-    states = np.empty((*inputs.shape, h), drive.dtype)
+    steps, lanes = inputs.shape
+    # Gates are 0.5 * tanh(x / 2) + 0.5; the half is in the weights. Reset, update and new lie apart.
+    half = np.array([0.5, 0.5, 1], model["state"].dtype)[:, None, None]
+    drive = np.take(by_gate(model["embed"] @ model["inner"] + model["bias"]) * half, inputs, axis=1)
+    weights = by_gate(model["state"]) * half
+    states = np.empty((steps, lanes, h), drive.dtype)
     begins = (keep == 0).any(axis=1)
-    for t in range(len(inputs)):
+    kept = None if trace is None else np.empty((5, steps, lanes, h), drive.dtype)
+    for t in range(steps):
         before = state * keep[t][:, None] if begins[t] else state
-        x, u = drive[t], before @ weights
-        gates = x[:, :2 * h] + u[:, :2 * h]
+        u = before @ weights
+        gates = drive[:2, t] + u[:2]
         np.tanh(gates, out=gates)
         gates *= 0.5
         gates += 0.5
-        reset, update = gates[:, :h], gates[:, h:]
-        new = np.tanh(x[:, 2 * h:] + reset * u[:, 2 * h:])
-        state = new + update * (before - new)
-        states[t] = state
-        if trace is not None:
-            trace.append((before, reset, update, new, u[:, 2 * h:]))
+        reset, update = gates
+        new = reset * u[2]
+        new += drive[2, t]
+        np.tanh(new, out=new)
+        state = np.subtract(before, new, out=states[t])
+        state *= update
+        state += new
+        if kept is not None:
+            kept[0, t], kept[1:3, t], kept[3, t], kept[4, t] = before, gates, new, u[2]
+    if trace is not None:
+        trace.append(kept)
     return states
 
 
@@ -160,52 +199,79 @@ def outputs(model, states: np.ndarray, targets: np.ndarray, grads: dict | None =
         grads["by_class"] += states.T @ values
         grads["class_bias"] += values.sum(axis=0)
         slope = values @ model["by_class"].T
-    order = np.argsort(wanted, kind="stable")
-    starts = np.searchsorted(wanted[order], np.arange(HEAD // CLASS + 1))
-    ordered = states[order[:starts[-1]]]
-    inner = np.empty_like(ordered) if grads is not None else None
-    for c in range(HEAD // CLASS):
-        part = slice(starts[c], starts[c + 1])
-        if starts[c] < starts[c + 1]:
-            own, rows = order[part], slice(c * CLASS, (c + 1) * CLASS)
-            logits = ordered[part] @ model["by_word"][rows].T + model["word_bias"][rows]
-            values, sums = _exponentials(logits, model["by_word"][rows].T, model["word_bias"][rows])
-            at, line = targets[own] - c * CLASS, np.arange(len(own))
-            result[own] += logits[line, at] - np.log(sums)
-            if grads is not None:
-                values *= (1 / (sums * n))[:, None]
-                values[line, at] -= 1 / n
-                grads["by_word"][rows] += values.T @ ordered[part]
-                grads["word_bias"][rows] += values.sum(axis=0)
-                inner[part] = values @ model["by_word"][rows]
+    # Words of the head, class by class in sheets of SHEET rows; the rest of a class's last sheet stays empty.
+    order = np.argsort(wanted.astype(np.uint8), kind="stable")
+    sizes = np.bincount(wanted, minlength=CLASSES)[:HEAD // CLASS]
+    order = order[:sizes.sum()]
+    if not len(order):
+        return result, slope
+    sheets = -(-sizes // SHEET)
+    kinds = np.repeat(np.arange(HEAD // CLASS), sheets)
+    lines = np.arange(len(order)) + np.repeat((np.cumsum(sheets) - sheets) * SHEET - (np.cumsum(sizes) - sizes), sizes)
+    filled = np.zeros((len(kinds), SHEET, states.shape[1]), states.dtype)
+    filled.reshape(-1, states.shape[1])[lines] = states[order]
+    weights = model["by_word"].reshape(-1, CLASS, HIDDEN)[kinds]
+    logits = filled @ weights.transpose(0, 2, 1)
+    logits += model["word_bias"].reshape(-1, 1, CLASS)[kinds]
+    logits = logits.reshape(-1, CLASS)
+    values, sums = _exponentials(logits, model["by_word"].T, model["word_bias"])
+    at = targets[order] % CLASS
+    result[order] += logits[lines, at] - np.log(sums[lines])
     if grads is not None:
-        slope[order[:starts[-1]]] += inner
+        share = np.zeros_like(sums)
+        share[lines] = 1 / (sums[lines] * n)
+        values *= share[:, None]
+        values[lines, at] -= 1 / n
+        values = values.reshape(-1, SHEET, CLASS)
+        present, first = np.unique(kinds, return_index=True)
+        by_word = np.add.reduceat(values.transpose(0, 2, 1) @ filled, first)
+        grads["by_word"].reshape(-1, CLASS, HIDDEN)[present] += by_word
+        grads["word_bias"].reshape(-1, CLASS)[present] += np.add.reduceat(values.sum(axis=1), first)
+        slope[order] += (values @ weights).reshape(-1, HIDDEN)[lines]
     return result, slope
 
 
 def backward(model, inputs: np.ndarray, keep: np.ndarray, trace: list, slopes: np.ndarray, grads: dict) -> None:
     """Slopes through the window; they end at its first step."""
-    h = HIDDEN
     steps, lanes = inputs.shape
-    by_input = np.empty((steps, lanes, 3 * h), np.float32)
+    before, reset, update, new, u = trace[0]
+    # How far a slope by state reaches the sums inside new, update and (over new) reset.
+    to_new = (1 - update) * (1 - new * new)
+    to_update = (before - new) * update * (1 - update)
+    to_reset = u * reset * (1 - reset)
+    by_input = np.empty((3, steps, lanes, HIDDEN), before.dtype)
     by_state = np.empty_like(by_input)
-    carried = np.zeros((lanes, h), np.float32)
+    weights = np.ascontiguousarray(by_gate(model["state"]).transpose(0, 2, 1))
+    carried = np.zeros((lanes, HIDDEN), before.dtype)
+    ends = (keep == 0).any(axis=1)
     for t in range(steps - 1, -1, -1):
-        before, reset, update, new, u = trace[t]
         total = slopes[t] + carried
-        d_new = total * (1 - update) * (1 - new ** 2)
-        d_update = total * (before - new) * update * (1 - update)
-        d_reset = d_new * u * reset * (1 - reset)
-        by_input[t, :, :h], by_input[t, :, h:2 * h], by_input[t, :, 2 * h:] = d_reset, d_update, d_new
-        by_state[t, :, :2 * h], by_state[t, :, 2 * h:] = by_input[t, :, :2 * h], d_new * reset
-        carried = (total * update + by_state[t] @ model["state"].T) * keep[t][:, None]
-    ids, flat = inputs.ravel(), by_input.reshape(-1, 3 * h)
-    grads["state"] += np.concatenate([b[0] for b in trace]).T @ by_state.reshape(-1, 3 * h)
-    grads["inner"] += model["embed"][ids].T @ flat
-    grads["bias"] += flat.sum(axis=0)
-    order = np.argsort(ids, kind="stable")
+        d_new = np.multiply(total, to_new[t], out=by_input[2, t])
+        np.multiply(d_new, to_reset[t], out=by_state[0, t])
+        np.multiply(total, to_update[t], out=by_state[1, t])
+        np.multiply(d_new, reset[t], out=by_state[2, t])
+        reached = by_state[:, t] @ weights
+        total *= update[t]
+        carried = total + reached[0] + reached[1] + reached[2]
+        if ends[t]:
+            carried *= keep[t][:, None]
+    by_input[:2] = by_state[:2]
+    n = steps * lanes
+    grads["state"] += _side_by_side(before.reshape(n, -1).T @ by_state.reshape(3, n, -1))
+    # Slopes are added up by word before they meet the weights.
+    ids = inputs.ravel()
+    order = np.argsort(ids.astype(np.uint16), kind="stable")
     first = np.flatnonzero(np.diff(ids[order], prepend=-1))
-    grads["embed"][ids[order][first]] += np.add.reduceat(flat[order], first) @ model["inner"].T
+    used = ids[order[first]]
+    sums = np.add.reduceat(_side_by_side(by_input.reshape(3, n, -1)).take(order, axis=0), first)
+    grads["inner"] += model["embed"][used].T @ sums
+    grads["bias"] += sums.sum(axis=0)
+    grads["embed"][used] += sums @ model["inner"].T
+
+
+def _side_by_side(values: np.ndarray) -> np.ndarray:
+    """The other way round than ``by_gate``."""
+    return values.transpose(1, 0, 2).reshape(values.shape[1], -1)
 
 
 def lanes_of(lengths: np.ndarray, count: int) -> list[list[int]]:
@@ -225,64 +291,74 @@ def windows(texts: list[np.ndarray], count: int, steps: int) -> Iterator[tuple[n
     have ended are left out, the longest come first. A text's first input is the
     end of a text; text number -1 marks the room after a lane.
     """
-    lanes = lanes_of(np.array([len(t) for t in texts]), count)
-    lanes = [[i for i in own if len(texts[i])] for own in lanes]
-    left = [sum(len(texts[i]) for i in own) for own in lanes]
-    places = [[0, 0] for _ in lanes]
-    live = sum(size > 0 for size in left)
-    while live:
-        targets = np.zeros((live, steps), np.int32)
-        inputs = np.zeros_like(targets)
-        numbers = np.full(targets.shape, -1, np.int32)
-        keep = np.ones(targets.shape, np.float32)
-        for k in range(live):
-            at, place, own = 0, places[k], lanes[k]
-            while at < steps and place[0] < len(own):
-                i, done = own[place[0]], place[1]
-                text = texts[i]
-                take = min(len(text) - done, steps - at)
-                stop = at + take
-                targets[k, at:stop], numbers[k, at:stop] = text[done:done + take], i
-                if done:
-                    inputs[k, at:stop] = text[done - 1:done + take - 1]
-                else:
-                    inputs[k, at], keep[k, at] = text[-1], 0
-                    inputs[k, at + 1:stop] = text[:take - 1]
-                at, done = stop, done + take
-                place[:] = (place[0] + 1, 0) if done == len(text) else (place[0], done)
-            left[k] -= at
-        yield tuple(np.ascontiguousarray(a.T) for a in (inputs, targets, keep, numbers))
-        while live and left[live - 1] <= 0:
-            live -= 1
+    lengths = np.array([len(t) for t in texts], np.int64)
+    lanes = lanes_of(lengths, count)
+    sizes = np.array([lengths[own].sum() for own in lanes], np.int64)
+    if not sizes.sum():
+        return
+    # All lanes one after the other; the text of every token, and of a token before the first.
+    line = np.concatenate([texts[i] for own in lanes for i in own])
+    turn = np.array([i for own in lanes for i in own], np.int32)
+    owner = np.repeat(np.append(np.int32(-1), turn), np.append(1, lengths[turn]))
+    last = np.array([t[-1] if len(t) else 0 for t in texts], np.int32)
+    begin = np.cumsum(sizes) - sizes
+    for done in range(0, int(sizes[0]), steps):
+        live = int((sizes > done).sum())
+        step = done + np.arange(steps)[:, None]
+        used = step < sizes[:live]
+        at = np.where(used, begin[:live] + step, 0)
+        numbers = owner[at + 1]
+        starts = (owner[at] != numbers) & used
+        # A lane's first text may follow another lane's last one, never itself.
+        inputs = np.where(starts, last[numbers], line[at - 1]).astype(np.int32)
+        targets = line[at].astype(np.int32)
+        inputs[~used], targets[~used], numbers[~used] = 0, 0, -1
+        yield inputs, targets, 1 - starts.astype(np.float32), numbers
 
 
 def train_on(model: dict, texts: list[np.ndarray], rate: float = RATE) -> dict:
     """One pass over the texts by truncated backpropagation (Adam)."""
-    model = {k: v.copy() for k, v in model.items()}
-    first = {k: np.zeros_like(v) for k, v in model.items()}
-    second = {k: np.zeros_like(v) for k, v in model.items()}
-    state = None
-    for step, (inputs, targets, keep, numbers) in enumerate(windows(texts, LANES, WINDOW), 1):
+    flat = packed(model)
+    # Names are views of one vector, which is moved as a whole.
+    model, grad = unpacked(flat), np.zeros_like(flat)
+    grads = unpacked(grad)
+    total, first, second = np.zeros_like(flat), np.zeros_like(flat), np.zeros_like(flat)
+    state, step, size, waiting = None, 0, 0, 0
+    left = sum(map(len, texts))
+    for inputs, targets, keep, numbers in windows(texts, LANES, WINDOW):
         live = inputs.shape[1]
         state = np.zeros((live, HIDDEN), np.float32) if state is None else state[:live]
         own = numbers.ravel() >= 0
+        n = int(own.sum())
         trace: list = []
         states = forward(model, inputs, keep, state, trace)
-        grads = {k: np.zeros_like(v) for k, v in model.items()}
+        grad[:] = 0
         _, slope = outputs(model, states.reshape(-1, HIDDEN)[own], targets.ravel()[own], grads)
         slopes = np.zeros((states.shape[0] * live, HIDDEN), np.float32)
         slopes[own] = slope
         backward(model, inputs, keep, trace, slopes.reshape(states.shape), grads)
         state = states[-1]
-        size = np.sqrt(sum(float(np.vdot(g, g)) for g in grads.values()))
-        scale = min(1.0, 1.0 / (size + 1e-12))
+        grad *= n
+        total += grad
+        waiting, left, size = waiting + n, left - n, size or n
+        # When few lanes are left, their windows wait for each other: no step hangs on a few tokens.
+        if 2 * waiting < size and left:
+            continue
+        total /= waiting
+        total *= min(1.0, 1.0 / (np.sqrt(float(np.vdot(total, total))) + 1e-12))
+        step += 1
         shrink = rate / (1 - 0.9 ** step) * np.sqrt(1 - 0.999 ** step)
-        for k in model:
-            g = grads[k] * scale
-            first[k] += 0.1 * (g - first[k])
-            g *= g
-            second[k] += 0.001 * (g - second[k])
-            model[k] -= shrink * first[k] / (np.sqrt(second[k]) + 1e-8)
+        first *= 0.9
+        first += 0.1 * total
+        total *= total
+        second *= 0.999
+        second += 0.001 * total
+        np.sqrt(second, out=grad)
+        grad += 1e-8
+        np.divide(first, grad, out=grad)
+        grad *= shrink
+        flat -= grad
+        total[:], waiting = 0, 0
     return model
 
 
@@ -315,44 +391,58 @@ def _blocks(block_bytes: int):
     return task
 
 
+def _pieces(batches: Iterable[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same rows in slices of one block and about PIECE_BYTES of text."""
+    for batch in batches:
+        ends = np.cumsum(pc.binary_length(batch.column("body")).to_numpy() + 1, dtype=np.int64) // PIECE_BYTES
+        new = np.diff(ends, prepend=-1) > 0
+        if "block" in batch.schema.names:
+            new |= np.diff(batch.column("block").to_numpy(), prepend=-1) != 0
+        cuts = np.flatnonzero(new)
+        for first, stop in zip(cuts.tolist(), [*cuts[1:].tolist(), batch.num_rows]):
+            yield batch.slice(first, stop - first)
+
+
 def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Different words of each block with their number in its training texts."""
-    def rows(block, tally):
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.full(len(tally[0]), block)), pa.array(tally[0]), pa.array(tally[1])], ["block", "code", "n"])
-
-    now, tally, waiting, size = None, None, [], 0
-    for batch in batches:
-        for block, text, out in zip(batch.column("block").to_pylist(), as_bytes(batch, "body"),
-                                    batch.column("held_out").to_pylist()):
-            if block != now:
-                if now is not None:
-                    yield rows(now, _tallied(tally, waiting))
-                now, tally, waiting, size = block, None, [], 0
-            waiting.append((codes(text), out))
-            size += len(waiting[-1][0])
-            if size > TALLY_TOKENS:
-                tally, waiting, size = _tallied(tally, waiting), [], 0
-    if now is not None:
-        yield rows(now, _tallied(tally, waiting))
-
-
-def _tallied(tally, waiting: list[tuple[np.ndarray, bool]]) -> tuple[np.ndarray, np.ndarray]:
-    """Different words with their numbers in training texts, added to an earlier tally."""
-    found = np.concatenate([c for c, _ in waiting] or [np.empty(0, np.int64)])
-    times = np.concatenate([np.full(len(c), not out, np.int64) for c, out in waiting] or [np.empty(0, np.int64)])
-    if tally is not None:
-        found, times = np.concatenate([found, tally[0]]), np.concatenate([times, tally[1]])
-    order = np.argsort(found)
-    found, times = found[order], times[order]
-    first = np.flatnonzero(np.append(True, found[1:] != found[:-1])[:len(found)])
-    return found[first], np.add.reduceat(times, first) if len(first) else times
+    def rows(block, tallies):
+        found, times = (np.concatenate(x) for x in zip(*tallies))
+        order = np.argsort(found)
+        found, times = found[order], times[order]
+        first = np.flatnonzero(np.append(True, found[1:] != found[:-1]))
+        return pa.RecordBatch.from_arrays([pa.array(np.full(len(first), block)), pa.array(found[first]),
+                                           pa.array(np.add.reduceat(times, first))], ["block", "code", "n"])
+
+    only(None)
+    now, tallies = None, []
+    for piece in _pieces(batches):
+        block = piece.column("block")[0].as_py()
+        if block != now and tallies:
+            yield rows(now, tallies)
+            tallies = []
+        found, places, sizes = coded(piece.column("body"))
+        out = piece.column("held_out").to_numpy(zero_copy_only=False)
+        now = block
+        tallies.append((found, np.bincount(places[np.repeat(~out, sizes)], minlength=len(found))))
+    if tallies:
+        yield rows(now, tallies)
 
 
 ENCODED = (("n_tokens", "long"), ("n_known", "long"), ("base_score", "double"), ("fixed", "double"),
            ("tokens", "binary"), ("hidden", "binary"))
 
 
+def _alone(places: np.ndarray, sizes: np.ndarray, practice: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Whether all occurrences of a word that training counts are in one training text of these."""
+    text = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+    learnt = practice[text]
+    places, text = places[learnt], text[learnt]
+    first, last = np.full(len(counts), -1, np.int32), np.full(len(counts), -1, np.int32)
+    last[places] = text
+    first[places[::-1]] = text[::-1]
+    return (np.bincount(places, minlength=len(counts)) == counts) & (first == last)
+
+
 def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int, unseen: int):
     """Texts of a block and the counts of its words become token numbers and word-count scores.
 
@@ -382,20 +472,28 @@ def _encoder(head: np.ndarray, sums: np.ndarray, total: int, kinds: int, unseen:
         tokens = np.append(tokens, UNSEEN).astype(np.uint16)
         counts = np.append(counts, 0)
         out = {name: [] for name, _ in ENCODED}
-        for text, practice in zip(as_bytes(texts, "body"), texts.column("round").to_pylist()):
-            # Different words are looked up once a text, in order.
-            found, inverse, here = np.unique(codes(text), return_inverse=True, return_counts=True)
-            place = np.minimum(np.searchsorted(known, found), max(len(known) - 1, 0))
+        for piece in _pieces(texts.to_batches()):
+            found, places, sizes = coded(piece.column("body"))
+            # Different words are looked up once a piece, in order.
+            order = np.argsort(found)
+            place = np.empty(len(found), np.int64)
+            place[order] = np.searchsorted(known, found[order])
+            place[place == len(known)] = 0
             seen = known[place] == found if len(known) else np.zeros(len(found), bool)
             place = np.where(seen, place, len(known))
-            out["n_tokens"].append(len(inverse))
-            out["n_known"].append(int(here[seen].sum()))
-            out["base_score"].append(float(base[place] @ here))
-            out["fixed"].append(float(fixed[place] @ here))
-            out["tokens"].append(tokens[place][inverse].tobytes())
+            stops = np.cumsum(sizes)
+            starts = stops - sizes
+            out["n_tokens"].extend(sizes.tolist())
+            out["n_known"].extend(np.add.reduceat(seen[places], starts, dtype=np.int64).tolist())
+            out["base_score"].extend(np.add.reduceat(base[place][places], starts).tolist())
+            out["fixed"].extend(np.add.reduceat(fixed[place][places], starts).tolist())
             # To a text in training, words of no other training text are unseen: one bit a word.
-            hidden = None if practice is None else np.packbits((counts[place] == here)[inverse]).tobytes()
-            out["hidden"].append(hidden)
+            practice = pc.is_valid(piece.column("round")).to_numpy(zero_copy_only=False)
+            alone = _alone(places, sizes, practice, counts[place])[places]
+            numbers = tokens[place][places]
+            for a, b, learns in zip(starts.tolist(), stops.tolist(), practice.tolist()):
+                out["tokens"].append(numbers[a:b].tobytes())
+                out["hidden"].append(np.packbits(alone[a:b]).tobytes() if learns else None)
         kinds_of = {"long": pa.int64(), "double": pa.float64(), "binary": pa.binary()}
         return pa.table({**{c: texts.column(c) for c in ("id", "row", "held_out", "round")},
                          **{n: pa.array(out[n], kinds_of[k]) for n, k in ENCODED}})

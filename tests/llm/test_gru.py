@@ -217,3 +217,101 @@ def test_rounds_cover_all_training_texts(spark, texts_frame, monkeypatch):
     rows = [(i, "one two three " * (i % 5)) for i in range(100)]
     gru.score_documents(texts_frame(rows)).count()
     assert len(seen) == gru.ROUNDS and not any((a == b).all() for a, b in zip(seen, seen[1:]))
+
+
+def test_words_of_pieces_are_those_of_the_word_rule(monkeypatch):
+    """Same words as ``texts.words``, one code each, whatever white space, letters and sizes of pieces."""
+    import pyarrow as pa
+    from hearthline.llm import texts
+    draw = np.random.default_rng(12)
+    alphabet = list("ab.,!Zé日Å\x1c\x85\xa0   \t\n\x0b\x0c\r")
+    rows = ["".join(draw.choice(alphabet, draw.integers(0, 50))) for _ in range(500)] + ["", " ", " a", "A a\n", "", ""]
+    want = [[gru._code(w) for w in texts.words(r.encode())] + [gru.END] for r in rows]
+    assert len({c for w in want for c in w}) == len({w for r in rows for w in texts.words(r.encode())}) + 1
+    for size in (1, 90, 4 << 20):
+        monkeypatch.setattr(gru, "PIECE_BYTES", size)
+        got = []
+        for piece in gru._pieces([pa.record_batch({"body": rows[:300]}), pa.record_batch({"body": rows[300:]})]):
+            found, places, sizes = gru.coded(piece.column("body"))
+            got += [part.tolist() for part in np.split(found[places], np.cumsum(sizes)[:-1])]
+        assert got == want
+
+
+def test_each_different_word_is_hashed_once_a_piece(monkeypatch):
+    """More words than a word table holds, twice over: hashing goes by different words, not by tokens."""
+    import pyarrow as pa
+    calls, plain = [], gru.hash64
+    monkeypatch.setattr(gru, "hash64", lambda word: calls.append(1) or plain(word))
+    words = [f"{k:x}" for k in range(160_000)]
+    batch = pa.record_batch({"block": pa.array([0, 0], pa.int64()), "body": [" ".join(words)] * 2, "held_out": [False, True]})
+    found = pa.Table.from_batches(gru._counted(iter([batch])))
+    assert found.num_rows == 160_001 and found.column("n").to_pylist() == [1] * 160_001
+    assert len(calls) <= 160_001
+
+
+def test_output_sheets(monkeypatch):
+    """Two softmaxes a window, not one for each class; probabilities and slopes as written out token by token."""
+    calls, plain = [], gru._exponentials
+    monkeypatch.setattr(gru, "_exponentials", lambda *a: calls.append(1) or plain(*a))
+    draw = np.random.default_rng(13)
+    model = _model(14)
+    # Classes of many sheets, of one row, of a full sheet and of none.
+    targets = np.concatenate([draw.integers(0, 32, 200), [40], draw.integers(64, 96, gru.SHEET),
+                              draw.integers(128, gru.UNSEEN + 1, 300)])
+    draw.shuffle(targets)
+    states = draw.uniform(-1, 1, (len(targets), gru.HIDDEN))
+    grads = {k: np.zeros_like(v) for k, v in model.items()}
+    logs, slope = gru.outputs(model, states, targets, grads)
+    assert len(calls) == 2
+    by_word, word_bias = np.zeros_like(model["by_word"]), np.zeros(gru.HEAD)
+    for k, (state, token) in enumerate(zip(states, targets)):
+        c = int(gru.class_of(np.array([token]))[0])
+        shares = np.exp(state @ model["by_class"] + model["class_bias"])
+        shares /= shares.sum()
+        log = np.log(shares[c])
+        shares[c] -= 1
+        down = model["by_class"] @ shares
+        if token < gru.HEAD:
+            rows = slice(c * gru.CLASS, (c + 1) * gru.CLASS)
+            inside = np.exp(model["by_word"][rows] @ state + model["word_bias"][rows])
+            inside /= inside.sum()
+            log += np.log(inside[token % gru.CLASS])
+            inside[token % gru.CLASS] -= 1
+            by_word[rows] += np.outer(inside, state)
+            word_bias[rows] += inside
+            down = down + inside @ model["by_word"][rows]
+        assert abs(logs[k] - log) < 1e-9 and np.allclose(slope[k] * len(targets), down)
+    assert np.allclose(grads["by_word"] * len(targets), by_word) and np.allclose(grads["word_bias"] * len(targets), word_bias)
+
+
+def test_words_of_one_training_text_alone():
+    """As counted by dictionaries; held-out texts and words that occur elsewhere do not count."""
+    rng = random.Random(15)
+    for _ in range(50):
+        texts = [[rng.randrange(30) for _ in range(rng.randrange(1, 8))] for _ in range(12)]
+        practice = np.array([rng.random() < 0.8 for _ in texts])
+        here = Counter(w for t, p in zip(texts, practice) if p for w in t)
+        counts = np.array([here[w] + rng.choice([0, 0, 1]) for w in range(30)])
+        found = gru._alone(np.concatenate(texts), np.array([len(t) for t in texts]), practice, counts)
+        for text, learns in zip(texts, practice):
+            if learns:
+                assert [bool(found[w]) for w in text] == [Counter(text)[w] == counts[w] for w in text]
+
+
+def test_a_long_text_at_the_end_does_not_undo_training():
+    """Lanes that outlast the others by far take no step for every few tokens of theirs."""
+    draw = np.random.default_rng(16)
+
+    def cycle(n):
+        start = int(draw.integers(0, 8))
+        return np.array([(start + k) % 8 * 40 for k in range(n)] + [900])
+
+    texts, fresh = [cycle(60) for _ in range(600)], [cycle(60) for _ in range(50)]
+    long = np.append(draw.integers(gru.HEAD, gru.UNSEEN, 12_000), 900)
+    counts = np.bincount(np.concatenate(texts), minlength=gru.HEAD).astype(float)
+    shares = np.concatenate([counts.reshape(-1, gru.CLASS).sum(axis=1), np.full(gru.TAIL + 1, 10.0)])
+    model = gru.initial(shares / shares.sum(), counts)
+    without = gru.score(gru.train_on(model, texts, rate=2e-2), fresh).sum()
+    beside = gru.score(gru.train_on(model, [*texts, long], rate=2e-2), fresh).sum()
+    assert gru.score(model, fresh).sum() < 1.5 * without
+    assert beside > 1.5 * without, (beside, without)
