@@ -11,6 +11,7 @@ arithmetic on a piece's rank among those of its length, done on executors.
 
 from __future__ import annotations
 
+import os
 import zlib
 from collections.abc import Iterator
 
@@ -21,7 +22,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from hearthline.llm.texts import needed, small
+from hearthline.llm.texts import WordTable, needed, small
 from hearthline.session import cut_lineage
 
 CAPACITY = 2_048
@@ -31,6 +32,8 @@ PARTS = 64
 TEXT_BYTES = 4 << 20
 #: Entries of a worker's table of ids, of about 200 bytes each.
 TABLE_LIMIT = 800_000
+#: Strings that the tokenizer takes at once; its results are of about 1,000 bytes each.
+STRINGS = 2_048
 PIECES = (("piece", "integer"), ("start", "long"), ("length", "long"), ("ids_crc32", "long"))
 
 
@@ -113,12 +116,11 @@ def pieces_of(ids: bytes, capacity: int) -> list[tuple[int, int, int, int]]:
             for k, at in enumerate(range(0, len(ids), step))]
 
 
-_ENCODERS: dict[str, object] = {}
 PUNCTUATION = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 _MARKS_AFTER = r"^.*?([!-/:-@\[-`{-~]*)$"
 
 
-def encoder(path: str):
+def _encoder(path: str):
     """Function from a column of texts to their ids, an array of 32-bit numbers each.
 
     The vocabulary ignores case and never joins letters with ASCII punctuation, nor
@@ -127,48 +129,66 @@ def encoder(path: str):
     their letters and the punctuation after them; new letters go to the tokenizer at
     once. A text that may hold a special token goes there as it is.
     """
-    if path not in _ENCODERS:
-        from tokenizers import Tokenizer
-        tokenizer = Tokenizer.from_file(path)
-        table: dict[bytes, bytes] = {}
-
-        def batch(found: list[bytes]) -> list[bytes]:
-            encoded = tokenizer.encode_batch_fast([f.decode() for f in found], add_special_tokens=False)
-            return [np.array(e.ids, "<u4").tobytes() for e in encoded]
-
-        def lookup(found: list[bytes]) -> list[bytes]:
-            if len(table) > TABLE_LIMIT:
-                table.clear()
-            new = [p for p in found if p not in table]
-            table.update(zip(new, batch(new)))
-            return [table[p] for p in found]
-
-        def encode(texts: pa.StringArray) -> list[np.ndarray]:
-            special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
-            lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
-            words = lists.flatten().dictionary_encode()
-            # Different strings become letters and marks, or stay as they are with no marks.
-            strings = words.dictionary
-            trimmed = pc.ascii_rtrim(strings, PUNCTUATION)
-            apart = pc.utf8_is_alpha(trimmed)
-            letters = pc.if_else(apart, trimmed, strings).dictionary_encode()
-            marks = pc.if_else(apart, pc.replace_substring_regex(strings, _MARKS_AFTER, r"\1"), "").dictionary_encode()
-            ids = lookup([p for d in (letters, marks) for p in d.dictionary.cast(pa.binary()).to_pylist()])
-            flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
-            starts = np.cumsum(sizes) - sizes
-            pairs = np.stack([letters.indices.to_numpy(), marks.indices.to_numpy() + len(letters.dictionary)], axis=1)
-            index = pairs[words.indices.to_numpy()].ravel()
-            ends = np.cumsum(sizes[index])
-            step = np.repeat(starts[index] - (ends - sizes[index]), sizes[index])
-            tokens = flat[step + np.arange(len(step))]
-            cuts = np.append(0, ends)[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
-            return [np.frombuffer(batch([texts[i].as_py().encode()])[0], "<u4") if special[i] else tokens[a:b]
-                    for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
-
-        _ENCODERS[path] = encode
+    # One thread a task: those of the tokenizer would take cores, and keep memory, of other tasks.
+    os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+    from tokenizers import Tokenizer
+    tokenizer = Tokenizer.from_file(path)
+    table: dict[bytes, bytes] = {}
+
+    def batch(found: list[bytes]) -> list[bytes]:
+        ids = []
+        for first in range(0, len(found), STRINGS):
+            encoded = tokenizer.encode_batch_fast([f.decode() for f in found[first:first + STRINGS]],
+                                                  add_special_tokens=False)
+            ids += [np.array(e.ids, "<u4").tobytes() for e in encoded]
+        return ids
+
+    def lookup(found: list[bytes]) -> list[bytes]:
+        if len(table) > TABLE_LIMIT:
+            table.clear()
+        new = [p for p in found if p not in table]
+        table.update(zip(new, batch(new)))
+        return [table[p] for p in found]
+
+    def encode(texts: pa.StringArray) -> list[np.ndarray]:
+        special = pc.match_substring(texts, "<|").to_numpy(zero_copy_only=False)
+        lists = pc.ascii_split_whitespace(pc.ascii_lower(texts))
+        words = lists.flatten().dictionary_encode()
+        # Different strings become letters and marks, or stay as they are with no marks.
+        strings = words.dictionary
+        trimmed = pc.ascii_rtrim(strings, PUNCTUATION)
+        apart = pc.utf8_is_alpha(trimmed)
+        letters = pc.if_else(apart, trimmed, strings).dictionary_encode()
+        marks = pc.if_else(apart, pc.replace_substring_regex(strings, _MARKS_AFTER, r"\1"), "").dictionary_encode()
+        ids = lookup([p for d in (letters, marks) for p in d.dictionary.cast(pa.binary()).to_pylist()])
+        flat, sizes = np.frombuffer(b"".join(ids), "<u4"), np.fromiter(map(len, ids), np.int64, len(ids)) // 4
+        starts = np.cumsum(sizes) - sizes
+        pairs = np.stack([letters.indices.to_numpy(), marks.indices.to_numpy() + len(letters.dictionary)], axis=1)
+        index = pairs[words.indices.to_numpy()].ravel()
+        ends = np.cumsum(sizes[index])
+        step = np.repeat(starts[index] - (ends - sizes[index]), sizes[index])
+        tokens = flat[step + np.arange(len(step))]
+        cuts = np.append(0, ends)[2 * (lists.offsets.to_numpy() - lists.offsets[0].as_py())]
+        return [np.frombuffer(batch([texts[i].as_py().encode()])[0], "<u4") if special[i] else tokens[a:b]
+                for i, (a, b) in enumerate(zip(cuts, cuts[1:]))]
+
+    return encode
+
+
+#: By path; the tokenizer and its table go when a task of another operator begins.
+_ENCODERS = WordTable(_encoder)
+
+
+def encoder(path: str):
+    """What ``_encoder`` gives, made once per worker."""
     return _ENCODERS[path]
 
 
+def _batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    # A function of the module finds the worker's own encoders; a closure would carry a copy of them.
+    return small(batches, 4_000, _ENCODERS)
+
+
 def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text: str = "text",
                  capacity: int = CAPACITY, end: int = 0) -> DataFrame:
     """One row per piece: ``<id>, piece, start, length, ids_crc32``.
@@ -181,8 +201,8 @@ def token_pieces(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", text:
     tail = np.array([end], "<u4").tobytes()
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = encoder(tokenizer)
-        for batch in small(batches, 4_000):
+        for batch in _batches(batches):
+            encode = encoder(tokenizer)
             rows, at = [], []
             texts = batch.column(text).fill_null("")
             group = np.cumsum(pc.binary_length(texts).to_numpy(), dtype=np.int64) // TEXT_BYTES

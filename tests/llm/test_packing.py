@@ -1,3 +1,4 @@
+import os
 import random
 import zlib
 from collections import Counter, defaultdict
@@ -6,11 +7,12 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+import tokenizers
 from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
-from hearthline.llm import packing, queries
+from hearthline.llm import packing, queries, texts
 
 SF = "/root/testdata/sf0.001"
 PATH = public_tokenizers.path("word_bpe_49k.json")
@@ -68,6 +70,38 @@ def test_encoder_on_special_strings():
             text, add_special_tokens=False).ids
 
 
+def test_tables_go_when_another_operator_begins():
+    batch = pa.RecordBatch.from_pydict({"text": ["a b"]})
+    held = packing.encoder(PATH)
+    assert list(texts.small([batch], table=texts.WORD_HASHES)) and packing.encoder(PATH) is not held
+    held = packing.encoder(PATH)
+    assert list(packing._batches([batch])) and packing.encoder(PATH) is held
+
+
+def test_tokenizer_takes_bounded_lists(monkeypatch):
+    """One thread a task, few results at a time, and the same ids as before."""
+    own, taken = Tokenizer.from_file(PATH), []
+
+    class Counted:
+        from_file = staticmethod(lambda path: Counted())
+
+        def encode_batch_fast(self, found, **how):
+            taken.append(len(found))
+            return own.encode_batch_fast(found, **how)
+
+    monkeypatch.delenv("TOKENIZERS_PARALLELISM", raising=False)
+    monkeypatch.setattr(tokenizers, "Tokenizer", Counted)
+    texts.only(None)
+    try:
+        n = 4_101
+        text = " ".join(f"w{k}x" for k in range(n))
+        assert packing.encoder(PATH)(pa.array([text]))[0].tolist() == own.encode(text, add_special_tokens=False).ids
+        assert max(taken) <= 2_048 and sum(taken) >= n
+        assert os.environ["TOKENIZERS_PARALLELISM"] == "false"
+    finally:
+        texts.only(None)
+
+
 def test_pack_awkward_rows(spark, texts_frame):
     long = "word " * 5_000
     docs = texts_frame([(1, None), (2, ""), (3, "a b"), (3, "a b"), (None, "c"), (4, long)])
