@@ -19,15 +19,17 @@ def lookup_join(facts: DataFrame, lookup: DataFrame, on: list[str], spread: str,
     The lookup is counted first. Up to ``max_rows`` narrow rows it is broadcast;
     beyond that it is copied under ``copies`` salts and the facts are spread over
     them by the hash of ``spread``, so one very popular key is met by many tasks.
-    A ``computed`` lookup is written once before it is counted; a plain scan is
-    counted where it lies.
+    The copies are merged: Spark takes them for no larger than the lookup itself and
+    would send them all through the driver. A ``computed`` lookup is written once
+    before it is counted; a plain scan is counted where it lies.
     """
     stored = cut_lineage(lookup) if computed else lookup
     if stored.count() <= max_rows:
         return facts.join(F.broadcast(stored), on, how)
     salts = F.explode(F.sequence(F.lit(0), F.lit(copies - 1)))
     salted = facts.withColumn("_salt", F.pmod(F.xxhash64(spread), F.lit(copies)).cast("int"))
-    return salted.join(stored.withColumn("_salt", salts), [*on, "_salt"], how).drop("_salt")
+    copied = stored.withColumn("_salt", salts).hint("merge")
+    return salted.join(copied, [*on, "_salt"], how).drop("_salt")
 
 
 def salted_lookup(facts: DataFrame, lookup: DataFrame, keys: list[str], spread: str,

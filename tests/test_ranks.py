@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from hearthline.operators import ranks as R
 from hearthline.operators.skew import lookup_join, salted_lookup
 from hearthline.operators.text import sample_per_group
+from hearthline.session import cut_lineage
 
 
 @pytest.fixture(scope="module")
@@ -69,3 +70,14 @@ def test_large_sample_equals_window(values):
     want = big.withColumn("position", F.row_number().over(order)).where("position <= 1500")
     got = sample_per_group(big, ["g"], "id", 1500)
     assert rows_of(got, "g", "id", "position") == rows_of(want, "g", "id", "position")
+
+
+@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
+def test_salted_copies_of_a_large_lookup_never_pass_the_driver(spark, values, how):
+    lookup = cut_lineage(values.select("g", F.lit(1).alias("x")).distinct())
+    for computed in (True, False):
+        joined = lookup_join(values, lookup, ["g"], "id", how, computed=computed, max_rows=1, copies=5)
+        plan = joined._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Broadcast" not in plan
+        plain = values.join(lookup, "g", how)
+        assert rows_of(joined, *plain.columns) == rows_of(plain, *plain.columns)
