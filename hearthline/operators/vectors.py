@@ -23,6 +23,8 @@ from hearthline.session import cut_lineage
 BLOCK, PAGE = 20_000, 2_000
 #: Bytes of a page of queries that may go with a task.
 PAGE_BYTES = 16 << 20
+#: Words whose bucket a worker keeps between batches.
+KNOWN_WORDS = 200_000
 
 
 def dot(a, b) -> Column:
@@ -248,6 +250,20 @@ def vector_universe(vectors: DataFrame, key: str, vector: str, products: DataFra
     return kept.groupBy(key).agg(F.max_by(vector, order).alias(vector))
 
 
+def _unit(encoder: Callable) -> Callable:
+    """Encoder whose vectors have unit length, or are zero where there is no direction."""
+    def load():
+        encode = encoder()
+
+        def unit(texts: np.ndarray) -> np.ndarray:
+            raw = np.asarray(encode(texts), np.float32).astype(np.float64)
+            # Squares are added in order, as the sum over an array column does.
+            length = np.sqrt(np.add.accumulate(raw * raw, axis=1)[:, -1:])
+            return np.divide(raw, length, out=np.zeros_like(raw), where=length != 0).astype(np.float32)
+        return unit
+    return load
+
+
 def embed_text(df: DataFrame, key: str, text: str, encoder: Callable | None = None,
                dimensions: int = 256, batch_size: int = 256) -> DataFrame:
     """Unit-length vector for each text.
@@ -258,11 +274,9 @@ def embed_text(df: DataFrame, key: str, text: str, encoder: Callable | None = No
     """
     if encoder is not None:
         from pyspark.ml.functions import predict_batch_udf
-        encode = predict_batch_udf(encoder, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
-        raw = df.select(key, encode(F.col(text)).alias("vector"))
-        length = F.sqrt(dot("vector", "vector"))
-        unit = F.when(length > 0, F.transform("vector", lambda x: (x / length).cast("float")))
-        return raw.select(key, unit.alias("vector"))
+        encode = predict_batch_udf(_unit(encoder), return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
+        found = df.select(key, encode(F.col(text)).alias("vector"))
+        return found.select(key, F.when((F.array_max("vector") != 0) | (F.array_min("vector") != 0), F.col("vector")).alias("vector"))
     from pyspark.ml.feature import HashingTF, Normalizer
     from pyspark.ml.functions import vector_to_array
     words = df.select(key, F.split(F.lower(F.coalesce(text, F.lit(""))), r"\s+").alias("_w"))
@@ -278,15 +292,22 @@ def word_buckets(dimensions: int = 256) -> Callable:
     """
     def load():
         import hashlib
-        import re
-        blanks = re.compile(r"\s+", re.ASCII)
+
+        class Places(dict):
+            def __missing__(self, word: bytes) -> int:
+                place = self[word] = int(hashlib.md5(word).hexdigest()[:8], 16) % dimensions
+                return place
+
+        known = Places()
 
         def encode(texts: np.ndarray) -> np.ndarray:
+            if len(known) > KNOWN_WORDS:
+                known.clear()
             counts = np.zeros((len(texts), dimensions), np.float32)
             for row, text in zip(counts, texts):
-                for word in blanks.split((text or "").lower()):
-                    if word:
-                        row[int(hashlib.md5(word.encode()).hexdigest()[:8], 16) % dimensions] += 1
+                # Bytes are split at ASCII blanks only.
+                found = [known[word] for word in (text or "").lower().encode().split()]
+                row += np.bincount(np.array(found, np.int64), minlength=dimensions)
             return counts
         return encode
     return load

@@ -1,5 +1,8 @@
 """Vector search and clustering against numpy, and invariants of the fits."""
 
+import hashlib
+import re
+
 import numpy as np
 import pytest
 from pyspark.sql import functions as F
@@ -65,6 +68,24 @@ def test_embedding_is_unit_length_and_takes_an_encoder(spark):
     assert own[1] == pytest.approx([0.6, 0.8])
 
 
+def test_encoder_batches_are_normalized_as_rows(spark):
+    """Unit length, zeros give null, blanks are ASCII ones, and the length is not computed once per element."""
+    texts = ["red\u00a0bolt Red\tRED", None, "", " \x0b ", "\u0130 \u1e9e x\x1cy", "a b a"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "id long, t string")
+    found = V.embed_text(df, "id", "t", V.word_buckets(16))
+    got = {r["id"]: r["vector"] for r in found.collect()}
+    for i, text in enumerate(texts):
+        words = [w for w in re.split(r"[ \t\n\r\f\v]+", (text or "").lower()) if w]
+        want = np.zeros(16)
+        for w in words:
+            want[int(hashlib.md5(w.encode()).hexdigest()[:8], 16) % 16] += 1
+        assert got[i] is None if not words else np.array_equal(np.float32(got[i]), np.float32(want / np.sqrt((want ** 2).sum())))
+    odd = V.embed_text(df, "id", "t", lambda: lambda t: np.array([[np.nan, 1.0] if x is None else [-2.0, 0.0] for x in t]))
+    rows = {r["id"]: r["vector"] for r in odd.collect()}
+    assert rows[0] == [-1.0, 0.0] and all(np.isnan(x) for x in rows[1])
+    assert "lambda" not in found._jdf.queryExecution().optimizedPlan().toString()
+
+
 def brute_density(data, eps, min_pts):
     gaps = np.sqrt(((data[:, None] - data[None]) ** 2).sum(2))
     near = gaps <= eps
