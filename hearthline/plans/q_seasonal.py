@@ -11,6 +11,7 @@ from hearthline.operators import seasonal as S
 from hearthline.operators.loess import loess_components
 from hearthline.plans.bindings import BOUNDS, PRODUCTS, with_tx
 from hearthline.plans.registry import query
+from hearthline.session import cut_lineage
 from hearthline.sources.tables import date_bounds, products, transactions
 
 # Month and day of four holidays, kept every year of the data.
@@ -64,8 +65,9 @@ outliers AS (
 class Inputs:
     def __init__(self, spark, folder):
         self.first, self.last = date_bounds(spark, folder)
-        self.daily = S.daily_spend(transactions(spark, folder), products(spark, folder),
-                                   "sub_commodity", self.first)
+        # A row per category and day, read several times: the items are joined and summed once.
+        self.daily = cut_lineage(S.daily_spend(transactions(spark, folder), products(spark, folder),
+                                               "sub_commodity", self.first))
         self.weeks = self.daily.select("week", "week_enddate", "year").distinct()
         days = [(name, dt.date(year, *day)) for name, day in HOLIDAYS.items()
                 for year in range(self.first.year, self.last.year + 1)]

@@ -10,6 +10,7 @@ from hearthline.operators import behavior as B
 from hearthline.operators import geo as G
 from hearthline.operators import lists as L
 from hearthline.operators import propensity as P
+from hearthline.plans import load
 from hearthline.session import scratch_path, shared_dir
 from hearthline.sources import egress as E
 from hearthline.sources import sinks as K
@@ -377,3 +378,10 @@ def test_sift_keeps_rows_once(spark):
     for spread in (None, "basket_id"):
         assert sorted(r.basket_id for r in S.sift(rows, keys, ["upc"], "include", spread).collect()) == ["a", "b"]
         assert sorted(r.basket_id for r in S.sift(rows, keys, ["upc"], "exclude", spread).collect()) == ["c", "d"]
+
+
+def test_history_joins_the_items_once(spark, folder):
+    """Weeks, weekly and annual ranks all come from one table of daily sums."""
+    for name in ("h05_holiday_movers", "h06_history_export", "h09_recurring_holiday_items", "h10_outliers_by_quantile"):
+        plan = load().QUERIES[name](spark, folder)._jdf.queryExecution().optimizedPlan().toString()
+        assert "l_orderkey" not in plan and "p_partkey" not in plan
