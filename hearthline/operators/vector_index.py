@@ -58,7 +58,8 @@ def _meet(rows: DataFrame, asked: DataFrame, pairs: DataFrame, key: str, k: int)
     ``query, cell`` that meet. Vectors move once per page of queries that meets them.
     """
     pages = max(1, -(-asked.count() // PAGE))
-    paged = asked.join(pairs, "query").withColumn("page", F.pmod(F.xxhash64("query"), F.lit(pages)).cast("int"))
+    # Pairs are many narrow rows that pack well on disk; by their files they look small enough to broadcast.
+    paged = asked.join(pairs.hint("merge"), "query").withColumn("page", F.pmod(F.xxhash64("query"), F.lit(pages)).cast("int"))
     wanted = cut_lineage(paged.select("cell", "page").distinct())
     names = T.StructType([T.StructField("query", asked.schema["query"].dataType),
                           T.StructField(key, rows.schema["name"].dataType), T.StructField("score", T.DoubleType())])
@@ -252,7 +253,7 @@ def bucket_nearest(vectors: DataFrame, key: str, vector: str, queries: DataFrame
     parts = held.groupBy("bucket").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("parts"))
     sought = _bucketed(asked, "w", planes, flips).select("query", F.explode(F.array_distinct("buckets")).alias("bucket"))
     # Only buckets that a query looks into move.
-    sized = cut_lineage(sought.join(parts, "bucket"))
+    sized = cut_lineage(sought.hint("merge").join(parts, "bucket"))
     pairs = (sized.withColumn("n", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
              .select("query", F.concat_ws(":", "bucket", "n").alias("cell")))
     used = sized.select("bucket", "parts").distinct()

@@ -118,3 +118,12 @@ def test_few_and_many_queries_give_the_same(spark):
         scores = np.round(points @ asked.T, 6)
         assert summed == {j: (120, int((scores[:, j] >= 0.5).sum())) for j in range(7)}
     assert V.score(vectors, "name", "vec", queries.limit(0), "name", "vec").count() == 0
+
+
+def test_pairs_of_query_and_bucket_never_pass_the_driver(spark):
+    """They pack so well that their files look small; they are many."""
+    rng = np.random.default_rng(10)
+    points = frame(spark, rng.normal(size=(50, 6)))
+    found = I.bucket_nearest(points, "name", "vec", points.where("name % 5 = 0"), "name", "vec", 3, tables=3, bits=2, flips=1)
+    plan = found.rows._jdf.queryExecution().optimizedPlan().toString()
+    assert any("Join Inner, (query" in line and "strategy=merge" in line for line in plan.splitlines())
