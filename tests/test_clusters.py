@@ -2,6 +2,8 @@
 
 import hashlib
 import re
+import threading
+import time
 
 import numpy as np
 import pytest
@@ -9,6 +11,7 @@ from pyspark.sql import functions as F
 
 from hearthline.operators import clusters as K
 from hearthline.operators import vectors as V
+from hearthline.session import cut_lineage
 
 
 def frame(spark, matrix, first=0):
@@ -117,6 +120,18 @@ def test_density_clusters_equal_brute_force(spark, blobs, eps, min_pts):
     assert [labels[i] for i in range(len(copies))] == list(want)
 
 
+def test_density_stores_no_copies_for_blocks(spark, blobs, monkeypatch):
+    """Small tiles and blocks give the same, and no stored table holds a vector once per block."""
+    data, _ = blobs
+    stored = []
+    monkeypatch.setattr(K, "TILE", 7)
+    monkeypatch.setattr(K, "cut_lineage", lambda df: stored.append(cut_lineage(df)) or stored[-1])
+    got = K.density_clusters(frame(spark, data), "id", "v", 0.6, 4, pivots=1, block=20)
+    labels = {r["id"]: r["cluster"] for r in got.collect()}
+    assert [labels[i] for i in range(len(data))] == list(brute_density(data.astype(float), 0.6, 4))
+    assert max(t.count() for t in stored if "vector" in t.columns) == len(data)
+
+
 def test_pca_keeps_the_leading_variance(blobs):
     data, df = blobs
     reduced = np.array([r["v"] for r in K.reduce_pca(df, "v", 2).orderBy("id").collect()])
@@ -134,6 +149,28 @@ def test_elbow_stops_and_always_returns_a_model(blobs):
     assert K.silhouette(K.assign(model, df, "v"), "v", "cluster") > 0.3
 
 
+def test_elbow_looks_at_fits_in_order(blobs, monkeypatch):
+    """Fits run at the same time; later ones neither change the choice nor its costs."""
+    _, df = blobs
+    together, most, lock, plain = [], [], threading.Lock(), K.kmeans
+
+    def watched(data, vector, k, seed):
+        with lock:
+            together.append(k)
+            most.append(len(together))
+        time.sleep(0.3 * (k == 2))
+        found = plain(data, vector, k, seed)
+        with lock:
+            together.remove(k)
+        return found
+
+    monkeypatch.setattr(K, "kmeans", watched)
+    model, k, costs = K.kmeans_elbow(df, "v", stop=0.05)
+    assert max(most) > 1 and sorted(costs) == list(range(2, k + 1)) and len(model.clusterCenters()) == k
+    assert costs == pytest.approx({n: plain(df, "v", n, 1)[1] for n in costs}, rel=0.5)
+    assert all(abs(costs[n] - costs[n - 1]) > 0.05 * abs(costs[2] - costs[3]) for n in range(4, k))
+
+
 def test_trustworthiness_of_the_same_space_is_one(blobs):
     _, df = blobs
     assert K.trustworthiness(df, df, "id", "v").first()["trustworthiness"] == 1.0
@@ -144,6 +181,36 @@ def test_trustworthiness_of_the_same_space_is_one(blobs):
     assert K.trustworthiness(df, flat, "id", "v", df.where("id < 20"), block=50).first()["points"] == 20
 
 
+def test_trustworthiness_with_equal_rows_against_plain(spark, monkeypatch):
+    """Ties and copies, tiny slices: ranks as sorting all distances gives them."""
+    monkeypatch.setattr(K, "SLICE", 90)
+    rng = np.random.default_rng(6)
+    x = np.round(rng.normal(size=(60, 4)), 1)
+    x[20:30], y = x[3], np.round(x[:, :2], 0)
+    plain = lambda m: spark.createDataFrame([(i, p.tolist()) for i, p in enumerate(m)], "id long, v array<double>")
+    total = 0
+    for i in range(60):
+        before, after = (((m - m[i]) ** 2).sum(axis=1) for m in (x, y))
+        rank = {j: r for r, j in enumerate([j for j in np.lexsort((np.arange(60), before)) if j != i], 1)}
+        total += sum(max(rank[j] - 5, 0) for j in [j for j in np.lexsort((np.arange(60), after)) if j != i][:5])
+    for block in (13, 20_000):
+        row = K.trustworthiness(plain(x), plain(y), "id", "v", block=block).first()
+        assert row["trustworthiness"] == pytest.approx(1 - 2 * total / (60 * 5 * (120 - 16)), abs=1e-6)
+
+
+def test_conflicts_in_slices(spark, monkeypatch):
+    """Each vector moves once for each block of its group; slices of a block give every pair once."""
+    monkeypatch.setattr(V, "SLICE", 16)
+    rng = np.random.default_rng(8)
+    data = rng.normal(size=(40, 3))
+    df = spark.createDataFrame([(i % 2, i, p.tolist()) for i, p in enumerate(data)], "g long, id long, v array<double>")
+    scores = np.round(data @ data.T, 6)
+    want = {(i % 2, j, i, scores[i, j]) for i in range(40) for j in range(i + 1, 40) if i % 2 == j % 2 and scores[i, j] < 0.1}
+    for block in (7, 8_000):
+        rows = V.vector_conflicts(df, "g", "id", "v", 0.1, block).collect()
+        assert len(rows) == len(want) and {(r["g"], r["id"], r["reference"]) for r in rows} == {w[:3] for w in want}
+
+
 def test_conflicts_between_all_vectors_of_a_key(spark):
     df = spark.createDataFrame([(1, 1, [1.0, 0.0]), (1, 2, [0.7, 0.714]), (1, 3, [0.7, -0.714]), (1, 4, [0.7, -0.714]),
                                 (2, 5, [0.0, 1.0]), (2, 6, None)], "g long, id long, v array<double>")
