@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from functools import reduce
 from operator import or_
 
@@ -99,10 +100,22 @@ def sample_per_group(df: DataFrame, groups: list[str], key: str, n: int) -> Data
     return top_n(df, groups, [digest, F.col(key)], n)
 
 
+def _split_words(text: Column, strip: str) -> Column:
+    """Words without the stripped characters at their ends; a word of nothing else is left empty.
+
+    The separators take those characters along, so that no word is handled by itself. A run of
+    them is tried from its first character only, so that a long one costs no more than its length.
+    """
+    strip = re.sub(r"\s", "", strip, flags=re.ASCII)  # no word has any
+    if not strip:
+        return F.split(F.trim(text), r"\s+")
+    end = f"[{re.escape(strip)}]"
+    separator = rf"\s+{end}*|{end}(?<!{end}{end}){end}*+\s+{end}*"
+    return F.split(F.trim(F.trim(text), F.lit(strip)), separator)
+
+
 def _words(text: Column, strip: str) -> Column:
-    words = F.split(F.trim(text), r"\s+")
-    stripped = F.transform(words, lambda w: F.trim(w, F.lit(strip)))
-    return F.filter(stripped, lambda w: w != "")
+    return F.filter(_split_words(text, strip), lambda w: w != "")
 
 
 def keyword_rows(df: DataFrame, keep: list[str], fields: list[str], manufacturer: str | None = None,
@@ -116,7 +129,7 @@ def keyword_rows(df: DataFrame, keep: list[str], fields: list[str], manufacturer
     if manufacturer is not None:
         maker = F.trim(F.lower(F.coalesce(manufacturer, F.lit(""))), F.lit(strip))
         texts = [F.replace(t, maker, F.lit("")) for t in texts]
-    lists = [F.coalesce(_words(t, strip), F.array().cast("array<string>")) for t in texts]
+    lists = [F.coalesce(_split_words(t, strip), F.array().cast("array<string>")) for t in texts]
     exploded = df.select(*keep, F.explode(F.concat(*lists)).alias("keyword"))
     blocked = reduce(or_, [F.col("keyword").rlike(p) for p in patterns], F.col("keyword").rlike("^[0-9]+$"))
     return exploded.where((F.length("keyword") > 1) & ~blocked)

@@ -98,6 +98,27 @@ def test_keywords_drop_manufacturer_numbers_and_units(spark):
     assert got == {"lemon": 2, "tea": 1, "fresh": 1, "oz": 1}
 
 
+@pytest.mark.parametrize("strip", [X.STRIP_CHARACTERS, "", "^-]&a", "( "])
+def test_words_are_stripped_as_one_by_one(spark, strip):
+    rng = random.Random(4)
+    texts = ["".join(rng.choices("ab^-&()[]™ \t\n", k=rng.randint(0, 30))) for _ in range(400)]
+    texts += [None, "", " ", "()", "(" * 5000 + "ab " + ")" * 5000, " (( (ab)) () ab((", "\t(ab)\n"]
+    df = spark.createDataFrame(enumerate(texts), "i int, t string")
+    words = F.split(F.trim("t"), r"\s+")
+    one_by_one = F.filter(F.transform(words, lambda w: F.trim(w, F.lit(strip))), lambda w: w != "")
+    assert df.where(~X._words(F.col("t"), strip).eqNullSafe(one_by_one)).count() == 0
+    counted = X.extract_keywords(df, ["t", "t"], strip=strip)
+    slow = df.select(F.explode(one_by_one).alias("keyword")).where(F.length("keyword") > 1)
+    assert {tuple(r) for r in counted.collect()} == {
+        (r[0], 2 * r[1]) for r in slow.groupBy("keyword").count().collect()}
+
+
+def test_keywords_are_split_without_a_step_per_word(spark):
+    df = spark.createDataFrame([("a (lemon) tea",)], "t string")
+    plan = X.extract_keywords(df, ["t"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "split(" in plan and "lambda" not in plan
+
+
 def test_tagging_a_missing_text(spark):
     df = spark.createDataFrame([(1, None), (2, "Red [Bolt] bolt")], "id long, name string")
     got = {r["id"]: (r["keyword_match"], r["name_keywords"]) for r in X.tag_keywords(df, ["bolt"], ["name"]).collect()}
