@@ -239,6 +239,24 @@ def test_audience_below_the_gate_is_not_written(spark):
     E.egress(people, registry(spark), path, "20240102", min_households=3)
 
 
+def test_egress_computes_the_audiences_once(spark):
+    computed = spark.sparkContext.accumulator(0)
+
+    def counted(row):
+        computed.add(1)
+        return row
+
+    rows = [("a", 1, "H"), ("a", 1, "H"), ("a", None, "L"), ("a", 2, None), (None, 3, "H"), ("b", 4, "H")]
+    people = spark.createDataFrame(spark.sparkContext.parallelize(rows, 2).map(counted),
+                                   "segment string, hh_id long, propensity string")
+    path = scratch_path(spark, "out")
+    receipt = E.egress(people, registry(spark), path, "20240101", min_households=2).first()
+    assert computed.value == len(rows)
+    assert receipt["households"] == 2
+    written = spark.read.parquet(path).select("audience", "hh_id", "segment").collect()
+    assert sorted(map(str, map(tuple, written))) == sorted(str(r) for r in rows if r[0] == "a")
+
+
 def test_held_back_audiences_end_in_an_error(spark):
     receipt = spark.createDataFrame([("a", 5, "/x"), ("b", 2, None), ("c", 0, None)],
                                     "audience string, households long, filepath string")
