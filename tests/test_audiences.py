@@ -257,6 +257,23 @@ def test_egress_computes_the_audiences_once(spark):
     assert sorted(map(str, map(tuple, written))) == sorted(str(r) for r in rows if r[0] == "a")
 
 
+@pytest.mark.parametrize("mode", ["cube", "rollup"])
+def test_visits_of_all_sets_of_keys_without_a_shuffle_per_set(spark, mode):
+    rows = [("d", 1, 1, 5, 1), ("d", 2, 1, 5, 1), ("e", 1, 1, 5, 1), ("e", 1, 1, 5, 1), ("d", 1, 2, 7, 2),
+            (None, 1, 2, 1, 1), (None, None, 3, 1, 1), ("d", None, None, 4, 1), ("e", 2, None, None, None),
+            ("d", None, 3, 1, 1), (None, 1, 2, 1, 1)]
+    rows += [("d", i % 3, 9, 1, 1) for i in range(50)]
+    items = spark.createDataFrame(rows, "department string, division int, basket_id long, net_cents long, units long")
+    keys = ["department", "division"]
+    direct = getattr(items, mode)(*keys).agg(
+        F.sum("net_cents"), F.count_distinct("basket_id"), F.sum("units"))
+    got = S.kpi_aggregate(items, keys, mode=mode)
+    assert sorted(map(str, map(tuple, got.collect()))) == sorted(map(str, map(tuple, direct.collect())))
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert not [x for x in plan.splitlines() if "Exchange" in x and "spark_grouping_id" in x and "basket_id" in x]
+    assert S.kpi_aggregate(items.limit(0), keys, mode=mode).count() == getattr(items.limit(0), mode)(*keys).count().count()
+
+
 def test_held_back_audiences_end_in_an_error(spark):
     receipt = spark.createDataFrame([("a", 5, "/x"), ("b", 2, None), ("c", 0, None)],
                                     "audience string, households long, filepath string")
